@@ -1,0 +1 @@
+"""Nothing here: the reports are batch jobs over finished days and have no streaming part."""
