@@ -24,7 +24,6 @@ class ReportConfig:
     id_column: str
     text_column: str  # JSON text of a composite row
     carries_text: bool  # keep the JSON text in the snapshot
-    native_counts: bool  # quote counts are columns, not JSON
     json_fields: tuple[JsonField, ...]
     price: str  # composite that ranks movers and drives sentiment
     dealers: str  # quote count shown as "Dealers"
@@ -53,7 +52,6 @@ MUNI = ReportConfig(
     id_column="MuniCompositeId",
     text_column="JsonDetail",
     carries_text=True,
-    native_counts=True,
     json_fields=(
         JsonField("OriginalBidComposite", "OgBdCmp", "text"),
         JsonField("OriginalOfferComposite", "OgOfCmp", "text"),
@@ -80,7 +78,6 @@ CORP = ReportConfig(
     id_column="CorpCompositeId",
     text_column="AdditionalData",
     carries_text=False,
-    native_counts=False,
     json_fields=(
         JsonField("ProviderCount", "Counts.All.PVR", "float"),
         JsonField("BidCount", "Counts.All.BID", "float"),

@@ -56,34 +56,27 @@ def _json_schema(paths: Iterable[str]) -> T.StructType:
     )
 
 
-def json_scalars(text: Column, paths: Iterable[str]) -> dict[str, Column]:
-    """The scalars at ``paths``, as text, with the JSON parsed once for all of them.
+def with_json_fields(frame: DataFrame, text: str, fields: Iterable[JsonField]) -> DataFrame:
+    """Add typed scalars from the JSON in column ``text``.
 
-    Missing paths, objects, arrays and broken JSON give NULL.
+    Missing paths, objects, arrays and broken JSON give NULL. The text is parsed into
+    a struct by a step of its own: read inside every field expression it would be
+    parsed again for each.
     """
-    paths = list(paths)
-    parsed = F.from_json(text, _json_schema(paths))
-    found = {}
-    for path in paths:
-        value = parsed
-        for part in path.split("."):
-            value = value.getField(part)
-        found[path] = F.when(~value.rlike(r"^[\[{]"), value)
-    return found
-
-
-def json_fields(text: Column, fields: Iterable[JsonField]) -> dict[str, Column]:
-    """Typed JSON scalars by column name."""
     fields = list(fields)
-    scalars = json_scalars(text, [f.path for f in fields])
+    schema = _json_schema([f.path for f in fields])
 
     def typed(field: JsonField) -> Column:
-        value = scalars[field.path]
+        value = F.col(f"_json.{field.path}")
         if field.kind == "text":
-            return value
+            return F.when(~value.rlike(r"^[\[{]"), value)
         return try_float(value) if field.kind == "float" else try_decimal(value, field.kind)
 
-    return {f.column: typed(f) for f in fields}
+    return (
+        frame.withColumn("_json", F.from_json(text, schema))
+        .withColumns({f.column: typed(f) for f in fields})
+        .drop("_json")
+    )
 
 
 def quote_weights_schema(root: str) -> T.StructType:

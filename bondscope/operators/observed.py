@@ -64,6 +64,18 @@ def weighted_price(quotes: DataFrame, keys: Sequence[str], value: str, weight: s
     )
 
 
+def payload_of(payload: DataFrame, eod: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """The payload rows whose composite id lies in the id range of a staged snapshot.
+
+    The range is read first, so that it reaches the scan as a filter: ids grow with
+    time, and the files of other years hold none of them.
+    """
+    first, last = eod.agg(F.min(cfg.id_column), F.max(cfg.id_column)).first()
+    return payload.select(cfg.weights_id, cfg.weights_text).where(
+        F.col(cfg.weights_id).between(F.lit(first), F.lit(last))
+    )
+
+
 def quoted_rows(
     eod: DataFrame,
     securities: DataFrame,

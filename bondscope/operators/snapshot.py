@@ -10,10 +10,10 @@ from bondscope.functions.calendar import ReportWindow, day, ntz
 from bondscope.functions.expressions import (
     at_hour,
     is_set,
-    json_fields,
     not_set,
     on_weekday,
     period_label,
+    with_json_fields,
 )
 from bondscope.operators.relational import latest_per, place_by
 
@@ -47,24 +47,22 @@ def eod_snapshot(composites: DataFrame, window: ReportWindow, cfg: ReportConfig)
     only if the caller keeps it. The result is partitioned by security, which every
     later step groups or joins by.
     """
-    parsed = json_fields(F.col(cfg.text_column), cfg.json_fields)
-    native = COUNTS if cfg.native_counts else ()
-    late = {"OriginalBidComposite", "OriginalOfferComposite", "BidOfferSpreadMessage"}
+    originals = [f.column for f in cfg.json_fields if f.column not in COUNTS]
     text = [cfg.text_column] if cfg.carries_text else []
-    rows = business_snaps(composites, window, cfg).select(
+    snaps = business_snaps(composites, window, cfg)
+    rows = with_json_fields(snaps, cfg.text_column, cfg.json_fields).select(
         cfg.id_column,
         "SecurityId",
         "Date",
         "BidComposite",
         "OfferComposite",
-        *native,
-        *[value.alias(name) for name, value in parsed.items() if name not in late],
+        *COUNTS,
         "IsSnap",
         *text,
         "UpdatedDate",
         "IsQuarantined",
         period_label(F.col("Date"), window).alias("Period"),
-        *[value.alias(name) for name, value in parsed.items() if name in late],
+        *originals,
     )
     newest = latest_per(rows, ["SecurityId", F.to_date("Date")], cfg.id_column)
     placed = place_by(newest, "SecurityId")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from bondscope.config import CORP, MUNI, ReportConfig
 from bondscope.functions.calendar import ReportWindow, report_window
 from bondscope.operators.groups import avg_price_by_group, bid_offer_spread
 from bondscope.operators.movers import top_movers, with_price_only_change
-from bondscope.operators.observed import mover_ids, observed_prices
+from bondscope.operators.observed import mover_ids, observed_prices, payload_of
 from bondscope.operators.relational import pivot_by_date, pivot_dates
 from bondscope.operators.security import (
     raw_data,
@@ -23,7 +23,7 @@ from bondscope.operators.sentiment import sentiment
 from bondscope.operators.snapshot import eod_snapshot, loaded_days, period_summary
 from bondscope.operators.volume import bid_offer_volume, most_quoted, quote_volume_movers
 from bondscope.operators.wide import raw_data_wide
-from bondscope.session import stage
+from bondscope.session import Staging
 from bondscope.sources.tables import report_dates, sample_rows
 
 MOVERS = 300
@@ -33,30 +33,16 @@ LISTED = 50
 class Report(dict[str, DataFrame]):
     """Report sections by name, and the staged frames they read.
 
-    The snapshot and the descriptions go through ``session.stage``; the small frames
-    after them (movers, observed prices, averages) are persisted. Leave the ``with``
-    block, or call ``release``, when all sections are written.
+    Leave the ``with`` block, or call ``release``, when all sections are written.
     """
 
-    def __init__(self, window: ReportWindow) -> None:
+    def __init__(self, spark: SparkSession, window: ReportWindow) -> None:
         super().__init__()
         self.window = window
-        self.staged: list[DataFrame] = []
-
-    def stage(self, frame: DataFrame) -> DataFrame:
-        """Stage a frame whose size grows with the tables."""
-        self.staged.append(stage(frame))
-        return self.staged[-1]
-
-    def keep(self, frame: DataFrame) -> DataFrame:
-        """Persist a small frame."""
-        self.staged.append(frame.persist())
-        return frame
+        self.staging = Staging(spark)
 
     def release(self) -> None:
-        for frame in reversed(self.staged):
-            frame.unpersist()
-        self.staged.clear()
+        self.staging.release()
 
     def __enter__(self) -> Report:
         return self
@@ -75,10 +61,11 @@ def _moves(
     n: int,
 ) -> dict[str, DataFrame]:
     """Ranked movers both ways, their observed prices and the price-only change."""
-    rising = report.keep(top_movers(summary, info, cfg, n))
-    falling = report.keep(top_movers(summary, info, cfg, n, ascending=True))
-    observed = report.keep(
-        observed_prices(eod, mover_ids(rising, falling), cfg, payload, max_securities=2 * n)
+    rising = report.staging.keep(top_movers(summary, info, cfg, n))
+    falling = report.staging.keep(top_movers(summary, info, cfg, n, ascending=True))
+    quoted = payload_of(payload, eod, cfg)
+    observed = report.staging.keep(
+        observed_prices(eod, mover_ids(rising, falling), cfg, quoted, max_securities=2 * n)
     )
     return {
         "observed_prices": observed,
@@ -107,15 +94,15 @@ def muni_report(
     """All sections of the municipal report, by name and in order."""
     window = _window(report_date, period, as_of, cfg)
     composites, security = tables[cfg.composites], tables["security"]
-    report = Report(window)
+    report = Report(security.sparkSession, window)
     # The JSON text stays out of the staged snapshot: only the movers' quotes need it,
     # and they are read from the composites again by id.
-    eod = report.stage(eod_snapshot(composites, window, cfg).drop(cfg.text_column))
-    info = report.stage(security_info_muni(eod, security))
+    eod = eod_snapshot(composites, window, cfg).drop(cfg.text_column)
+    eod = report.staging.table(eod, "snapshot", "SecurityId", "Date")
+    info = report.staging.table(security_info_muni(eod, security), "securities", "SecurityId")
     summary = period_summary(eod, cfg)
-    payload = loaded_days(composites, window, cfg).select(cfg.weights_id, cfg.weights_text)
-    moves = _moves(report, eod, summary, info, payload, cfg, movers)
-    spread = report.keep(bid_offer_spread(eod, info, cfg))
+    moves = _moves(report, eod, summary, info, loaded_days(composites, window, cfg), cfg, movers)
+    spread = report.staging.keep(bid_offer_spread(eod, info, cfg))
     report |= {
         "report_dates": report_dates(security.sparkSession, window),
         "winners": moves["winners"],
@@ -134,20 +121,21 @@ def _corp_base(
     tables: Mapping[str, DataFrame], sector: str, window: ReportWindow, cfg: ReportConfig
 ) -> tuple[Report, DataFrame, DataFrame, DataFrame]:
     """Staged snapshot, summary and descriptions of one sector."""
-    report = Report(window)
-    every = report.stage(eod_snapshot(tables[cfg.composites], window, cfg))
-    described = report.stage(
-        security_info_corp(
-            every,
-            tables["security"],
-            tables["security_corp"],
-            tables["code"],
-            tables["yield_curve"],
-            tables["corp_rating"],
-        )
+    composites = tables[cfg.composites]
+    report = Report(composites.sparkSession, window)
+    every = report.staging.table(eod_snapshot(composites, window, cfg), "snapshot", "SecurityId", "Date")
+    described = security_info_corp(
+        every,
+        tables["security"],
+        tables["security_corp"],
+        tables["code"],
+        tables["yield_curve"],
+        tables["corp_rating"],
     )
+    described = report.staging.table(described, "securities", "SecurityId")
     eod, summary, info = restrict_sector(every, period_summary(every, cfg), described, sector)
-    return report, report.stage(eod), summary, info
+    eod = report.staging.table(eod, "sector_snapshot", "SecurityId", "Date")
+    return report, eod, summary, info
 
 
 def corp_report(
@@ -172,10 +160,10 @@ def corp_report(
         "losers": moves["losers"],
     }
     if sector == "HY":
-        prices = report.keep(avg_price_by_group(eod, info, cfg))
+        prices = report.staging.keep(avg_price_by_group(eod, info, cfg))
         report["avg_price_by_date"] = pivot_by_date(prices, [cfg.group], "AvgPrice")
-    spread = report.keep(bid_offer_spread(eod, info, cfg))
-    volume = report.keep(bid_offer_volume(tables["security_stats"], info, window, cfg))
+    spread = report.staging.keep(bid_offer_spread(eod, info, cfg))
+    volume = report.staging.keep(bid_offer_volume(tables["security_stats"], info, window, cfg))
     report |= {
         "sentiment": sentiment(eod, cfg),
         "volume_movers": quote_volume_movers(eod, info, window, cfg, listed),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -9,7 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -28,18 +29,48 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage(frame: DataFrame) -> DataFrame:
-    """Compute a frame that several sections read once, so that it outlives lost executors.
+class Staging:
+    """Frames several sections read, computed once and kept where lost executors do no harm.
 
-    Where the session names a shared folder in ``spark.checkpoint.dir`` the frame is
-    checkpointed there: later plans start from the written rows, keep their partitioning
-    and never go back to the input tables. Without one it is persisted, and lost blocks
-    are computed again.
+    Where the session names a shared folder in ``spark.checkpoint.dir``, ``table`` writes a
+    frame there as a table bucketed and sorted by its key. Later plans start from the
+    written columns they need, know their true size, and join and group by the key
+    without a shuffle. Without a folder the frame is persisted, and lost blocks are
+    computed again from the input tables.
     """
-    spark = frame.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return frame.persist()
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return frame.checkpoint()
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = spark.conf.get("spark.checkpoint.dir", None)
+        self.database: str | None = None
+        self.tables: list[str] = []
+        self.kept: list[DataFrame] = []
+
+    def table(self, frame: DataFrame, name: str, key: str, *then: str) -> DataFrame:
+        """Stage a frame whose size grows with the input, partitioned by ``key``."""
+        if not self.folder:
+            return self.keep(frame)
+        if self.database is None:
+            self.database = f"bondscope_{uuid4().hex}"
+            place = f"{self.folder.rstrip('/')}/{self.database}"
+            self.spark.sql(f"CREATE DATABASE {self.database} LOCATION '{place}'")
+        full = f"{self.database}.{name}"
+        buckets = shuffle_partitions(self.spark)
+        frame.write.format("parquet").bucketBy(buckets, key).sortBy(key, *then).saveAsTable(full)
+        self.tables.append(full)
+        return self.spark.table(full)
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        """Persist a small frame."""
+        self.kept.append(frame.persist())
+        return frame
+
+    def release(self) -> None:
+        """Forget persisted frames and remove the written tables."""
+        for frame in reversed(self.kept):
+            frame.unpersist()
+        self.kept.clear()
+        if self.database is not None:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+            self.database = None
+            self.tables.clear()

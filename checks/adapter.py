@@ -11,15 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 REPORT_DATE = "2024-01-26"
 
-_K = "cast(get_json_object(props, '$.k') as int)"
 _MOMENT = (
-    f"date_trunc('day', ts) + case when {_K} % 13 = 0 then interval '14:59' hour to minute "
+    "date_trunc('day', ts) + case when k % 13 = 0 then interval '14:59' hour to minute "
     "else interval '15:00' hour to minute end"
 )
 _BID = "case when event_type = 'view' then null else value end"
-_OFFER = f"case when event_type = 'click' and {_K} % 10 = 0 then null else value + {_K} / 100D end"
-_OG_BID = f"case when {_K} % 4 = 0 then cast(value - 0.25D as string) end"
-_OG_OFFER = f"case when {_K} % 3 = 0 then cast(value + 0.5D as string) end"
+_OFFER = "case when event_type = 'click' and k % 10 = 0 then null else value + k / 100D end"
+_OG_BID = "case when k % 4 = 0 then cast(value - 0.25D as string) end"
+_OG_OFFER = "case when k % 3 = 0 then cast(value + 0.5D as string) end"
 _FLAGS = ["event_type <> 'signup' as IsSnap", "case when event_type = 'error' then 1 end as IsQuarantined"]
 
 
@@ -27,11 +26,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").selectExpr("*", "cast(get_json_object(props, '$.k') as int) as k")
+
+
 def corp_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = f"""to_json(named_struct(
-        'Counts', named_struct('All', named_struct('PVR', {_K}, 'BID', {_K} % 5, 'OFR', {_K} % 7)),
+        'Counts', named_struct('All', named_struct('PVR', k, 'BID', k % 5, 'OFR', k % 7)),
         'OgBidCmp', {_OG_BID}, 'OgOfrCmp', {_OG_OFFER}))"""
-    return read(spark, sf_dir, "events").selectExpr(
+    return _events(spark, sf_dir).selectExpr(
         "event_id as CorpCompositeId",
         "user_id as SecurityId",
         f"{_MOMENT} as Date",
@@ -49,21 +52,21 @@ def muni_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
         'OfWts', array(
             named_struct('AggId', event_id, 'Prv', event_type, 'QT', 'PRICE',
                          'VL', cast(value as string), 'PRC', cast(value as string),
-                         'Wts', array(named_struct('Wt', cast({_K} % 5 as string)),
+                         'Wts', array(named_struct('Wt', cast(k % 5 as string)),
                                       named_struct('Wt', '0.5'))),
             named_struct('AggId', event_id + 1, 'Prv', event_type,
                          'QT', case when event_type = 'click' then 'SPREAD' else 'PRICE' end,
                          'VL', cast(value + 1D as string), 'PRC', cast(value as string),
-                         'Wts', array(named_struct('Wt', cast({_K} % 7 as string)))))))"""
-    return read(spark, sf_dir, "events").selectExpr(
+                         'Wts', array(named_struct('Wt', cast(k % 7 as string)))))))"""
+    return _events(spark, sf_dir).selectExpr(
         "event_id as MuniCompositeId",
         "user_id as SecurityId",
         f"{_MOMENT} as Date",
         f"{_BID} as BidComposite",
         f"{_OFFER} as OfferComposite",
-        f"{_K} as ProviderCount",
-        f"{_K} % 5 as BidCount",
-        f"{_K} % 7 as OfferCount",
+        "k as ProviderCount",
+        "k % 5 as BidCount",
+        "k % 7 as OfferCount",
         *_FLAGS,
         f"{text} as JsonDetail",
         "ts as UpdatedDate",

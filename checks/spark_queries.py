@@ -123,18 +123,14 @@ def date_formats(spark, sf_dir):
 
 @query
 def json_scalars_corp(spark, sf_dir):
-    fields = ex.json_fields(F.col("AdditionalData"), CORP.json_fields)
-    return adapter.corp_composite(spark, sf_dir).select(
-        "CorpCompositeId", *[value.alias(name) for name, value in fields.items()]
-    )
+    composites = adapter.corp_composite(spark, sf_dir).select("CorpCompositeId", "AdditionalData")
+    return ex.with_json_fields(composites, "AdditionalData", CORP.json_fields).drop("AdditionalData")
 
 
 @query
 def json_scalars_muni(spark, sf_dir):
-    fields = ex.json_fields(F.col("JsonDetail"), MUNI.json_fields)
-    return adapter.muni_composite(spark, sf_dir).select(
-        "MuniCompositeId", *[value.alias(name) for name, value in fields.items()]
-    )
+    composites = adapter.muni_composite(spark, sf_dir).select("MuniCompositeId", "JsonDetail")
+    return ex.with_json_fields(composites, "JsonDetail", MUNI.json_fields).drop("JsonDetail")
 
 
 @query
