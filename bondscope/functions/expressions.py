@@ -86,7 +86,6 @@ def quote_weights_schema(root: str) -> T.StructType:
             T.StructField("Prv", T.StringType()),
             T.StructField("QT", T.StringType()),
             T.StructField("VL", T.StringType()),
-            T.StructField("PRC", T.StringType()),
             T.StructField("Wts", T.ArrayType(T.StructType([T.StructField("Wt", T.StringType())]))),
         ]
     )

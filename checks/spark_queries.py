@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -19,8 +20,8 @@ from bondscope.sources import results, tables
 from checks import adapter
 
 WINDOW = report_window(report_date=date.fromisoformat(adapter.REPORT_DATE))
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+DAY = WINDOW.report_date.date()
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def tidy(frame: DataFrame, digits: int = 6) -> DataFrame:
@@ -40,71 +41,108 @@ def tidy(frame: DataFrame, digits: int = 6) -> DataFrame:
     return frame.select(*shown)
 
 
-def query(build: Query) -> Query:
-    QUERIES[build.__name__] = lambda spark, sf_dir: tidy(build(spark, sf_dir))
-    return build
-
-
 class Inputs:
-    """Operators wired to the adapter tables, without staging."""
+    """The adapter tables and the first report steps over them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.t = adapter.tables(spark, sf_dir)
+        self.spark, self.sf_dir = spark, sf_dir
+        self.kept: dict[str, DataFrame] = {}
 
-    def eod(self, cfg):
-        return snapshot.eod_snapshot(self.t[cfg.composites], WINDOW, cfg)
+    def read(self, name: str) -> DataFrame:
+        """A driver table."""
+        return adapter.read(self.spark, self.sf_dir, name)
 
-    def summary(self, cfg):
-        return snapshot.period_summary(self.eod(cfg), cfg)
+    def table(self, name: str) -> DataFrame:
+        """A report input table."""
+        return adapter.TABLES[name](self.spark, self.sf_dir)
 
-    def info(self, cfg):
-        if cfg is MUNI:
-            return security.security_info_muni(self.eod(cfg), self.t["security"])
-        return security.security_info_corp(
-            self.eod(cfg),
-            *(self.t[n] for n in ("security", "security_corp", "code", "yield_curve", "corp_rating")),
-        )
+    def tables(self) -> dict[str, DataFrame]:
+        return adapter.tables(self.spark, self.sf_dir)
+
+    def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.kept:
+            self.kept[name] = build().persist()
+        return self.kept[name]
+
+    def release(self) -> None:
+        for frame in self.kept.values():
+            frame.unpersist()
+
+    def eod(self, cfg) -> DataFrame:
+        return snapshot.eod_snapshot(self.table(cfg.composites), WINDOW, cfg)
 
-    def sector(self, name):
-        return security.restrict_sector(self.eod(CORP), self.summary(CORP), self.info(CORP), name)
+    def shared_eod(self, cfg) -> DataFrame:
+        """The snapshot for queries that read it more than once."""
+        return self._keep(f"eod {cfg.name}", lambda: self.eod(cfg).drop("JsonDetail"))
 
-    def movers(self, cfg, ascending=False, n=300):
-        return movers.top_movers(self.summary(cfg), self.info(cfg), cfg, n, ascending)
+    def summary(self, cfg) -> DataFrame:
+        return snapshot.period_summary(self.shared_eod(cfg), cfg)
 
-    def observed(self, cfg):
+    def info(self, cfg, eod: DataFrame | None = None) -> DataFrame:
+        eod = self.shared_eod(cfg) if eod is None else eod
+        if cfg is MUNI:
+            return security.security_info_muni(eod, self.table("security"))
+        names = ("security", "security_corp", "code", "yield_curve", "corp_rating")
+        return security.security_info_corp(eod, *map(self.table, names))
+
+    def sector(self, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        info = self._keep("info", lambda: self.info(CORP))
+        return security.restrict_sector(self.shared_eod(CORP), self.summary(CORP), info, name)
+
+    def movers(self, cfg, ascending: bool = False, n: int = 300) -> DataFrame:
+        info = self._keep(f"info {cfg.name}", lambda: self.info(cfg))
+        return self._keep(
+            f"movers {cfg.name} {ascending}",
+            lambda: movers.top_movers(self.summary(cfg), info, cfg, n, ascending),
+        )
+
+    def observed(self, cfg) -> DataFrame:
         ids = observed.mover_ids(self.movers(cfg), self.movers(cfg, ascending=True))
-        payload = self.t[cfg.weights_table]
+        payload = self.table(cfg.weights_table)
         if cfg is MUNI:
             payload = snapshot.loaded_days(payload, WINDOW, cfg)
-        return observed.observed_prices(self.eod(cfg), ids, cfg, payload, max_securities=600)
+        return observed.observed_prices(self.shared_eod(cfg), ids, cfg, payload, max_securities=600)
+
+
+def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    """Register a query. What it persists is let go when its result is no longer held."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inputs = Inputs(spark, sf_dir)
+        result = tidy(build(inputs))
+        weakref.finalize(result, inputs.release).atexit = False
+        return result
+
+    QUERIES[build.__name__] = run
+    return build
 
 
 # --- report calendar -------------------------------------------------------
 
 
 @query
-def report_calendar_week(spark, sf_dir):
-    dates = adapter.read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("AsOf")).distinct()
+def report_calendar_week(i):
+    dates = i.read("orders").select(F.to_date("o_orderdate").alias("AsOf")).distinct()
     return cal.report_calendar(dates, "AsOf", "WEEK")
 
 
 @query
-def report_calendar_month(spark, sf_dir):
-    dates = adapter.read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("AsOf")).distinct()
+def report_calendar_month(i):
+    dates = i.read("orders").select(F.to_date("o_orderdate").alias("AsOf")).distinct()
     return cal.report_calendar(dates, "AsOf", "MONTH")
 
 
 @query
-def report_dates(spark, sf_dir):
-    newest = adapter.read(spark, sf_dir, "events").agg(F.max("ts").alias("AsOf"))
+def report_dates(i):
+    newest = i.read("events").agg(F.max("ts").alias("AsOf"))
     return cal.report_calendar(newest, "AsOf").select("ReportDate", "PreviousReportDate")
 
 
 @query
-def date_formats(spark, sf_dir):
+def date_formats(i):
     day = F.col("o_orderdate")
     return (
-        adapter.read(spark, sf_dir, "orders")
+        i.read("orders")
         .select("o_orderdate")
         .distinct()
         .select(
@@ -122,41 +160,41 @@ def date_formats(spark, sf_dir):
 
 
 @query
-def json_scalars_corp(spark, sf_dir):
-    composites = adapter.corp_composite(spark, sf_dir).select("CorpCompositeId", "AdditionalData")
+def json_scalars_corp(i):
+    composites = i.table("corp_composite").select("CorpCompositeId", "AdditionalData")
     return ex.with_json_fields(composites, "AdditionalData", CORP.json_fields).drop("AdditionalData")
 
 
 @query
-def json_scalars_muni(spark, sf_dir):
-    composites = adapter.muni_composite(spark, sf_dir).select("MuniCompositeId", "JsonDetail")
+def json_scalars_muni(i):
+    composites = i.table("muni_composite").select("MuniCompositeId", "JsonDetail")
     return ex.with_json_fields(composites, "JsonDetail", MUNI.json_fields).drop("JsonDetail")
 
 
 @query
-def business_snaps(spark, sf_dir):
-    rows = snapshot.business_snaps(adapter.corp_composite(spark, sf_dir), WINDOW, CORP)
+def business_snaps(i):
+    rows = snapshot.business_snaps(i.table("corp_composite"), WINDOW, CORP)
     return rows.select("CorpCompositeId", "SecurityId", "Date", "BidComposite", "OfferComposite")
 
 
 @query
-def period_labels(spark, sf_dir):
-    rows = adapter.corp_composite(spark, sf_dir).withColumn("Period", ex.period_label(F.col("Date"), WINDOW))
+def period_labels(i):
+    rows = i.table("corp_composite").withColumn("Period", ex.period_label(F.col("Date"), WINDOW))
     return rows.groupBy(F.to_date("Date").alias("Date"), "Period").agg(F.count("*").alias("Rows"))
 
 
 @query
-def short_names(spark, sf_dir):
+def short_names(i):
     name = ex.short_name(
         F.col("MuniIssuerState"), F.col("MuniIssuerTicker"), F.col("MuniCoupon"), F.col("MuniMaturityDate")
     )
-    return adapter.security(spark, sf_dir).select("SecurityId", name.alias("ShortName"))
+    return i.table("security").select("SecurityId", name.alias("ShortName"))
 
 
 @query
-def named_state_securities(spark, sf_dir):
+def named_state_securities(i):
     return (
-        adapter.security(spark, sf_dir)
+        i.table("security")
         .where(ex.not_blank(F.col("MuniIssuerState")))
         .groupBy(F.col("MuniIssuerState").alias("State"))
         .agg(F.count("*").alias("Securities"))
@@ -164,12 +202,12 @@ def named_state_securities(spark, sf_dir):
 
 
 @query
-def value_changes(spark, sf_dir):
+def value_changes(i):
     def year(y):
         return F.sum(F.when(F.year("o_orderdate") == y, F.col("o_totalprice")))
 
     return (
-        adapter.read(spark, sf_dir, "orders")
+        i.read("orders")
         .groupBy("o_custkey")
         .agg(
             year(1996).alias("before"),
@@ -187,8 +225,8 @@ def value_changes(spark, sf_dir):
 
 
 @query
-def measures_to_long(spark, sf_dir):
-    parts = adapter.read(spark, sf_dir, "part").selectExpr(
+def measures_to_long(i):
+    parts = i.read("part").selectExpr(
         "p_partkey", "cast(p_size as double) as size", "p_retailprice as price"
     )
     return tables.to_long(parts, ["p_partkey"], ["size", "price"])
@@ -198,30 +236,30 @@ def measures_to_long(spark, sf_dir):
 
 
 @query
-def latest_per_user_and_day(spark, sf_dir):
-    events = adapter.read(spark, sf_dir, "events")
+def latest_per_user_and_day(i):
+    events = i.read("events")
     return relational.latest_per(events, ["user_id", F.to_date("ts")], "event_id").select(
         "event_id", "user_id", F.to_date("ts").alias("day"), "value"
     )
 
 
 @query
-def running_max_by_user(spark, sf_dir):
-    events = adapter.read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+def running_max_by_user(i):
+    events = i.read("events").select("event_id", "user_id", "ts", "value")
     hour = F.date_trunc("hour", F.col("ts"))
     return relational.running_max(events, "value", ["ts", "event_id"], hour, keys=["user_id"]).drop("ts")
 
 
 @query
-def running_max_overall(spark, sf_dir):
-    events = adapter.read(spark, sf_dir, "events").select("event_id", "ts", "value")
+def running_max_overall(i):
+    events = i.read("events").select("event_id", "ts", "value")
     hour = F.date_trunc("hour", F.col("ts"))
     return relational.running_max(events, "value", ["ts", "event_id"], hour).drop("ts")
 
 
 @query
-def previous_prices(spark, sf_dir):
-    return with_previous(Inputs(spark, sf_dir).eod(CORP), "BidComposite").select(
+def previous_prices(i):
+    return with_previous(i.eod(CORP), "BidComposite").select(
         "SecurityId", "Date", "BidComposite", "PreviousDate", "PreviousPrice"
     )
 
@@ -230,56 +268,56 @@ def previous_prices(spark, sf_dir):
 
 
 @query
-def eod_snapshot_corp(spark, sf_dir):
-    return Inputs(spark, sf_dir).eod(CORP)
+def eod_snapshot_corp(i):
+    return i.eod(CORP)
 
 
 @query
-def eod_snapshot_muni(spark, sf_dir):
-    return Inputs(spark, sf_dir).eod(MUNI).drop("JsonDetail")
+def eod_snapshot_muni(i):
+    return i.eod(MUNI).drop("JsonDetail")
 
 
 @query
-def period_summary_corp(spark, sf_dir):
-    return Inputs(spark, sf_dir).summary(CORP)
+def period_summary_corp(i):
+    return snapshot.period_summary(i.eod(CORP), CORP)
 
 
 @query
-def period_summary_muni(spark, sf_dir):
-    return Inputs(spark, sf_dir).summary(MUNI).drop("ReportPeriod_JsonDetail", "PreviousPeriod_JsonDetail")
+def period_summary_muni(i):
+    return snapshot.period_summary(i.eod(MUNI), MUNI).drop("ReportPeriod_JsonDetail", "PreviousPeriod_JsonDetail")
 
 
 # --- securities ------------------------------------------------------------
 
 
 @query
-def security_info_muni(spark, sf_dir):
-    return Inputs(spark, sf_dir).info(MUNI)
+def security_info_muni(i):
+    return i.info(MUNI, i.eod(MUNI))
 
 
 @query
-def security_info_corp(spark, sf_dir):
-    return Inputs(spark, sf_dir).info(CORP)
+def security_info_corp(i):
+    return i.info(CORP, i.eod(CORP))
 
 
 @query
-def rating_orders(spark, sf_dir):
-    orders = security.rating_orders(adapter.corp_rating(spark, sf_dir), adapter.code(spark, sf_dir))
+def rating_orders(i):
+    orders = security.rating_orders(i.table("corp_rating"), i.table("code"))
     return orders.groupBy("Agency", "PrintOrder").agg(F.count("*").alias("Ratings"))
 
 
 @query
-def worst_rating(spark, sf_dir):
-    return security.worst_rating(adapter.corp_rating(spark, sf_dir), adapter.code(spark, sf_dir))
+def worst_rating(i):
+    return security.worst_rating(i.table("corp_rating"), i.table("code"))
 
 
 @query
-def floating_curve(spark, sf_dir):
-    return security.floating_curve(adapter.code(spark, sf_dir), adapter.yield_curve(spark, sf_dir))
+def floating_curve(i):
+    return security.floating_curve(i.table("code"), i.table("yield_curve"))
 
 
-def _restricted(spark, sf_dir, sector):
-    eod, summary, info = Inputs(spark, sf_dir).sector(sector)
+def _restricted(i, sector):
+    eod, summary, info = i.sector(sector)
     parts = [
         frame.select(F.lit(name).alias("Frame"), "SecurityId")
         for name, frame in (("eod", eod), ("summary", summary), ("info", info))
@@ -288,20 +326,19 @@ def _restricted(spark, sf_dir, sector):
 
 
 @query
-def restrict_sector_hy(spark, sf_dir):
-    return _restricted(spark, sf_dir, "HY")
+def restrict_sector_hy(i):
+    return _restricted(i, "HY")
 
 
 @query
-def restrict_sector_ig(spark, sf_dir):
-    return _restricted(spark, sf_dir, "IG")
+def restrict_sector_ig(i):
+    return _restricted(i, "IG")
 
 
 @query
-def raw_data_muni(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+def raw_data_muni(i):
     return security.raw_data(
-        i.eod(MUNI), *(i.t[n] for n in ("security", "security_muni", "code", "yield_curve"))
+        i.eod(MUNI), *map(i.table, ("security", "security_muni", "code", "yield_curve"))
     )
 
 
@@ -309,61 +346,59 @@ def raw_data_muni(spark, sf_dir):
 
 
 @query
-def winners_corp(spark, sf_dir):
-    return Inputs(spark, sf_dir).movers(CORP)
+def winners_corp(i):
+    return i.movers(CORP)
 
 
 @query
-def losers_corp(spark, sf_dir):
-    return Inputs(spark, sf_dir).movers(CORP, ascending=True)
+def losers_corp(i):
+    return i.movers(CORP, ascending=True)
 
 
 @query
-def winners_muni(spark, sf_dir):
-    return Inputs(spark, sf_dir).movers(MUNI)
+def winners_muni(i):
+    return i.movers(MUNI)
 
 
 @query
-def losers_muni(spark, sf_dir):
-    return Inputs(spark, sf_dir).movers(MUNI, ascending=True)
+def losers_muni(i):
+    return i.movers(MUNI, ascending=True)
 
 
 @query
-def ten_winners_muni(spark, sf_dir):
-    return Inputs(spark, sf_dir).movers(MUNI, n=10)
+def ten_winners_muni(i):
+    return i.movers(MUNI, n=10)
 
 
 @query
-def quote_weights(spark, sf_dir):
-    payload = adapter.corp_composite_debug(spark, sf_dir)
+def quote_weights(i):
+    payload = i.table("corp_composite_debug")
     return observed.quote_weights(observed.quotes_of(payload, CORP), ["CorpCompositeID"])
 
 
 @query
-def weighted_price_by_part(spark, sf_dir):
-    lines = adapter.read(spark, sf_dir, "lineitem")
+def weighted_price_by_part(i):
+    lines = i.read("lineitem")
     return observed.weighted_price(lines, ["l_partkey"], "l_extendedprice", "l_quantity")
 
 
 @query
-def observed_prices_corp(spark, sf_dir):
-    return Inputs(spark, sf_dir).observed(CORP)
+def observed_prices_corp(i):
+    return i.observed(CORP)
 
 
 @query
-def observed_prices_muni(spark, sf_dir):
-    return Inputs(spark, sf_dir).observed(MUNI)
+def observed_prices_muni(i):
+    return i.observed(MUNI)
 
 
 @query
-def price_only_winners_corp(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+def price_only_winners_corp(i):
     return movers.with_price_only_change(i.movers(CORP), i.observed(CORP), CORP)
 
 
 @query
-def price_only_losers_muni(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+def price_only_losers_muni(i):
     return movers.with_price_only_change(i.movers(MUNI, ascending=True), i.observed(MUNI), MUNI)
 
 
@@ -371,86 +406,79 @@ def price_only_losers_muni(spark, sf_dir):
 
 
 @query
-def sentiment_corp_hy(spark, sf_dir):
-    return sentiment(Inputs(spark, sf_dir).sector("HY")[0], CORP)
+def sentiment_corp_hy(i):
+    return sentiment(i.sector("HY")[0], CORP)
 
 
 @query
-def sentiment_muni(spark, sf_dir):
-    return sentiment(Inputs(spark, sf_dir).eod(MUNI), MUNI)
+def sentiment_muni(i):
+    return sentiment(i.eod(MUNI), MUNI)
 
 
 @query
-def quote_volume_movers_corp(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return volume.quote_volume_movers(i.eod(CORP), i.info(CORP), WINDOW, CORP)
+def quote_volume_movers_corp(i):
+    return volume.quote_volume_movers(i.shared_eod(CORP), i.info(CORP), WINDOW, CORP)
 
 
 @query
-def quote_volume_movers_muni(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return volume.quote_volume_movers(i.eod(MUNI), i.info(MUNI), WINDOW, MUNI)
+def quote_volume_movers_muni(i):
+    return volume.quote_volume_movers(i.shared_eod(MUNI), i.info(MUNI), WINDOW, MUNI)
 
 
 @query
-def most_quoted_corp(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+def most_quoted_corp(i):
     return volume.most_quoted(i.summary(CORP), i.info(CORP), CORP)
 
 
 @query
-def most_quoted_muni(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+def most_quoted_muni(i):
     return volume.most_quoted(i.summary(MUNI), i.info(MUNI), MUNI)
 
 
 @query
-def bid_offer_spread_corp(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return groups.bid_offer_spread(i.eod(CORP), i.info(CORP), CORP)
+def bid_offer_spread_corp(i):
+    return groups.bid_offer_spread(i.shared_eod(CORP), i.info(CORP), CORP)
 
 
 @query
-def bid_offer_spread_muni(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return groups.bid_offer_spread(i.eod(MUNI), i.info(MUNI), MUNI)
+def bid_offer_spread_muni(i):
+    return groups.bid_offer_spread(i.shared_eod(MUNI), i.info(MUNI), MUNI)
 
 
 @query
-def bid_offer_spread_by_date_corp(spark, sf_dir):
-    return relational.pivot_by_date(bid_offer_spread_corp(spark, sf_dir), ["MoodysIndustry"], "AvgSpread")
+def bid_offer_spread_by_date_corp(i):
+    return relational.pivot_by_date(bid_offer_spread_corp(i), ["MoodysIndustry"], "AvgSpread")
 
 
 @query
-def bid_offer_spread_by_date_muni(spark, sf_dir):
-    return relational.pivot_by_date(bid_offer_spread_muni(spark, sf_dir), ["State"], "AvgSpread")
+def bid_offer_spread_by_date_muni(i):
+    return relational.pivot_by_date(bid_offer_spread_muni(i), ["State"], "AvgSpread")
 
 
 @query
-def avg_price_by_group(spark, sf_dir):
-    eod, _, info = Inputs(spark, sf_dir).sector("HY")
+def avg_price_by_group(i):
+    eod, _, info = i.sector("HY")
     return groups.avg_price_by_group(eod, info, CORP)
 
 
 @query
-def avg_price_by_date(spark, sf_dir):
-    return relational.pivot_by_date(avg_price_by_group(spark, sf_dir), ["MoodysIndustry"], "AvgPrice")
+def avg_price_by_date(i):
+    return relational.pivot_by_date(avg_price_by_group(i), ["MoodysIndustry"], "AvgPrice")
 
 
 @query
-def bid_offer_volume(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return volume.bid_offer_volume(i.t["security_stats"], i.info(CORP), WINDOW)
+def bid_offer_volume(i):
+    return volume.bid_offer_volume(i.table("security_stats"), i.info(CORP), WINDOW)
 
 
 @query
-def bid_offer_volume_by_date(spark, sf_dir):
-    return relational.pivot_by_date(bid_offer_volume(spark, sf_dir), ["MoodysIndustry", "Side"], "QuoteCount")
+def bid_offer_volume_by_date(i):
+    return relational.pivot_by_date(bid_offer_volume(i), ["MoodysIndustry", "Side"], "QuoteCount")
 
 
 @query
-def detail_and_total_lineitem(spark, sf_dir):
-    lines = adapter.read(spark, sf_dir, "lineitem").select(
+def detail_and_total_lineitem(i):
+    lines = i.read("lineitem").select(
         F.to_date("l_shipdate").alias("Date"), F.col("l_returnflag").alias("Flag"), "l_extendedprice"
     )
     return relational.detail_and_total(
@@ -459,18 +487,17 @@ def detail_and_total_lineitem(spark, sf_dir):
 
 
 @query
-def raw_data_wide(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return wide.raw_data_wide(i.eod(CORP), i.info(CORP))
+def raw_data_wide(i):
+    return wide.raw_data_wide(i.shared_eod(CORP), i.info(CORP))
 
 
 # --- publishing and whole reports ------------------------------------------
 
 
 @query
-def published_most_quoted(spark, sf_dir):
-    results.publish({"most_quoted": most_quoted_corp(spark, sf_dir)})
-    return results.read_result(spark, "most_quoted")
+def published_most_quoted(i):
+    results.publish({"most_quoted": most_quoted_corp(i)})
+    return results.read_result(i.spark, "most_quoted")
 
 
 def _sizes(report: Report) -> DataFrame:
@@ -482,25 +509,25 @@ def _sizes(report: Report) -> DataFrame:
 
 
 @query
-def muni_report_sections(spark, sf_dir):
-    return _sizes(muni_report(adapter.tables(spark, sf_dir), WINDOW.report_date.date()))
+def muni_report_sections(i):
+    return _sizes(muni_report(i.tables(), DAY))
 
 
 @query
-def corp_report_hy_sections(spark, sf_dir):
-    return _sizes(corp_report(adapter.tables(spark, sf_dir), "HY", WINDOW.report_date.date()))
+def corp_report_hy_sections(i):
+    return _sizes(corp_report(i.tables(), "HY", DAY))
 
 
 @query
-def corp_report_ig_sections(spark, sf_dir):
-    return _sizes(corp_report(adapter.tables(spark, sf_dir), "IG", WINDOW.report_date.date()))
+def corp_report_ig_sections(i):
+    return _sizes(corp_report(i.tables(), "IG", DAY))
 
 
 @query
-def corp_report_hy_winners(spark, sf_dir):
-    return corp_report(adapter.tables(spark, sf_dir), "HY", WINDOW.report_date.date())["winners"]
+def corp_report_hy_winners(i):
+    return corp_report(i.tables(), "HY", DAY)["winners"]
 
 
 @query
-def movers_report_sample(spark, sf_dir):
-    return movers_report(adapter.tables(spark, sf_dir), "HY", WINDOW.report_date.date())["sample"]
+def movers_report_sample(i):
+    return movers_report(i.tables(), "HY", DAY)["sample"]
