@@ -29,6 +29,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def staging_folder(spark: SparkSession) -> str | None:
+    """The shared folder the session names for written intermediate results."""
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 class Staging:
     """Frames several sections read, computed once and kept where lost executors do no harm.
 
@@ -41,7 +46,7 @@ class Staging:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.folder = spark.conf.get("spark.checkpoint.dir", None)
+        self.folder = staging_folder(spark)
         self.database: str | None = None
         self.tables: list[str] = []
         self.kept: list[DataFrame] = []

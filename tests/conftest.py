@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength="4000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("staging")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
