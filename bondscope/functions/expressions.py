@@ -25,7 +25,7 @@ LONG_DATE = "MM/dd/yyyy"
 
 def try_float(text: Column) -> Column:
     """Text as a double; blank text is 0 and anything unreadable is NULL."""
-    return F.when(F.trim(text) == "", F.lit(0.0)).when(text.rlike(FLOAT_TEXT), text.try_cast("double"))
+    return F.when(text.rlike(FLOAT_TEXT), text.try_cast("double")).when(F.trim(text) == "", F.lit(0.0))
 
 
 def try_decimal(text: Column, kind: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 from bondscope.functions.expressions import SHORT_DATE
 from bondscope.session import shuffle_partitions
 
-SALTS = 16
 PIVOT_DATES = 10_000
 
 
@@ -39,15 +39,17 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[tuple[str, str]],
     spread_by: Sequence[str],
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left join to a lookup with few rows per key, safe for hot and NULL keys.
 
     No broadcast is forced: Spark broadcasts the lookup if its size allows. If not,
     the join shuffles, and the rows of one key are spread over ``salts`` tasks by the
-    hash of ``spread_by``; the lookup is copied once per salt. ``on`` pairs column
-    names of the frame and the lookup; the lookup's key columns are dropped.
+    hash of ``spread_by`` (by default the square root of the shuffle partitions); the
+    lookup is copied once per salt. ``on`` pairs column names of the frame and the
+    lookup; the lookup's key columns are dropped.
     """
+    salts = salts or ceil(sqrt(shuffle_partitions(frame.sparkSession)))
     taken = {right: f"_{right}_key" for _, right in on}
     copies = lookup.select(
         *[F.col(right).alias(name) for right, name in taken.items()],
@@ -135,21 +137,15 @@ def running_max(
     scanned side by side, and each starts from the largest value of the blocks before
     it, so no task holds a whole key.
     """
-    blocked = frame.withColumn("_block", block)
-    within = Window.partitionBy(*keys, "_block").orderBy(*order)
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    peaks = blocked.groupBy(*keys, "_block").agg(F.max(value).alias("_peak"))
+    # A struct is never NULL, so rows with NULL keys meet their block like all others.
+    blocked = frame.withColumn("_block", F.struct(*keys, block.alias("_at")))
+    peaks = blocked.groupBy("_block").agg(F.max(value).alias("_peak"))
+    earlier = Window.partitionBy(*[F.col(f"_block.{k}") for k in keys]).orderBy("_block._at")
     carried = peaks.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.col("_block").alias("_key_block"),
-        F.max("_peak").over(before).alias("_carried"),
+        "_block", F.max("_peak").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried")
     )
-    same = F.col("_block").eqNullSafe(F.col("_key_block"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    local = blocked.withColumn(
-        "_local", F.max(value).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    return local.join(carried, same, "left").select(
+    within = Window.partitionBy("_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = blocked.withColumn("_local", F.max(value).over(within))
+    return local.join(carried, "_block").select(
         *frame.columns, F.greatest(F.lit(start), F.col("_carried"), F.col("_local")).alias(name)
     )
