@@ -287,6 +287,24 @@ def period_summary_muni(i):
     return snapshot.period_summary(i.eod(MUNI), MUNI).drop("ReportPeriod_JsonDetail", "PreviousPeriod_JsonDetail")
 
 
+MONTH = report_window(report_date=date(2024, 1, 31), period="MONTH")
+
+
+@query
+def sentiment_month_muni(i):
+    return sentiment(snapshot.eod_snapshot(i.table("muni_composite"), MONTH, MUNI), MUNI)
+
+
+@query
+def quote_totals_corp(i):
+    return volume.quote_totals(i.eod(CORP))
+
+
+@query
+def uncrossed_rows_corp(i):
+    return groups.uncrossed(i.eod(CORP)).select("CorpCompositeId", "Period", "Spread")
+
+
 # --- securities ------------------------------------------------------------
 
 
@@ -300,6 +318,26 @@ def security_info_corp(i):
     return i.info(CORP, i.eod(CORP))
 
 
+@query
+def security_info_all_corp(i):
+    """Descriptions of every security, whether quoted or not."""
+    return i.info(CORP, i.table("security").select("SecurityId"))
+
+
+@query
+def resolved_coupons(i):
+    securities = i.table("security").join(
+        i.table("security_corp").withColumnsRenamed({"security_id": "SecurityId", "coupon": "fixed_coupon"}), "SecurityId"
+    )
+    priced = security.with_coupon(securities, i.table("code"), i.table("yield_curve"))
+    return priced.select("SecurityId", "CurveValue", "Coupon")
+
+
+@query
+def securities_in_snapshot(i):
+    return security.securities_in(i.table("security"), i.eod(CORP)).select("SecurityId", "SecurityName")
+
+
 @query
 def rating_orders(i):
     orders = security.rating_orders(i.table("corp_rating"), i.table("code"))
@@ -392,6 +430,26 @@ def observed_prices_muni(i):
     return i.observed(MUNI)
 
 
+@query
+def mover_ids_corp(i):
+    return observed.mover_ids(i.movers(CORP), i.movers(CORP, ascending=True))
+
+
+@query
+def latest_observed_muni(i):
+    return movers.latest_observed(i.observed(MUNI))
+
+
+@query
+def price_only_losers_corp(i):
+    return movers.with_price_only_change(i.movers(CORP, ascending=True), i.observed(CORP), CORP)
+
+
+@query
+def price_only_winners_muni(i):
+    return movers.with_price_only_change(i.movers(MUNI), i.observed(MUNI), MUNI)
+
+
 @query
 def price_only_winners_corp(i):
     return movers.with_price_only_change(i.movers(CORP), i.observed(CORP), CORP)
@@ -410,6 +468,11 @@ def sentiment_corp_hy(i):
     return sentiment(i.sector("HY")[0], CORP)
 
 
+@query
+def sentiment_corp_ig(i):
+    return sentiment(i.sector("IG")[0], CORP)
+
+
 @query
 def sentiment_muni(i):
     return sentiment(i.eod(MUNI), MUNI)
