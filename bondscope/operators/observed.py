@@ -32,7 +32,8 @@ def quotes_of(payload: DataFrame, cfg: ReportConfig) -> DataFrame:
     root = F.from_json(cfg.weights_text, quote_weights_schema(cfg.weights_root)).getField(cfg.weights_root)
     kept = [c for c in payload.columns if c != cfg.weights_text]
     quotes = payload.select(*kept, F.inline(root))
-    kind = F.upper("QT") if cfg.fold_quote_type else F.col("QT")
+    kind = F.rtrim("QT")  # trailing blanks do not count when text is compared
+    kind = F.upper(kind) if cfg.fold_quote_type else kind
     return quotes.where(kind == cfg.quote_type).select(
         *kept,
         F.col("AggId").try_cast("long").alias("AggregateColorId"),

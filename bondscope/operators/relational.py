@@ -26,12 +26,11 @@ def latest_per(frame: DataFrame, keys: Sequence[Column | str], newest_by: Column
 
 
 def place_by(frame: DataFrame, key: str) -> DataFrame:
-    """Partition by ``key`` into a fixed number of partitions.
+    """Partition by ``key``, so that later joins and groups by it need no shuffle.
 
-    Frames placed alike join and group by that key without another shuffle, also
-    after they are persisted.
+    Spark's adaptive execution may merge small partitions.
     """
-    return frame.repartition(shuffle_partitions(frame.sparkSession), key)
+    return frame.repartition(key)
 
 
 def lookup_join(

@@ -85,9 +85,9 @@ def test_muni_prices_from_the_row_or_a_payload(spark):
 
 
 def test_quote_type_case_can_be_folded(spark):
-    payload = debug(spark, [(1, [quote("100", "1", kind="price")])])
-    assert quotes_of(payload, CORP).count() == 0
-    assert quotes_of(payload, replace(CORP, fold_quote_type=True)).count() == 1
+    payload = debug(spark, [(1, [quote("100", "1", kind="price"), quote("100", "1", kind="PRICE ")])])
+    assert quotes_of(payload, CORP).count() == 1
+    assert quotes_of(payload, replace(CORP, fold_quote_type=True)).count() == 2
 
 
 def test_weights_summed_per_quote_give_the_same_price(spark):

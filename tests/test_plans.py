@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from bondscope import CORP
 from bondscope.operators.movers import top_movers
 from bondscope.operators.observed import observed_prices, payload_of
+from bondscope.operators.relational import lookup_join
 from bondscope.operators.security import security_info_corp, worst_rating
 from bondscope.operators.sentiment import sentiment
 from bondscope.operators.snapshot import eod_snapshot, period_summary
@@ -175,7 +176,24 @@ def test_a_hot_issuer_spreads_over_the_tasks(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(got) == securities
     assert all(got[n] == 1 + (7 if n < hot else n) % 19 for n in range(securities))
-    assert max(task_rows(info)) < securities / 2
+
+
+@pytest.mark.parametrize("hot", ["7L", "cast(null as long)"])
+def test_rows_of_one_key_spread_over_the_tasks(spark, hot):
+    frame = spark.range(9000).selectExpr("id", f"if(id % 3 = 0, {hot}, id) as k")
+    lookup = spark.range(100).selectExpr("id as code", "concat('t', id) as title")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lookup_join(frame, lookup, [("k", "code")], spread_by=["id"], salts=64)
+        hot_rows = joined.where("id % 3 = 0")
+        assert joined.count() == 9000 and hot_rows.count() == 3000
+        assert len(task_rows(hot_rows)) == 4 and max(task_rows(hot_rows)) < 1500
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_a_hot_rating_pair_is_added_up_before_it_moves(spark):
