@@ -47,6 +47,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
         self.kept: dict[str, DataFrame] = {}
+        self.reports: list[Report] = []
 
     def read(self, name: str) -> DataFrame:
         """A driver table."""
@@ -64,9 +65,17 @@ class Inputs:
             self.kept[name] = build().persist()
         return self.kept[name]
 
+    def report(self, build: Callable[..., Report], *args) -> Report:
+        self.reports.append(build(self.tables(), *args))
+        return self.reports[-1]
+
     def release(self) -> None:
+        """Let persisted frames go. Tables a report wrote to a staging folder stay, as its sections need them."""
         for frame in self.kept.values():
             frame.unpersist()
+        for report in self.reports:
+            if report.staging.folder is None:
+                report.release()
 
     def eod(self, cfg) -> DataFrame:
         return snapshot.eod_snapshot(self.table(cfg.composites), WINDOW, cfg)
@@ -573,24 +582,24 @@ def _sizes(report: Report) -> DataFrame:
 
 @query
 def muni_report_sections(i):
-    return _sizes(muni_report(i.tables(), DAY))
+    return _sizes(i.report(muni_report, DAY))
 
 
 @query
 def corp_report_hy_sections(i):
-    return _sizes(corp_report(i.tables(), "HY", DAY))
+    return _sizes(i.report(corp_report, "HY", DAY))
 
 
 @query
 def corp_report_ig_sections(i):
-    return _sizes(corp_report(i.tables(), "IG", DAY))
+    return _sizes(i.report(corp_report, "IG", DAY))
 
 
 @query
 def corp_report_hy_winners(i):
-    return corp_report(i.tables(), "HY", DAY)["winners"]
+    return i.report(corp_report, "HY", DAY)["winners"]
 
 
 @query
 def movers_report_sample(i):
-    return movers_report(i.tables(), "HY", DAY)["sample"]
+    return i.report(movers_report, "HY", DAY)["sample"]
