@@ -70,11 +70,15 @@ class Staging:
         self.kept.append(frame.persist())
         return frame
 
-    def release(self) -> None:
-        """Forget persisted frames and remove the written tables."""
+    def forget(self) -> None:
+        """Let persisted frames go; written tables stay."""
         for frame in reversed(self.kept):
             frame.unpersist()
         self.kept.clear()
+
+    def release(self) -> None:
+        """Let persisted frames go and remove the written tables."""
+        self.forget()
         if self.database is not None:
             self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
             self.database = None

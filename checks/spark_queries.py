@@ -74,8 +74,7 @@ class Inputs:
         for frame in self.kept.values():
             frame.unpersist()
         for report in self.reports:
-            if report.staging.folder is None:
-                report.release()
+            report.staging.forget()
 
     def eod(self, cfg) -> DataFrame:
         return snapshot.eod_snapshot(self.table(cfg.composites), WINDOW, cfg)
