@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE_BYTES = 4 << 20
 
@@ -51,13 +52,17 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def map_batches(
-    frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text"
+    frame: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str | T.StructType,
+    text: str = "text",
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Apply ``work`` to Arrow batches of few megabytes of ``text``; a longer text is a batch of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, limit):
                 yield work(part)
 
     return frame.mapInArrow(run, schema)
@@ -100,12 +105,27 @@ class Words:
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
 
 
-def hash_words(words: pa.Array | list[str], seed: int = 0) -> np.ndarray:
-    """64-bit hashes of words."""
-    from xxhash import xxh3_64_intdigest
-
-    values = words.to_pylist() if isinstance(words, pa.Array) else words
-    return np.fromiter((xxh3_64_intdigest(w, seed) for w in values), np.uint64, len(values))
+BASE = 0x9E3779B97F4A7C15
+
+
+def hash_words(words: pa.Array) -> np.ndarray:
+    """64-bit polynomial hashes of all strings of an array at once, by running sums over their bytes."""
+    if len(words) == 0:
+        return np.zeros(0, np.uint64)
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    text = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None and bounds[-1] else np.zeros(0, np.uint8)
+    bounds = bounds - bounds[0]
+    powers = np.full(len(text) + 1, BASE, np.uint64)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    inverse = np.full(len(text) + 1, pow(BASE, -1, 1 << 64), np.uint64)
+    inverse[0] = 1
+    np.multiply.accumulate(inverse, out=inverse)
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=sums[1:])
+    return mix((sums[bounds[1:]] - sums[bounds[:-1]]) * inverse[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
