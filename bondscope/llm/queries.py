@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bondscope.llm.chat import format_chats, parse_chats, trained_text
 from bondscope.llm.common import held_out, read_table, stage, text_or_empty
 from bondscope.llm.exact_dedup import exact_groups
+from bondscope.llm.fertility import fertility_rules
 from bondscope.llm.language import fit_languages, predict_languages
 from bondscope.llm.sharding import shard_by_bytes
 from bondscope.llm.toxicity import fit_toxicity, score_toxicity
@@ -131,3 +132,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_languages(docs, ~held_out("doc_id", 4, 2))
     found = predict_languages(docs, model)
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and tokeniser fertility of every document."""
+    return fertility_rules(read_table(spark, sf_dir, "documents"))
