@@ -12,6 +12,7 @@ from bondscope.llm.common import held_out, read_table, stage, text_or_empty
 from bondscope.llm.exact_dedup import exact_groups
 from bondscope.llm.fertility import fertility_rules
 from bondscope.llm.language import fit_languages, predict_languages
+from bondscope.llm.packing import pack
 from bondscope.llm.sharding import shard_by_bytes
 from bondscope.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -138,3 +139,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and tokeniser fertility of every document."""
     return fertility_rules(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its sequence of at most 4096 tokens."""
+    return piece_digests(pack(read_table(spark, sf_dir, "documents")))
+
+
+def piece_digests(pieces: DataFrame) -> DataFrame:
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
