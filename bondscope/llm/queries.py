@@ -12,6 +12,7 @@ from bondscope.llm.common import held_out, read_table, stage, text_or_empty
 from bondscope.llm.exact_dedup import exact_groups
 from bondscope.llm.fertility import fertility_rules
 from bondscope.llm.language import fit_languages, predict_languages
+from bondscope.llm.near_dedup import near_classes
 from bondscope.llm.packing import pack
 from bondscope.llm.sharding import shard_by_bytes
 from bondscope.llm.toxicity import fit_toxicity, score_toxicity
@@ -149,3 +150,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies."""
+    return near_classes(read_table(spark, sf_dir, "documents"))
