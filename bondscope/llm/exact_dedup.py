@@ -24,18 +24,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bondscope.llm.common import map_batches, stage
 
 WHITE = b" \t\n\x0b\x0c\r"
 PREFIX_BYTES = 32
 
-PREPARED = "_id long, _length long, _norm binary, _digest binary, _prefix binary"
+PREPARED = "_id long, _row long, _length long, _norm binary, _digest binary, _prefix binary"
 RUNS = (
-    "_id long, _digest binary, _task int, _run long, _keep long, _keep_length long, _size long,"
+    "_id long, _digest binary, _task int, _run long, _keep long, _keep_row long, _keep_length long, _size long,"
     " _first boolean, _edge binary"
 )
 BORDERS = "_task int, _run long, _group_keep long, _group_size long, _head boolean"
@@ -43,16 +42,19 @@ EMITTED_ROWS = 50_000
 
 
 def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: ``key``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+    """One row per document: ``key``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, ``row_hash``.
 
     Texts are equal when they have the same characters after white space is deleted. The row with
     the most code points stays, then the one with the smallest identifier.
+    ``row_hash`` hashes the text, white space and all, of the row that is first in its task.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
+    rows = docs.select(
+        F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"), _row_hash(text).alias("_row")
+    )
     prepared = map_batches(rows, _prepare, PREPARED, text="_text")
     ahead = [F.col("_prefix"), F.col("_digest")]
-    last = [F.desc("_length"), F.asc("_id")]
+    last = [F.desc("_length"), F.asc("_id"), F.asc("_row")]
     ordered = prepared.repartitionByRange(*ahead, *last).sortWithinPartitions(*ahead, F.col("_norm"), *last)
     runs = stage(ordered.drop("_prefix").mapInArrow(_runs, RUNS))
     # two rows for each task at most
@@ -63,9 +65,24 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
         F.coalesce("_group_size", "_size").alias("group_size"),
         (F.col("_first") & F.coalesce("_head", F.lit(True))).alias("kept"),
         F.lower(F.hex("_digest")).alias("text_sha256"),
+        F.col("_keep_row").alias("row_hash"),
     )
 
 
+def drop_exact_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows that stay, with all their columns; of rows equal in identifier and text one stays."""
+    kept = exact_groups(docs, text, key).where("kept").select(F.col(key).alias("_key"), F.col("row_hash").alias("_kept_row"))
+    hashed = docs.withColumn("_row", _row_hash(text))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_row") == F.col("_kept_row"))
+    once = Window.partitionBy(key, "_row").orderBy(F.lit(0))
+    left = hashed.join(kept, same, "left_semi").withColumn("_once", F.row_number().over(once))
+    return left.where("_once = 1").select(docs.columns)
+
+
+def _row_hash(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def _prepare(batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = pc.fill_null(batch.column("_text"), "")
     norms = [t.translate(None, WHITE) for t in texts.cast(pa.binary()).to_pylist()]
@@ -73,12 +90,13 @@ def _prepare(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             batch.column("_id"),
+            batch.column("_row"),
             pc.utf8_length(texts).cast(pa.int64()),
             pa.array(norms, pa.binary()),
             pa.array(digests, pa.binary()),
             pa.array([n[:PREFIX_BYTES] for n in norms], pa.binary()),
         ],
-        names=["_id", "_length", "_norm", "_digest", "_prefix"],
+        names=["_id", "_row", "_length", "_norm", "_digest", "_prefix"],
     )
 
 
@@ -86,8 +104,8 @@ class _OpenRun:
     """The run at the end of the rows read so far; of its rows only the identifiers are held."""
 
     def __init__(self, batch: pa.RecordBatch, start: int) -> None:
-        self.keep, self.length, self.norm, self.digest = (
-            batch.column(c)[start].as_py() for c in ("_id", "_length", "_norm", "_digest")
+        self.keep, self.row, self.length, self.norm, self.digest = (
+            batch.column(c)[start].as_py() for c in ("_id", "_row", "_length", "_norm", "_digest")
         )
         self.ids = [batch.column("_id").slice(start)]
 
@@ -103,6 +121,7 @@ class _OpenRun:
                     task,
                     np.full(n, run),
                     pa.array([self.keep] * n, pa.int64()),
+                    pa.array([self.row] * n, pa.int64()),
                     np.full(n, self.length),
                     np.full(n, size),
                     np.arange(n) == (0 if first else -1),
@@ -111,8 +130,8 @@ class _OpenRun:
                 first = False
 
 
-def _emitted(ids, digests, task, run, keep, length, size, first, edge) -> pa.RecordBatch:
-    arrays = [ids, digests, pa.array(np.full(len(ids), task, np.int32)), pa.array(run, pa.int64()), keep]
+def _emitted(ids, digests, task, run, keep, row, length, size, first, edge) -> pa.RecordBatch:
+    arrays = [ids, digests, pa.array(np.full(len(ids), task, np.int32)), pa.array(run, pa.int64()), keep, row]
     arrays += [pa.array(length, pa.int64()), pa.array(size, pa.int64()), pa.array(first), pa.array(edge, pa.binary())]
     return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in RUNS.split(",")])
 
@@ -156,6 +175,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 task,
                 run + np.repeat(np.arange(len(heads)), sizes),
                 batch.column("_id").take(pa.array(leads)),
+                batch.column("_row").take(pa.array(leads)),
                 batch.column("_length").take(pa.array(leads)),
                 np.repeat(sizes, sizes),
                 first,

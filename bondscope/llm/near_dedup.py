@@ -32,7 +32,7 @@ from math import sqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bondscope.llm.common import Words, hash_words, map_batches, mix, slices, stage
@@ -83,6 +83,15 @@ def near_classes(
     return whole.unionByName(nameless)
 
 
+def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of the smallest identifier of each class, one for each identifier, and those without one."""
+    kept = near_classes(docs.where(F.col(key).isNotNull()), text, key).where("kept").select(F.col(key).alias("_key"))
+    left = docs.join(kept, F.col(key) == F.col("_key"), "left_semi")
+    once = Window.partitionBy(key).orderBy(F.xxhash64(text))
+    left = left.withColumn("_once", F.row_number().over(once)).where("_once = 1").select(docs.columns)
+    return left.unionByName(docs.where(F.col(key).isNull()))
+
+
 def led_buckets(members: DataFrame) -> DataFrame:
     """Buckets with their lead: the member that meets most others over all its buckets.
 

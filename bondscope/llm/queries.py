@@ -12,8 +12,10 @@ from bondscope.llm.common import held_out, read_table, stage, text_or_empty
 from bondscope.llm.exact_dedup import exact_groups
 from bondscope.llm.fertility import fertility_rules
 from bondscope.llm.language import fit_languages, predict_languages
+from bondscope.llm.mixing import fit_domains, mix_to_targets
 from bondscope.llm.near_dedup import near_classes
 from bondscope.llm.packing import pack
+from bondscope.llm.quality import fit_quality, score_quality
 from bondscope.llm.sharding import shard_by_bytes
 from bondscope.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -29,7 +31,7 @@ def query(build):
 @query
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its group of equal texts."""
-    return exact_groups(read_table(spark, sf_dir, "documents"))
+    return exact_groups(read_table(spark, sf_dir, "documents")).drop("row_hash")
 
 
 ORACLE["op1_exact_dedup"] = r"""
@@ -156,3 +158,38 @@ def piece_digests(pieces: DataFrame) -> DataFrame:
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near copies."""
     return near_classes(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document; labels of held-out documents are not learnt."""
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").where(~held_out("doc_id", 3, 1))
+    scored = score_quality(docs, fit_quality(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", 3, 1).alias("held_out"),
+        "score",
+        "content_score",
+        "page_score",
+        (F.col("score") >= 0.5).alias("kept"),
+    )
+
+
+#: Token shares to mix to: good text of four languages, and some of low quality.
+TARGETS = {"en": 0.6, "de": 0.14, "fr": 0.14, "es": 0.1, "low": 0.02}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labelled documents with their domain: the language of good ones, or ``low``."""
+    marked = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_good"))
+    told = docs.select("doc_id", "text", "lang").join(marked, "doc_id")
+    return told.select("doc_id", "text", F.when(F.col("_good") == 1, F.col("lang")).otherwise("low").alias("domain"))
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate and copies of every document for the target weights."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_domains(labelled_domains(docs, read_table(spark, sf_dir, "labels")))
+    return mix_to_targets(docs.select("doc_id", "text"), model, TARGETS).drop("text")
