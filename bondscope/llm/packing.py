@@ -33,7 +33,7 @@ DIMENSIONS, BITS, HASH_BITS = 4, 11, 19
 FEATURES = 1 << 14
 SCALE = 6.0
 SAMPLED_KEYS_A_RANGE = 200
-SLICE = 12 << 20
+SLICE = 4 << 20
 
 PIECES = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -150,7 +150,7 @@ class WordCoder:
 
     MARKS = ".,;:!?"
     LATIN = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$"
-    HELD = 400_000
+    HELD = 250_000
     AT_ONCE = 500
 
     def __init__(self, name: str) -> None:
