@@ -64,9 +64,12 @@ def near_classes(
     shared = buckets.groupBy("_bucket").agg(F.count("*").alias("_members")).where("_members > 1")
     members = stage(led_buckets(stage(buckets.join(shared, "_bucket"))))
     first = members.where("_id <> _lead").select("_lead", "_id").distinct()
+    # the texts that any comparison needs, by one exchange of all texts whatever their number
+    met = members.select(F.col("_id").alias("_met")).distinct().hint("merge")
+    known = stage(known.join(met, F.col("_id") == F.col("_met"), "left_semi"))
     links = stage(verify(first, known, similarity))
     classes = stage(components(links.select("_lead", "_id")))
-    rest = contested(members, classes, known, similarity)
+    rest = contested(members, classes, texts, known, similarity)
     more = stage(verify(rest, known, similarity))
     if not more.isEmpty():
         classes = stage(components(links.select("_lead", "_id").unionByName(more.select("_lead", "_id"))))
@@ -220,7 +223,7 @@ def verify(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
         F.col("_lead").alias("_id"),
         F.lit(0).alias("_role"),
     )
-    told = members.unionByName(heads).join(known, "_id")
+    told = members.unionByName(heads).join(known.hint("merge"), "_id")
     met = told.repartition("_lead", "_part").sortWithinPartitions("_lead", "_part", "_role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,11 +261,19 @@ def sketches(batch: pa.RecordBatch) -> pa.RecordBatch:
     hashed, rows, *_ = shingles(batch.column("_text"))
     points = bag_min_hash(hashed, rows, batch.num_rows, SKETCH_SLOTS)
     short = [r.tobytes() for r in (points & np.uint64(255)).astype(np.uint8)]
-    return pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(short, pa.binary())], names=["_id", "_sketch"])
+    weight = np.bincount(rows, minlength=batch.num_rows).astype(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [batch.column("_id"), pa.array(short, pa.binary()), pa.array(weight)], names=["_id", "_sketch", "_weight"]
+    )
 
 
-def contested(members: DataFrame, classes: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of different classes in one bucket, not compared yet, whose signatures could be of near copies."""
+def contested(
+    members: DataFrame, classes: DataFrame, texts: DataFrame, known: DataFrame, similarity: float
+) -> DataFrame:
+    """Pairs of different classes in one bucket, not compared yet, whose signatures could be of near copies.
+
+    A pair is told in the first band that it shares only. Multisets whose sizes differ too much cannot overlap enough.
+    """
     slots = SKETCH_SLOTS
     enough = similarity - 4 * sqrt(similarity * (1 - similarity) / slots)
     placed = members.where("_members > 2").join(classes, F.col("_id") == F.col("_node"), "left")
@@ -272,8 +283,10 @@ def contested(members: DataFrame, classes: DataFrame, known: DataFrame, similari
     )
     split = split.where("_low < _high").select("_bucket", F.ceil(F.col("_size") / BLOCK).alias("_blocks"))
     left = stage(placed.join(split, "_bucket"))
-    wanted = known.join(left.select("_id").distinct(), "_id", "left_semi")
-    signed = left.join(stage(map_batches(wanted, sketches, "_id long, _sketch binary", "_text")).dropDuplicates(["_id"]), "_id")
+    wanted = known.join(left.select("_id").distinct().hint("merge"), "_id", "left_semi")
+    drawn = stage(map_batches(wanted, sketches, "_id long, _sketch binary, _weight long", "_text"))
+    bands = texts.select(F.col("_text_id").alias("_id"), "_bands")
+    signed = left.join(drawn.dropDuplicates(["_id"]).join(bands.hint("merge"), "_id").hint("merge"), "_id")
     block = F.pmod(F.xxhash64("_id"), F.col("_blocks"))
     dealt = signed.withColumn("_own", block).withColumn(
         "_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
@@ -287,6 +300,9 @@ def contested(members: DataFrame, classes: DataFrame, known: DataFrame, similari
         "_lead",
         "_class",
         "_sketch",
+        "_weight",
+        "_bands",
+        (F.array_position("_bands", F.col("_bucket")) - 1).cast("int").alias("_band"),
     )
 
     def pairs(table: pa.Table) -> pa.Table:
@@ -294,9 +310,13 @@ def contested(members: DataFrame, classes: DataFrame, known: DataFrame, similari
         sketch = np.frombuffer(b"".join(table.column("_sketch").to_pylist()), np.uint8).reshape(len(ids), slots)
         a, b = table.column("_a")[0].as_py(), table.column("_b")[0].as_py()
         left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
+        weight, band = table.column("_weight").to_numpy(), table.column("_band")[0].as_py()
+        earlier = np.array(table.column("_bands").to_pylist(), np.int64)[:, :band]
         found = []
         for i in left.tolist():
             fresh = (class_[right] != class_[i]) & (lead[right] != ids[i]) & (lead[i] != ids[right])
+            fresh &= np.minimum(weight[right], weight[i]) >= similarity * np.maximum(weight[right], weight[i])
+            fresh &= ~(earlier[right] == earlier[i]).any(axis=1)
             likely = right[fresh & (ids[right] > ids[i])] if a == b else right[fresh]
             agree = (sketch[likely] == sketch[i]).mean(axis=1) if len(likely) else np.zeros(0)
             found += [(min(ids[i], j), max(ids[i], j)) for j in ids[likely[agree >= enough]].tolist()]
