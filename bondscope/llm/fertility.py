@@ -58,7 +58,11 @@ def fertility_rules(
         for m in names
     ]
     bands = measured.groupBy(F.col("band_group").alias("_group")).agg(*quartiles)
-    judged = measured.join(bands, F.col("band_group") == F.col("_group"), "left")
+    # few rows of bands, copied so that the documents of one language are dealt over all tasks
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = bands.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = measured.withColumn("_part", F.pmod(F.xxhash64(key, "n_words", "word_chars"), F.lit(parts)).cast("int"))
+    judged = dealt.join(copies, (F.col("band_group") == F.col("_group")) & (F.col("_part") == F.col("_copy")), "left")
 
     def inside(name: str) -> Column:
         low, middle, high = (F.col(f"_{name}")[i] for i in range(3))
