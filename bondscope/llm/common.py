@@ -108,14 +108,18 @@ class Words:
 BASE = 0x9E3779B97F4A7C15
 
 
-def hash_words(words: pa.Array) -> np.ndarray:
-    """64-bit polynomial hashes of all strings of an array at once, by running sums over their bytes."""
-    if len(words) == 0:
-        return np.zeros(0, np.uint64)
+def hash_words(words: pa.Array, at_once: int = 1 << 15) -> np.ndarray:
+    """64-bit polynomial hashes of all strings of an array, some thousands at once."""
+    parts = [_hash_some(words.slice(at, at_once)) for at in range(0, len(words), at_once)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def _hash_some(words: pa.Array) -> np.ndarray:
+    """Running sums over the bytes of all strings; differences are taken back to each string's begin."""
     words = words.cast(pa.large_binary())
     _, offsets, data = words.buffers()
     bounds = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
-    text = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None and bounds[-1] else np.zeros(0, np.uint8)
+    text = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
     bounds = bounds - bounds[0]
     powers = np.full(len(text) + 1, BASE, np.uint64)
     powers[0] = 1
@@ -143,7 +147,10 @@ def gather_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices start, start + 1, ... of runs, one run after the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+    kind = np.int32 if max(total, int(starts.max(initial=0)) + total) < 1 << 31 else np.int64
+    runs = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    runs += np.arange(total, dtype=kind)
+    return runs
 
 
 def held_out(column: str, modulus: int, remainder: int) -> Column:

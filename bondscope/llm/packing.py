@@ -33,7 +33,7 @@ DIMENSIONS, BITS, HASH_BITS = 4, 11, 19
 FEATURES = 1 << 14
 SCALE = 6.0
 SAMPLED_KEYS_A_RANGE = 200
-SLICE = 4 << 20
+SLICE = 6 << 20
 
 PIECES = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -60,18 +60,21 @@ def pack(
                 ids, lengths = coder.encode(words, end_id)
                 curve = curve_keys(words, part.column("_salt"))
                 at = np.searchsorted(splitters, curve, side="right").astype(np.int32)
-                arrays = [part.column(key), _binary(ids, lengths), pa.array(curve), pa.array(at)]
+                arrays = [part.column(key), _binary(ids.astype(coder.kind), lengths), pa.array(curve), pa.array(at)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[key, "_ids", "_curve", "_range"])
+                del words, ids, arrays
+                pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(sequence, TaskContext.get().partitionId())
         for batch in batches:
             for part in slices(batch, "_ids", SLICE):
-                lengths = pc.binary_length(part.column("_ids")).to_numpy().astype(np.int64) // 4
-                ids = np.frombuffer(b"".join(part.column("_ids").to_pylist()), "<u4")
+                lengths = pc.binary_length(part.column("_ids")).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+                ids = np.frombuffer(b"".join(part.column("_ids").to_pylist()), kind).astype("<u4")
                 yield _rows(packer.add(part.column(key), ids, lengths), key)
         yield _rows(packer.finish(), key)
 
+    kind = id_kind(tokenizer)
     placed = salted.mapInArrow(place, f"{key} long, _ids binary, _curve long, _range int")
     ordered = placed.repartitionById(ranges, F.col("_range")).sortWithinPartitions("_curve", key, "_ids")
     return ordered.select(key, "_ids").mapInArrow(run, f"{key} long, {PIECES}")
@@ -79,7 +82,7 @@ def pack(
 
 def _binary(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
     """Runs of ids as little-endian bytes."""
-    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32) * 4
+    bounds = (np.concatenate([[0], np.cumsum(lengths)]) * ids.itemsize).astype(np.int32)
     buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(ids))]
     return pa.Array.from_buffers(pa.binary(), len(lengths), buffers)
 
@@ -140,6 +143,13 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return place
 
 
+def id_kind(tokenizer: str) -> str:
+    """The shortest unsigned numbers that hold a vocabulary's ids; they make the exchange smaller."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(public_tokenizers.path(tokenizer)).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 class WordCoder:
     """Token ids of texts, cut word by word: the tokenizer's pattern never joins across white space.
 
@@ -150,16 +160,15 @@ class WordCoder:
 
     MARKS = ".,;:!?"
     LATIN = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$"
-    HELD = 250_000
-    AT_ONCE = 500
+    HELD = 200_000
+    AT_ONCE = 2_000
 
     def __init__(self, name: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
-        path = public_tokenizers.path(name)
-        self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_file(public_tokenizers.path(name))
         self.whole.encode_special_tokens = True
-        self.plain.normalizer = None
+        self.plain = Tokenizer(self.whole.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
@@ -169,6 +178,7 @@ class WordCoder:
         marks = [c.ids for c in self.whole.encode_batch_fast(list(self.MARKS), add_special_tokens=False)]
         #: Marks of one token; a word with another mark is encoded alone.
         self.marks = {mark: ids[0] for mark, ids in zip(self.MARKS, marks, strict=True) if len(ids) == 1}
+        self.kind = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
 
     def encode(self, words: Words, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,21 +213,21 @@ class WordCoder:
         table = np.zeros(128, "<u4")
         for mark, token in self.marks.items():
             table[ord(mark)] = token
+        if len(self.known) > self.HELD:
+            self.known.clear()
         flat[at_mark] = table[np.frombuffer("".join(last.filter(pa.array(marked)).to_pylist()).encode(), np.uint8)]
         return flat, whole
 
     def _learn(self, words: pa.Array) -> None:
-        if len(self.known) > self.HELD:
-            self.known.clear()
         new = pa.array([w for w in words.to_pylist() if w not in self.known], pa.string())
         latin = pc.match_substring_regex(new, self.LATIN)
         self._learn_letters(new.filter(latin).to_pylist())
         self._learn_alone(new.filter(pc.invert(latin)).to_pylist())
 
     def _learn_letters(self, words: list[str]) -> None:
-        groups = [words[at : at + self.AT_ONCE] for at in range(0, len(words), self.AT_ONCE)]
-        coded = self.plain.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False) if groups else []
-        for group, code in zip(groups, coded, strict=True):
+        for at in range(0, len(words), self.AT_ONCE):
+            group = words[at : at + self.AT_ONCE]
+            (code,) = self.plain.encode_batch_fast([" ".join(group)], add_special_tokens=False)
             ids = np.array(code.ids, "<u4")
             ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             if len(ends) != len(group):
@@ -227,8 +237,10 @@ class WordCoder:
             self.known.update(zip(group, (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
 
     def _learn_alone(self, words: list[str]) -> None:
-        coded = self.whole.encode_batch_fast(words, add_special_tokens=False) if words else []
-        self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(words, coded, strict=True))
+        for at in range(0, len(words), self.AT_ONCE):
+            group = words[at : at + self.AT_ONCE]
+            coded = self.whole.encode_batch_fast(group, add_special_tokens=False)
+            self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(group, coded, strict=True))
 
 
 @dataclass
