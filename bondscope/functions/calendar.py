@@ -28,6 +28,12 @@ class ReportWindow:
     load_start: date
     period: str = "WEEK"
 
+    def weekdays(self) -> list[date]:
+        """The Mondays to Fridays from the first loaded day to the report date."""
+        days = (self.report_date.date() - self.load_start).days
+        loaded = (self.load_start + timedelta(days=n) for n in range(days + 1))
+        return [d for d in loaded if d.weekday() < 5]
+
 
 def default_report_date(today: date) -> date:
     """The latest Friday on or before ``today``."""

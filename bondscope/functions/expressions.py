@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +70,9 @@ def with_json_fields(frame: DataFrame, text: str, fields: Iterable[JsonField]) -
     def typed(field: JsonField) -> Column:
         value = F.col(f"_json.{field.path}")
         if field.kind == "text":
-            return F.when(~value.rlike(r"^[\[{]"), value)
+            # an object or array comes as its text; a string that only looks like one stays
+            part = F.try_variant_get(F.try_parse_json(F.col(text)), f"$.{field.path}", "variant")
+            return F.when(~value.rlike(r"^[\[{]") | (F.schema_of_variant(part) == "STRING"), value)
         return try_float(value) if field.kind == "float" else try_decimal(value, field.kind)
 
     return (
@@ -80,6 +83,7 @@ def with_json_fields(frame: DataFrame, text: str, fields: Iterable[JsonField]) -
 
 
 def quote_weights_schema(root: str) -> T.StructType:
+    # Names in the JSON of quote weights.
     quote = T.StructType(
         [
             T.StructField("AggId", T.StringType()),
@@ -116,6 +120,15 @@ def at_hour(moment: Column, hour: int) -> Column:
     return (F.hour(moment) == hour) & (F.minute(moment) == 0) & (F.second(moment) == 0)
 
 
+def at_hour_of(moment: Column, days: Iterable[date], hour: int) -> Column:
+    """Exactly on the hour, to the second, of one of the days; as ranges, which reach the scan."""
+    within = F.lit(False)
+    for day in days:
+        start = datetime.combine(day, time(hour))
+        within = within | ((moment >= ntz(start)) & (moment < ntz(start + timedelta(seconds=1))))
+    return within
+
+
 def not_blank(text: Column) -> Column:
     """Neither NULL nor only blanks."""
     return F.rtrim(text) != ""
@@ -191,9 +204,19 @@ def guarded_change(now: Column, before: Column, kind: str | None = None) -> Colu
 
 
 def decimal_ratio(part: Column, whole: Column) -> Column:
-    """Quotient with ten decimals, cut and not rounded; NULL for a zero divisor."""
-    quotient = F.try_divide(part.cast("decimal(28,10)"), whole.cast("decimal(18,4)"))
-    return F.floor(quotient, F.lit(10)).cast("decimal(38,10)")
+    """Quotient with ten decimals, cut and not rounded; NULL for a zero divisor.
+
+    Whole units first, then ten decimals of what remains, so that no step rounds.
+    """
+    above = part.cast("decimal(28,10)")
+    below = F.nullif(whole.cast("decimal(28,10)"), F.lit(0).cast("decimal(28,10)"))
+    units = F.call_function("div", above, below)
+    rest = ((above % below) * F.lit(10**10).cast("decimal(11,0)")).cast("decimal(38,10)")
+    tenths = F.call_function("div", rest, below)
+    # tenths / 10^10 as a decimal is exact: fewer than eleven digits
+    return (units.cast("decimal(28,10)") + (tenths.cast("decimal(20,0)") * F.lit("0.0000000001").cast("decimal(10,10)"))).cast(
+        "decimal(38,10)"
+    )
 
 
 def percent_increase(now: Column, before: Column) -> Column:

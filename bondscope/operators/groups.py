@@ -31,17 +31,25 @@ def _by_group(eod: DataFrame, info: DataFrame, cfg: ReportConfig, value: str) ->
     )
 
 
+def _averages(rows: DataFrame, value: str, name: str, cfg: ReportConfig) -> DataFrame:
+    """Average of ``value`` by day and group and by day, in the type Spark gives averages."""
+    kind = rows.select(F.avg(value)).schema[0].dataType
+    totals = {"_sum": F.sum(value), "_values": F.count(value)}
+    average = F.try_divide("_sum", "_values").cast(kind)
+    return detail_and_total(rows, cfg.group, totals, {name: average}, cfg.total_label)
+
+
 def bid_offer_spread(eod: DataFrame, info: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Average bid-offer spread by day and group, with a total over the groups.
 
     A missing group is shown blank but stays a row of its own beside the blank group.
     """
     rows = _by_group(uncrossed(eod), info, cfg, "Spread")
-    spread = detail_and_total(rows, cfg.group, {"AvgSpread": F.avg("Spread")}, cfg.total_label)
+    spread = _averages(rows, "Spread", "AvgSpread", cfg)
     return spread.withColumn(cfg.group, F.coalesce(cfg.group, F.lit("")))
 
 
 def avg_price_by_group(eod: DataFrame, info: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Average bid by day and group, with a total over the groups; a missing group stays NULL."""
     rows = _by_group(eod.where("Period <= 2"), info, cfg, "BidComposite")
-    return detail_and_total(rows, cfg.group, {"AvgPrice": F.avg("BidComposite")}, cfg.total_label)
+    return _averages(rows, "BidComposite", "AvgPrice", cfg)

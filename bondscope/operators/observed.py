@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from bondscope.config import ReportConfig
 from bondscope.functions.expressions import quote_weights_schema, try_float
 
-# The snapshot rows of this many securities are broadcast at most: one row per
-# security and business day of two months stays below a million short rows.
-BROADCAST_SECURITIES = 20_000
-
 
 def mover_ids(*movers: DataFrame) -> DataFrame:
     """The distinct securities of several mover lists."""
@@ -78,38 +74,25 @@ def payload_of(payload: DataFrame, eod: DataFrame, cfg: ReportConfig) -> DataFra
 
 
 def quoted_rows(
-    eod: DataFrame,
-    securities: DataFrame,
-    cfg: ReportConfig,
-    payload: DataFrame | None = None,
-    max_securities: int | None = None,
+    eod: DataFrame, securities: DataFrame, cfg: ReportConfig, payload: DataFrame | None = None
 ) -> DataFrame:
     """Quote weights of the two periods for the given securities.
 
     ``payload`` holds the composite id and the JSON text; without it the text is taken
-    from the snapshot. ``max_securities`` is an upper bound of the ids the caller can
-    vouch for: if it is small, the few snapshot rows are broadcast and the payload is
-    read in place. Otherwise both sides are shuffled by composite.
+    from the snapshot. Spark joins the snapshot rows to the payload by their sizes.
     """
     keys = [cfg.id_column, "SecurityId", "Date", "Period"]
     rows = eod.where("Period <= 2").join(securities.select("SecurityId").distinct(), "SecurityId", "left_semi")
     if payload is None:
         return quotes_of(rows.select(*keys, cfg.weights_text), cfg)
-    wanted = rows.select(*keys)
-    if max_securities is not None and max_securities <= BROADCAST_SECURITIES:
-        wanted = F.broadcast(wanted)
     text = payload.select(F.col(cfg.weights_id).alias("_composite"), cfg.weights_text)
-    joined = text.join(wanted, F.col("_composite") == F.col(cfg.id_column)).drop("_composite")
+    joined = text.join(rows.select(*keys), F.col("_composite") == F.col(cfg.id_column)).drop("_composite")
     return quotes_of(joined, cfg)
 
 
 def observed_prices(
-    eod: DataFrame,
-    securities: DataFrame,
-    cfg: ReportConfig,
-    payload: DataFrame | None = None,
-    max_securities: int | None = None,
+    eod: DataFrame, securities: DataFrame, cfg: ReportConfig, payload: DataFrame | None = None
 ) -> DataFrame:
     """Weighted observed price by security, date and period; arguments as in ``quoted_rows``."""
-    quotes = quoted_rows(eod, securities, cfg, payload, max_securities)
+    quotes = quoted_rows(eod, securities, cfg, payload)
     return weighted_price(quotes, ["SecurityId", "Date", "Period"], "Value", "Weight")

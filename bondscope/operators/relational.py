@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from math import ceil, sqrt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from bondscope.functions.calendar import ReportWindow
 from bondscope.functions.expressions import SHORT_DATE
 from bondscope.session import shuffle_partitions
 
-PIVOT_DATES = 10_000
-
 
 def latest_per(frame: DataFrame, keys: Sequence[Column | str], newest_by: Column | str) -> DataFrame:
     """The row with the highest ``newest_by`` of every key.
@@ -33,33 +32,37 @@ def place_by(frame: DataFrame, key: str) -> DataFrame:
     return frame.repartition(key)
 
 
-def lookup_join(
-    frame: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[tuple[str, str]],
-    spread_by: Sequence[str],
-    salts: int | None = None,
-) -> DataFrame:
-    """Left join to a lookup with few rows per key, safe for hot and NULL keys.
+def lookup_join(frame: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+    """Left join to a lookup with few rows per key.
 
-    No broadcast is forced: Spark broadcasts the lookup if its size allows. If not,
-    the join shuffles, and the rows of one key are spread over ``salts`` tasks by the
-    hash of ``spread_by`` (by default the square root of the shuffle partitions); the
-    lookup is copied once per salt. ``on`` pairs column names of the frame and the
-    lookup; the lookup's key columns are dropped.
+    Spark broadcasts the lookup if its size allows, else both sides are shuffled and adaptive
+    execution splits hot keys. Rows with a NULL key match nothing and would all meet in one task, so they go
+    round the join. ``on`` pairs column names of the frame and the lookup; the lookup's key columns are
+    dropped.
     """
-    salts = salts or ceil(sqrt(shuffle_partitions(frame.sparkSession)))
     taken = {right: f"_{right}_key" for _, right in on}
-    copies = lookup.select(
-        *[F.col(right).alias(name) for right, name in taken.items()],
-        *[F.col(c) for c in lookup.columns if c not in taken],
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy"),
-    )
-    salted = frame.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    condition = F.col("_salt") == F.col("_copy")
+    values = [c for c in lookup.columns if c not in taken]
+    keyed = lookup.select(*[F.col(right).alias(name) for right, name in taken.items()], *values)
+    condition, whole = F.lit(True), F.lit(True)
     for left, right in on:
         condition = condition & (F.col(left) == F.col(taken[right]))
-    return salted.join(copies, condition, "left").drop("_salt", "_copy", *taken.values())
+        whole = whole & F.col(left).isNotNull()
+    matched = frame.where(whole).join(keyed, condition, "left").drop(*taken.values())
+    kinds = {f.name: f.dataType for f in lookup.schema.fields}
+    others = frame.where(~whole).withColumns({c: F.lit(None).cast(kinds[c]) for c in values})
+    return matched.unionByName(others)
+
+
+def assert_unique(lookup: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """The lookup, with a check at run time that no key repeats; a repeated one fails the query.
+
+    NULL keys match nothing and may repeat.
+    """
+    some = " and ".join(f"`{k}` is not null" for k in keys)
+    rows = F.count("*").over(Window.partitionBy(*keys))
+    checked = lookup.where(some).withColumn("_rows", rows)
+    fails = F.raise_error(F.concat(F.lit(f"repeated {what}: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
+    return checked.where(F.when(F.col("_rows") > 1, fails.cast("boolean")).otherwise(F.lit(True))).drop("_rows")
 
 
 def top_ranked(frame: DataFrame, order: Sequence[Column], rows: int, rank: str) -> DataFrame:
@@ -72,45 +75,45 @@ def top_ranked(frame: DataFrame, order: Sequence[Column], rows: int, rank: str)
     return first.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
 
 
-def detail_and_total(frame: DataFrame, group: str, measures: dict[str, Column], total_label: str) -> DataFrame:
-    """Measures by date and group (Ord 1) and by date (Ord 0) from one pass.
+def detail_and_total(
+    frame: DataFrame, group: str, totals: dict[str, Column], measures: dict[str, Column], total_label: str
+) -> DataFrame:
+    """Measures by date and group (Ord 1) and by date (Ord 0).
 
-    The total is told by ``grouping``, since the group itself may be NULL.
+    ``totals`` are sums and counts of rows, taken once by date and group; that small result is rolled
+    up, and ``measures`` are built from the totals. The total row is told by ``grouping``, since the
+    group itself may be NULL.
     """
-    grouped = frame.groupingSets([["Date", group], ["Date"]], "Date", group).agg(
-        *[value.alias(name) for name, value in measures.items()],
-        F.grouping(group).alias("_total"),
+    small = frame.groupBy("Date", group).agg(*[value.alias(name) for name, value in totals.items()])
+    rolled = small.groupingSets([["Date", group], ["Date"]], "Date", group).agg(
+        *[F.sum(name).alias(name) for name in totals], F.grouping(group).alias("_total")
     )
-    return grouped.select(
+    return rolled.select(
         F.when(F.col("_total") == 1, F.lit(total_label)).otherwise(F.col(group)).alias(group),
         "Date",
-        *measures,
+        *[value.alias(name) for name, value in measures.items()],
         (F.lit(1) - F.col("_total")).cast("int").alias("Ord"),
     )
 
 
-def pivot_dates(frame: DataFrame, column: str = "Date") -> list[date]:
-    """The distinct days of a frame in order, to name pivot columns by."""
-    found = frame.select(F.to_date(column).alias("d")).where("d is not null").distinct()
-    days = sorted(row["d"] for row in found.limit(PIVOT_DATES + 1).collect())
-    if len(days) > PIVOT_DATES:
-        raise ValueError(f"more than {PIVOT_DATES} dates to pivot by")
-    return days
+def pivot_dates(frame: DataFrame, window: ReportWindow, column: str = "Date") -> list[date]:
+    """The weekdays of a report's window that a frame has rows of, in order, to name pivot columns by."""
+    days = window.weekdays()
+    found = frame.select(F.to_date(column).alias("d")).where(F.col("d").isin(days)).distinct()
+    present = {row["d"] for row in found.collect()}  # days of the window at most
+    return [day for day in days if day in present]
 
 
 def short_dates(days: Sequence[date]) -> list[str]:
     return [day.strftime("%m/%d/%y") for day in days]
 
 
-def pivot_by_date(
-    frame: DataFrame, keys: Sequence[str], value: str, days: Sequence[date] | None = None
-) -> DataFrame:
-    """One column per date holding the largest ``value``; total rows first.
+def pivot_by_date(frame: DataFrame, keys: Sequence[str], value: str, days: Sequence[date]) -> DataFrame:
+    """One column per day holding the largest ``value``; total rows first.
 
-    Groups by ``keys`` and ``Ord``. Without ``days`` the dates of the frame are read
-    first. No dates give the key columns alone.
+    Groups by ``keys`` and ``Ord``. No days give the key columns alone.
     """
-    labels = short_dates(pivot_dates(frame) if days is None else days)
+    labels = short_dates(days)
     ordered = [F.asc("Ord"), *[F.asc(k) for k in keys]]
     groups = frame.groupBy("Ord", *keys)
     if labels:
@@ -125,19 +128,22 @@ def running_max(
     frame: DataFrame,
     value: str,
     order: Sequence[str],
-    block: Column,
     keys: Sequence[str] = (),
     start: float = -1,
     name: str = "RunningMax",
 ) -> DataFrame:
     """Largest value so far in ``order``, per key or over all rows, never below ``start``.
 
-    ``block`` must not fall along the order (a day of a time, say). Blocks are
-    scanned side by side, and each starts from the largest value of the blocks before
-    it, so no task holds a whole key.
+    The order is cut into ranges of about equal rows, by a sample of it. Ranges are scanned side by
+    side, and each starts from the largest value of the ranges before it, so no task holds a whole key
+    or a whole hour.
     """
-    # A struct is never NULL, so rows with NULL keys meet their block like all others.
-    blocked = frame.withColumn("_block", F.struct(*keys, block.alias("_at")))
+    place = F.struct(*order)
+    places = frame.select(place.alias("_place"))
+    cuts = _range_cuts(places, shuffle_partitions(frame.sparkSession))
+    kind = places.schema["_place"].dataType
+    # A struct is never NULL, so rows with NULL keys meet their range like all others.
+    blocked = frame.withColumn("_block", F.struct(*keys, _cuts_below(cuts, place, kind).alias("_at")))
     peaks = blocked.groupBy("_block").agg(F.max(value).alias("_peak"))
     earlier = Window.partitionBy(*[F.col(f"_block.{k}") for k in keys]).orderBy("_block._at")
     carried = peaks.select(
@@ -148,3 +154,31 @@ def running_max(
     return local.join(carried, "_block").select(
         *frame.columns, F.greatest(F.lit(start), F.col("_carried"), F.col("_local")).alias(name)
     )
+
+
+SAMPLED_PLACES = 50
+
+
+def _range_cuts(places: DataFrame, ranges: int) -> list[Row]:
+    """Places, as text, that cut the order into ranges of about equal rows, from a sample of bounded size."""
+    total, wanted = places.count(), ranges * SAMPLED_PLACES
+    sampled = places.sample(min(1.0, wanted / total), seed=1) if total > wanted else places
+    shown = F.struct(*[F.col(f"_place.{f}").cast("string").alias(f) for f in places.schema["_place"].dataType.names])
+    ranked = [row[0] for row in sampled.orderBy("_place").select(shown).collect()]
+    picked = [ranked[len(ranked) * n // ranges] for n in range(1, ranges)] if ranked else []
+    return [place for n, place in enumerate(picked) if n == 0 or place != picked[n - 1]]
+
+
+def _cuts_below(cuts: list[Row], place: Column, kind: T.DataType) -> Column:
+    """How many cuts are at or below a place, by halving a constant array."""
+    if not cuts:
+        return F.lit(0)
+    text = [F.struct(*[F.lit(v).alias(n) for n, v in cut.asDict().items()]) for cut in cuts]
+    table = F.array(*text).cast(T.ArrayType(kind))
+    steps = F.array(*[F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1)])
+
+    def step(at: Column, jump: Column) -> Column:
+        to = at + jump
+        return F.when(F.when(to <= len(cuts), F.element_at(table, to) <= place).otherwise(False), to).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bondscope.functions.expressions import derived_sector, not_blank, not_set, resolved_coupon
-from bondscope.operators.relational import lookup_join, place_by
+from bondscope.operators.relational import assert_unique, lookup_join, place_by
 
 # The last print order that counts, by rating column.
 LAST_ORDER = {"SpRating": 19, "MoodysRating": 20, "FitchRating": 20, "OtherRating": 20}
@@ -46,10 +46,10 @@ def rating_orders(rating: DataFrame, code: DataFrame) -> DataFrame:
         ]
     )
     given = rating.select(
-        "CorpIssuerId", "PaymentRank", F.xxhash64(*rating.columns).alias("_row"), F.inline(agencies)
+        "CorpIssuerId", "PaymentRank", F.inline(agencies)
     )
     orders = code.where(F.col("print_order") <= max(LAST_ORDER.values())).select("code_id", "print_order")
-    return lookup_join(given, orders, [("CodeId", "code_id")], spread_by=given.columns).select(
+    return lookup_join(given, orders, [("CodeId", "code_id")]).select(
         "CorpIssuerId",
         "PaymentRank",
         "Agency",
@@ -70,7 +70,8 @@ def worst_rating(rating: DataFrame, code: DataFrame) -> DataFrame:
     titles = code.where(F.col("code_group") == TITLE_GROUP).select(
         F.col("print_order"), F.col("code_title").alias("Rating")
     )
-    return lookup_join(worst, titles, [("RatingOrder", "print_order")], spread_by=["CorpIssuerId", "PaymentRank"])
+    titles = assert_unique(titles, ["print_order"], "rating title")
+    return lookup_join(worst, titles, [("RatingOrder", "print_order")])
 
 
 def floating_curve(code: DataFrame, curve: DataFrame) -> DataFrame:
@@ -86,9 +87,8 @@ def with_coupon(securities: DataFrame, code: DataFrame, curve: DataFrame) -> Dat
     """Add the resolved coupon to securities joined with their terms."""
     priced = lookup_join(
         securities,
-        floating_curve(code, curve),
+        assert_unique(floating_curve(code, curve), ["CurveSector", "FloatingIndexId"], "curve key"),
         [("SectorType", "CurveSector"), ("floating_index", "FloatingIndexId")],
-        spread_by=["SecurityId"],
     )
     return priced.withColumn(
         "Coupon",
@@ -140,7 +140,6 @@ def security_info_corp(
         with_coupon(listed, code, curve),
         worst_rating(rating, code),
         [("corp_issuer_id", "CorpIssuerId"), ("payment_rank", "PaymentRank")],
-        spread_by=["SecurityId"],
     )
     info = rated.select(
         "SecurityId",

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from bondscope.config import ReportConfig
 from bondscope.functions.calendar import ReportWindow, day, ntz
 from bondscope.functions.expressions import (
-    at_hour,
+    at_hour_of,
     is_set,
     not_set,
-    on_weekday,
     period_label,
     with_json_fields,
 )
@@ -35,8 +34,7 @@ def business_snaps(composites: DataFrame, window: ReportWindow, cfg: ReportConfi
         is_set(composites, "IsSnap")
         & not_set(composites, "IsQuarantined")
         & (F.col("BidComposite").isNotNull() | F.col("OfferComposite").isNotNull())
-        & on_weekday(moment)
-        & at_hour(moment, cfg.snap_hour)
+        & at_hour_of(moment, window.weekdays(), cfg.snap_hour)
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bondscope.config import CORP, ReportConfig
 from bondscope.functions.calendar import ReportWindow, day
-from bondscope.functions.expressions import on_weekday, percent_increase
+from bondscope.functions.expressions import is_set, on_weekday, percent_increase
 from bondscope.operators.movers import with_short_name
 from bondscope.operators.relational import detail_and_total, top_ranked
 
@@ -86,7 +86,7 @@ def bid_offer_volume(
     until = window.report_date.date() + timedelta(days=1)
     wanted = stats.where(
         (F.col("SectorType") == STATS_SECTOR)
-        & (F.col("IsAggregate") == 1)
+        & is_set(stats, "IsAggregate")
         & (F.col("Date") >= day(window.load_start))
         & (F.col("Date") < day(until))
         & on_weekday(F.col("Date"))
@@ -96,7 +96,11 @@ def bid_offer_volume(
     )
     groups = info.select("SecurityId", F.coalesce(cfg.group, F.lit("")).alias(cfg.group))
     totals = detail_and_total(
-        daily.join(groups, "SecurityId"), cfg.group, {side: F.sum(side) for side in SIDES}, cfg.total_label
+        daily.join(groups, "SecurityId"),
+        cfg.group,
+        {side: F.sum(side) for side in SIDES},
+        {side: F.col(side) for side in SIDES},
+        cfg.total_label,
     )
     return totals.unpivot([cfg.group, "Date", "Ord"], list(SIDES), "Side", "QuoteCount").select(
         cfg.group, "Date", "Side", "QuoteCount", "Ord"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bondscope.functions.expressions import SHORT_DATE
-from bondscope.operators.relational import pivot_dates, short_dates
+from bondscope.operators.relational import short_dates
 
 # Column prefixes of the measures, in output order.
 MEASURES = {
@@ -22,9 +22,9 @@ MEASURES = {
 DESCRIPTIVE = ("SecurityId", "Identifier", "SecurityName", "MoodysIndustry", "Coupon", "Rating")
 
 
-def raw_data_wide(eod: DataFrame, info: DataFrame, days: Sequence[date] | None = None) -> DataFrame:
-    """Every described security with five measures for each day of the snapshot."""
-    labels = short_dates(pivot_dates(eod) if days is None else days)
+def raw_data_wide(eod: DataFrame, info: DataFrame, days: Sequence[date]) -> DataFrame:
+    """Every described security with five measures for each of the days."""
+    labels = short_dates(days)
     described = info.select(*DESCRIPTIVE)
     if not labels:
         return described

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from bondscope.operators.security import (
     security_info_muni,
 )
 from bondscope.operators.sentiment import sentiment
-from bondscope.operators.snapshot import eod_snapshot, loaded_days, period_summary
+from bondscope.operators.snapshot import business_snaps, eod_snapshot, period_summary
 from bondscope.operators.volume import bid_offer_volume, most_quoted, quote_volume_movers
 from bondscope.operators.wide import raw_data_wide
 from bondscope.session import Staging
@@ -44,6 +45,15 @@ class Report(dict[str, DataFrame]):
     def release(self) -> None:
         self.staging.release()
 
+    @contextmanager
+    def building(self) -> Iterator[None]:
+        """Let staged frames go if the report cannot be built."""
+        try:
+            yield
+        except BaseException:
+            self.release()
+            raise
+
     def __enter__(self) -> Report:
         return self
 
@@ -65,7 +75,7 @@ def _moves(
     falling = report.staging.keep(top_movers(summary, info, cfg, n, ascending=True))
     quoted = payload_of(payload, eod, cfg)
     observed = report.staging.keep(
-        observed_prices(eod, mover_ids(rising, falling), cfg, quoted, max_securities=2 * n)
+        observed_prices(eod, mover_ids(rising, falling), cfg, quoted)
     )
     return {
         "observed_prices": observed,
@@ -95,25 +105,26 @@ def muni_report(
     window = _window(report_date, period, as_of, cfg)
     composites, security = tables[cfg.composites], tables["security"]
     report = Report(security.sparkSession, window)
-    # The JSON text stays out of the staged snapshot: only the movers' quotes need it,
-    # and they are read from the composites again by id.
-    eod = eod_snapshot(composites, window, cfg).drop(cfg.text_column)
-    eod = report.staging.table(eod, "snapshot", "SecurityId", "Date")
-    info = report.staging.table(security_info_muni(eod, security), "securities", "SecurityId")
-    summary = period_summary(eod, cfg)
-    moves = _moves(report, eod, summary, info, loaded_days(composites, window, cfg), cfg, movers)
-    spread = report.staging.keep(bid_offer_spread(eod, info, cfg))
-    report |= {
-        "report_dates": report_dates(security.sparkSession, window),
-        "winners": moves["winners"],
-        "losers": moves["losers"],
-        "sentiment": sentiment(eod, cfg),
-        "volume_movers": quote_volume_movers(eod, info, window, cfg, listed),
-        "most_quoted": most_quoted(summary, info, cfg, listed),
-        "bid_offer_spread": spread.orderBy("Ord", cfg.group, "Date"),
-        "bid_offer_spread_by_date": pivot_by_date(spread, [cfg.group], "AvgSpread"),
-        "raw_data": raw_data(eod, security, tables["security_muni"], tables["code"], tables["yield_curve"]),
-    }
+    with report.building():
+        # The JSON text stays out of the staged snapshot: only the movers' quotes need it,
+        # and they are read from the composites again by id.
+        eod = eod_snapshot(composites, window, cfg).drop(cfg.text_column)
+        eod = report.staging.table(eod, "snapshot", "SecurityId", "Date")
+        info = report.staging.table(security_info_muni(eod, security), "securities", "SecurityId")
+        summary = period_summary(eod, cfg)
+        moves = _moves(report, eod, summary, info, business_snaps(composites, window, cfg), cfg, movers)
+        spread = report.staging.keep(bid_offer_spread(eod, info, cfg))
+        report |= {
+            "report_dates": report_dates(security.sparkSession, window),
+            "winners": moves["winners"],
+            "losers": moves["losers"],
+            "sentiment": sentiment(eod, cfg),
+            "volume_movers": quote_volume_movers(eod, info, window, cfg, listed),
+            "most_quoted": most_quoted(summary, info, cfg, listed),
+            "bid_offer_spread": spread.orderBy("Ord", cfg.group, "Date"),
+            "bid_offer_spread_by_date": pivot_by_date(spread, [cfg.group], "AvgSpread", pivot_dates(spread, window)),
+            "raw_data": raw_data(eod, security, tables["security_muni"], tables["code"], tables["yield_curve"]),
+        }
     return report
 
 
@@ -123,18 +134,19 @@ def _corp_base(
     """Staged snapshot, summary and descriptions of one sector."""
     composites = tables[cfg.composites]
     report = Report(composites.sparkSession, window)
-    every = report.staging.table(eod_snapshot(composites, window, cfg), "snapshot", "SecurityId", "Date")
-    described = security_info_corp(
-        every,
-        tables["security"],
-        tables["security_corp"],
-        tables["code"],
-        tables["yield_curve"],
-        tables["corp_rating"],
-    )
-    described = report.staging.table(described, "securities", "SecurityId")
-    eod, summary, info = restrict_sector(every, period_summary(every, cfg), described, sector)
-    eod = report.staging.table(eod, "sector_snapshot", "SecurityId", "Date")
+    with report.building():
+        every = report.staging.table(eod_snapshot(composites, window, cfg), "snapshot", "SecurityId", "Date")
+        described = security_info_corp(
+            every,
+            tables["security"],
+            tables["security_corp"],
+            tables["code"],
+            tables["yield_curve"],
+            tables["corp_rating"],
+        )
+        described = report.staging.table(described, "securities", "SecurityId")
+        eod, summary, info = restrict_sector(every, period_summary(every, cfg), described, sector)
+        eod = report.staging.table(eod, "sector_snapshot", "SecurityId", "Date")
     return report, eod, summary, info
 
 
@@ -152,27 +164,30 @@ def corp_report(
     """All sections of the corporate report for one sector, by name and in order."""
     window = _window(report_date, period, as_of, cfg)
     report, eod, summary, info = _corp_base(tables, sector, window, cfg)
-    moves = _moves(report, eod, summary, info, tables[cfg.weights_table], cfg, movers)
-    report |= {
-        "report_dates": report_dates(eod.sparkSession, window),
-        "observed_prices": moves["observed_prices"],
-        "winners": moves["winners"],
-        "losers": moves["losers"],
-    }
-    if sector == "HY":
-        prices = report.staging.keep(avg_price_by_group(eod, info, cfg))
-        report["avg_price_by_date"] = pivot_by_date(prices, [cfg.group], "AvgPrice")
-    spread = report.staging.keep(bid_offer_spread(eod, info, cfg))
-    volume = report.staging.keep(bid_offer_volume(tables["security_stats"], info, window, cfg))
-    report |= {
-        "sentiment": sentiment(eod, cfg),
-        "volume_movers": quote_volume_movers(eod, info, window, cfg, listed),
-        "most_quoted": most_quoted(summary, info, cfg, listed),
-        "bid_offer_spread_by_date": pivot_by_date(spread, [cfg.group], "AvgSpread"),
-        "bid_offer_volume": volume.orderBy("Ord", cfg.group, "Date", "Side"),
-        "bid_offer_volume_by_date": pivot_by_date(volume, [cfg.group, "Side"], "QuoteCount"),
-        "raw_data": raw_data_wide(eod, info, pivot_dates(eod)),
-    }
+    with report.building():
+        moves = _moves(report, eod, summary, info, tables[cfg.weights_table], cfg, movers)
+        report |= {
+            "report_dates": report_dates(eod.sparkSession, window),
+            "observed_prices": moves["observed_prices"],
+            "winners": moves["winners"],
+            "losers": moves["losers"],
+        }
+        if sector == "HY":
+            prices = report.staging.keep(avg_price_by_group(eod, info, cfg))
+            report["avg_price_by_date"] = pivot_by_date(prices, [cfg.group], "AvgPrice", pivot_dates(prices, window))
+        spread = report.staging.keep(bid_offer_spread(eod, info, cfg))
+        volume = report.staging.keep(bid_offer_volume(tables["security_stats"], info, window, cfg))
+        report |= {
+            "sentiment": sentiment(eod, cfg),
+            "volume_movers": quote_volume_movers(eod, info, window, cfg, listed),
+            "most_quoted": most_quoted(summary, info, cfg, listed),
+            "bid_offer_spread_by_date": pivot_by_date(spread, [cfg.group], "AvgSpread", pivot_dates(spread, window)),
+            "bid_offer_volume": volume.orderBy("Ord", cfg.group, "Date", "Side"),
+            "bid_offer_volume_by_date": pivot_by_date(
+                volume, [cfg.group, "Side"], "QuoteCount", pivot_dates(volume, window)
+            ),
+            "raw_data": raw_data_wide(eod, info, pivot_dates(eod, window)),
+        }
     return report
 
 
@@ -190,10 +205,11 @@ def movers_report(
     """The short corporate report: winners, losers and a sample of the losers."""
     window = _window(report_date, period, as_of, cfg)
     report, eod, summary, info = _corp_base(tables, sector, window, cfg)
-    moves = _moves(report, eod, summary, info, tables[cfg.weights_table], cfg, movers)
-    report |= {
-        "winners": moves["winners"],
-        "losers": moves["losers"],
-        "sample": sample_rows(moves["_falling"], sample),
-    }
+    with report.building():
+        moves = _moves(report, eod, summary, info, tables[cfg.weights_table], cfg, movers)
+        report |= {
+            "winners": moves["winners"],
+            "losers": moves["losers"],
+            "sample": sample_rows(moves["_falling"], sample),
+        }
     return report

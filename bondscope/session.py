@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,36 +30,46 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def staging_folder(spark: SparkSession) -> str | None:
-    """The shared folder the session names for written intermediate results."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def staging_folder(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``; a local session without one gets a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="bondscope-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def own_database(spark: SparkSession) -> str:
+    """A new database in the shared folder; its files go with the session at the latest."""
+    name = f"bondscope_{uuid4().hex}"
+    place = f"{staging_folder(spark)}/{name}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return name
 
 
 class Staging:
     """Frames several sections read, computed once and kept where lost executors do no harm.
 
-    Where the session names a shared folder in ``spark.checkpoint.dir``, ``table`` writes a
-    frame there as a table bucketed and sorted by its key. Later plans start from the
-    written columns they need, know their true size, and join and group by the key
-    without a shuffle. Without a folder the frame is persisted, and lost blocks are
-    computed again from the input tables.
+    ``table`` writes a frame to the shared folder as a table bucketed and sorted by its key. Later
+    plans start from the written columns they need, know their true size, and join and group by
+    the key without a shuffle. Small frames are persisted; lost blocks are computed again from the
+    written tables.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.folder = staging_folder(spark)
         self.database: str | None = None
         self.tables: list[str] = []
         self.kept: list[DataFrame] = []
 
     def table(self, frame: DataFrame, name: str, key: str, *then: str) -> DataFrame:
         """Stage a frame whose size grows with the input, partitioned by ``key``."""
-        if not self.folder:
-            return self.keep(frame)
         if self.database is None:
-            self.database = f"bondscope_{uuid4().hex}"
-            place = f"{self.folder.rstrip('/')}/{self.database}"
-            self.spark.sql(f"CREATE DATABASE {self.database} LOCATION '{place}'")
+            self.database = own_database(self.spark)
         full = f"{self.database}.{name}"
         buckets = shuffle_partitions(self.spark)
         frame.write.format("parquet").bucketBy(buckets, key).sortBy(key, *then).saveAsTable(full)

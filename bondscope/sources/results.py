@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bondscope.session import own_database
+
 RUN_KEYS = ("report_date", "sector")
+#: Tables behind published views, by application and view name.
+_PUBLISHED: dict[tuple[str, str], str] = {}
 
 
 def _place(path: str, name: str) -> str:
@@ -25,15 +29,23 @@ def publish(
 ) -> list[str]:
     """Make results readable by name, replacing earlier ones.
 
-    Without a path they become global temporary views of this application. With a
-    path each is a parquet dataset partitioned by report date and sector, of which
-    only the partition of this run is replaced.
+    Without a path they are written as tables of this application and become global temporary
+    views of those, so they outlive the report they come from. With a path each is a parquet
+    dataset partitioned by report date and sector, of which only the partition of this run is
+    replaced.
     """
     if path is not None and (report_date is None or sector is None):
         raise ValueError("a dataset needs report_date and sector")
+    database = None
     for name, frame in results.items():
         if path is None:
-            frame.createOrReplaceGlobalTempView(name)
+            spark = frame.sparkSession
+            database = database or own_database(spark)
+            table = f"{database}.{name}"
+            frame.write.format("parquet").saveAsTable(table)
+            spark.table(table).createOrReplaceGlobalTempView(name)
+            _drop_table(spark, name)
+            _PUBLISHED[spark.sparkContext.applicationId, name] = table
             continue
         (
             frame.withColumns({"report_date": F.lit(report_date), "sector": F.lit(sector)})
@@ -45,6 +57,17 @@ def publish(
     return list(results)
 
 
+def _drop_table(spark: SparkSession, name: str) -> None:
+    """Drop the table behind a published view, and its database with the last one."""
+    table = _PUBLISHED.pop((spark.sparkContext.applicationId, name), None)
+    if table is None:
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    database = table.split(".")[0]
+    if not any(other.startswith(f"{database}.") for other in _PUBLISHED.values()):
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def read_result(
     spark: SparkSession,
     name: str,
@@ -55,22 +78,25 @@ def read_result(
 ) -> DataFrame:
     """A published result; from a path, optionally one report date and sector of it.
 
-    Pivoted sections have other columns each week, so a single run is read from its
-    own directory and only its own columns come back.
+    Pivoted sections have other columns each week and sector. One sector of a report date is read
+    from its own directory and only its own columns come back; several have the columns of all.
     """
     if path is None:
         return spark.table(f"global_temp.{name}")
     where = _place(path, name)
     reader = spark.read.option("basePath", where)
-    if report_date is None:
+    if report_date is not None:
+        where += f"/report_date={report_date.isoformat()}"
+    if report_date is None or sector is None:
         return reader.option("mergeSchema", "true").parquet(where)
-    where += f"/report_date={report_date.isoformat()}"
-    return reader.parquet(where if sector is None else f"{where}/sector={sector}")
+    return reader.parquet(f"{where}/sector={sector}")
 
 
 def cleanup(spark: SparkSession, names: Iterable[str], frames: Iterable[DataFrame] = ()) -> list[str]:
-    """Drop published views and release staged frames; returns the views that existed."""
+    """Drop published views with their tables and release staged frames; returns the views that existed."""
     dropped = [name for name in names if spark.catalog.dropGlobalTempView(name)]
+    for name in dropped:
+        _drop_table(spark, name)
     for frame in frames:
         frame.unpersist()
     return dropped
@@ -79,17 +105,22 @@ def cleanup(spark: SparkSession, names: Iterable[str], frames: Iterable[DataFram
 def archive_run(
     spark: SparkSession, path: str, archive: str, names: Iterable[str], report_date: date
 ) -> dict[str, DataFrame]:
-    """Copy one report date of published datasets to ``archive``; returns the archived frames."""
+    """Copy one report date of published datasets to ``archive``; returns the archived frames.
+
+    Every sector is copied from its own directory with its own columns.
+    """
     archived = {}
     for name in names:
-        (
-            read_result(spark, name, path, report_date=report_date)
-            .withColumn("report_date", F.lit(report_date))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*RUN_KEYS)
-            .parquet(_place(archive, name))
-        )
+        sectors = read_result(spark, name, path, report_date=report_date).select("sector").distinct()
+        for (sector,) in sectors.collect():  # a few names
+            (
+                read_result(spark, name, path, report_date=report_date, sector=sector)
+                .withColumns({"report_date": F.lit(report_date), "sector": F.lit(sector)})
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*RUN_KEYS)
+                .parquet(_place(archive, name))
+            )
         archived[name] = read_result(spark, name, archive, report_date=report_date)
     return archived
 

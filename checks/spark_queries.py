@@ -6,6 +6,7 @@ import weakref
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from bondscope.functions import calendar as cal
 from bondscope.functions import expressions as ex
 from bondscope.operators import groups, movers, observed, relational, security, snapshot, volume, wide
 from bondscope.operators.sentiment import sentiment, with_previous
+from bondscope.session import staging_folder
 from bondscope.sources import results, tables
 from checks import adapter
 
@@ -100,7 +102,7 @@ class Inputs:
     def movers(self, cfg, ascending: bool = False, n: int = 300) -> DataFrame:
         info = self._keep(f"info {cfg.name}", lambda: self.info(cfg))
         return self._keep(
-            f"movers {cfg.name} {ascending}",
+            f"movers {cfg.name} {ascending} {n}",
             lambda: movers.top_movers(self.summary(cfg), info, cfg, n, ascending),
         )
 
@@ -109,7 +111,11 @@ class Inputs:
         payload = self.table(cfg.weights_table)
         if cfg is MUNI:
             payload = snapshot.loaded_days(payload, WINDOW, cfg)
-        return observed.observed_prices(self.shared_eod(cfg), ids, cfg, payload, max_securities=600)
+        return observed.observed_prices(self.shared_eod(cfg), ids, cfg, payload)
+
+
+def by_date(frame: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return relational.pivot_by_date(frame, keys, value, relational.pivot_dates(frame, WINDOW))
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
@@ -142,8 +148,8 @@ def report_calendar_month(i):
 
 @query
 def report_dates(i):
-    newest = i.read("events").agg(F.max("ts").alias("AsOf"))
-    return cal.report_calendar(newest, "AsOf").select("ReportDate", "PreviousReportDate")
+    newest = i.read("events").agg(F.max("ts")).first()[0]
+    return tables.report_dates(i.spark, report_window(as_of=newest.date()))
 
 
 @query
@@ -211,20 +217,20 @@ def named_state_securities(i):
 
 @query
 def value_changes(i):
-    def year(y):
-        return F.sum(F.when(F.year("o_orderdate") == y, F.col("o_totalprice")))
-
+    """Every customer's year against the year before; a missing year before has no price and no orders."""
+    years = i.read("orders").groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+    now = years.agg(F.sum("o_totalprice").alias("now"), F.count("*").alias("orders_now"))
+    before = now.select(
+        "o_custkey",
+        (F.col("year") + 1).alias("year"),
+        F.col("now").alias("before"),
+        F.col("orders_now").alias("orders_before"),
+    )
     return (
-        i.read("orders")
-        .groupBy("o_custkey")
-        .agg(
-            year(1996).alias("before"),
-            year(1997).alias("now"),
-            F.count_if(F.year("o_orderdate") == 1996).alias("orders_before"),
-            F.count_if(F.year("o_orderdate") == 1997).alias("orders_now"),
-        )
+        now.join(before, ["o_custkey", "year"], "left")
         .select(
             "o_custkey",
+            "year",
             ex.change(F.col("now"), F.col("before")).alias("Change"),
             ex.guarded_change(F.col("now"), F.col("before"), "decimal(20,6)").alias("GuardedChange"),
             ex.percent_increase(F.col("orders_now"), F.col("orders_before")).alias("PercentIncrease"),
@@ -254,15 +260,13 @@ def latest_per_user_and_day(i):
 @query
 def running_max_by_user(i):
     events = i.read("events").select("event_id", "user_id", "ts", "value")
-    hour = F.date_trunc("hour", F.col("ts"))
-    return relational.running_max(events, "value", ["ts", "event_id"], hour, keys=["user_id"]).drop("ts")
+    return relational.running_max(events, "value", ["ts", "event_id"], keys=["user_id"]).drop("ts")
 
 
 @query
 def running_max_overall(i):
     events = i.read("events").select("event_id", "ts", "value")
-    hour = F.date_trunc("hour", F.col("ts"))
-    return relational.running_max(events, "value", ["ts", "event_id"], hour).drop("ts")
+    return relational.running_max(events, "value", ["ts", "event_id"]).drop("ts")
 
 
 @query
@@ -303,6 +307,11 @@ def sentiment_month_muni(i):
     return sentiment(snapshot.eod_snapshot(i.table("muni_composite"), MONTH, MUNI), MUNI)
 
 
+@query
+def sentiment_month_corp(i):
+    return sentiment(snapshot.eod_snapshot(i.table("corp_composite"), MONTH, CORP), CORP)
+
+
 @query
 def quote_totals_corp(i):
     return volume.quote_totals(i.eod(CORP))
@@ -518,12 +527,12 @@ def bid_offer_spread_muni(i):
 
 @query
 def bid_offer_spread_by_date_corp(i):
-    return relational.pivot_by_date(bid_offer_spread_corp(i), ["MoodysIndustry"], "AvgSpread")
+    return by_date(bid_offer_spread_corp(i), ["MoodysIndustry"], "AvgSpread")
 
 
 @query
 def bid_offer_spread_by_date_muni(i):
-    return relational.pivot_by_date(bid_offer_spread_muni(i), ["State"], "AvgSpread")
+    return by_date(bid_offer_spread_muni(i), ["State"], "AvgSpread")
 
 
 @query
@@ -534,7 +543,7 @@ def avg_price_by_group(i):
 
 @query
 def avg_price_by_date(i):
-    return relational.pivot_by_date(avg_price_by_group(i), ["MoodysIndustry"], "AvgPrice")
+    return by_date(avg_price_by_group(i), ["MoodysIndustry"], "AvgPrice")
 
 
 @query
@@ -544,7 +553,7 @@ def bid_offer_volume(i):
 
 @query
 def bid_offer_volume_by_date(i):
-    return relational.pivot_by_date(bid_offer_volume(i), ["MoodysIndustry", "Side"], "QuoteCount")
+    return by_date(bid_offer_volume(i), ["MoodysIndustry", "Side"], "QuoteCount")
 
 
 @query
@@ -552,14 +561,16 @@ def detail_and_total_lineitem(i):
     lines = i.read("lineitem").select(
         F.to_date("l_shipdate").alias("Date"), F.col("l_returnflag").alias("Flag"), "l_extendedprice"
     )
-    return relational.detail_and_total(
-        lines, "Flag", {"AvgPrice": F.avg("l_extendedprice"), "Lines": F.count("*")}, "All flags"
-    )
+    price = F.col("l_extendedprice").cast("decimal(18,2)")  # sums of sums are exact
+    totals = {"Price": F.sum(price), "Lines": F.count("*")}
+    measures = {"AvgPrice": F.col("Price") / F.col("Lines"), "Lines": F.col("Lines")}
+    return relational.detail_and_total(lines, "Flag", totals, measures, "All flags")
 
 
 @query
 def raw_data_wide(i):
-    return wide.raw_data_wide(i.shared_eod(CORP), i.info(CORP))
+    eod = i.shared_eod(CORP)
+    return wide.raw_data_wide(eod, i.info(CORP), relational.pivot_dates(eod, WINDOW))
 
 
 # --- publishing and whole reports ------------------------------------------
@@ -571,6 +582,53 @@ def published_most_quoted(i):
     return results.read_result(i.spark, "most_quoted")
 
 
+REPORTS = {
+    "muni": (lambda i: i.report(muni_report, DAY), (
+        "winners", "losers", "sentiment", "volume_movers", "most_quoted",
+        "bid_offer_spread", "bid_offer_spread_by_date", "raw_data",
+    )),
+    "corp_hy": (lambda i: i.report(corp_report, "HY", DAY), (
+        "observed_prices", "winners", "losers", "avg_price_by_date", "sentiment", "volume_movers", "most_quoted",
+        "bid_offer_spread_by_date", "bid_offer_volume", "bid_offer_volume_by_date", "raw_data",
+    )),
+    "corp_ig": (lambda i: i.report(corp_report, "IG", DAY), (
+        "observed_prices", "winners", "losers", "sentiment", "volume_movers", "most_quoted",
+        "bid_offer_spread_by_date", "bid_offer_volume", "bid_offer_volume_by_date", "raw_data",
+    )),
+    "short_hy": (lambda i: i.report(movers_report, "HY", DAY), ("winners", "losers")),
+}
+
+
+def long_form(section: DataFrame) -> DataFrame:
+    """How often each value occurs in each column of a section, whatever the order of rows."""
+    shown = tidy(section)
+    texts = []
+    for field in shown.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DoubleType):
+            column = column.cast("decimal(28,6)")
+        text = F.coalesce(column.cast("string"), F.lit("NULL"))
+        texts.append(F.struct(F.lit(field.name).alias("Column"), text.alias("Value")))
+    cells = shown.select(F.explode(F.array(*texts)).alias("_cell")).select("_cell.*")
+    return cells.groupBy("Column", "Value").agg(F.count("*").alias("Rows"))
+
+
+def _whole_report(kind: str) -> None:
+    build, sections = REPORTS[kind]
+
+    def run(i: Inputs) -> DataFrame:
+        report = build(i)
+        parts = [long_form(report[name]).select(F.lit(name).alias("Section"), "*") for name in sections]
+        return reduce(DataFrame.unionByName, parts)
+
+    run.__name__ = f"{kind}_report_values"
+    query(run)
+
+
+for _kind in REPORTS:
+    _whole_report(_kind)
+
+
 def _sizes(report: Report) -> DataFrame:
     sections = [
         frame.agg(F.count("*").alias("Rows")).select(F.lit(name).alias("Section"), "Rows")
@@ -602,3 +660,21 @@ def corp_report_hy_winners(i):
 @query
 def movers_report_sample(i):
     return i.report(movers_report, "HY", DAY)["sample"]
+
+
+@query
+def archived_sectors(i):
+    """Two sectors whose pivots have other days, published, archived and read back."""
+    root = f"{staging_folder(i.spark)}/archived-{uuid4().hex}"
+    shown = {}
+    for name in ("HY", "IG"):
+        eod, _, info = i.sector(name)
+        period = 2 if name == "HY" else 1
+        prices = groups.avg_price_by_group(eod.where(F.col("Period") == period), info, CORP)
+        shown[name] = by_date(prices, ["MoodysIndustry"], "AvgPrice")
+        results.publish({"prices": shown[name]}, f"{root}/now", report_date=DAY, sector=name)
+    archived = results.archive_run(i.spark, f"{root}/now", f"{root}/old", ["prices"], DAY)["prices"]
+    days = [c for c in archived.columns if "/" in c]
+    long = archived.unpivot(["sector", "MoodysIndustry"], days, "Day", "AvgPrice")
+    own = {name: [c for c in frame.columns if "/" in c] for name, frame in shown.items()}
+    return long.where(reduce(lambda a, b: a | b, [(F.col("sector") == n) & F.col("Day").isin(d) for n, d in own.items()]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bondscope import CORP, MUNI
 from bondscope.operators.groups import avg_price_by_group, bid_offer_spread
-from bondscope.operators.relational import pivot_by_date
+from bondscope.operators.relational import pivot_by_date, pivot_dates
 from bondscope.operators.sentiment import sentiment, with_previous
 from bondscope.operators.snapshot import eod_snapshot
 from bondscope.operators.volume import bid_offer_volume, most_quoted, quote_volume_movers
@@ -133,7 +133,7 @@ def test_spread_keeps_missing_and_blank_groups_apart_until_the_pivot(spark):
         (1, "", DAY, 5.0),
         (1, "E", DAY, 1.5),
     ]
-    pivot = pivot_by_date(got, ["MoodysIndustry"], "AvgSpread")
+    pivot = pivot_by_date(got, ["MoodysIndustry"], "AvgSpread", pivot_dates(got, WINDOW))
     assert pivot.columns == ["MoodysIndustry", "01/22/24"]
     assert [(g, float(v)) for g, v in rows_of(pivot)] == [("All Industries", 2.75), ("", 5.0), ("E", 1.5)]
 
@@ -154,7 +154,7 @@ def test_avg_price_leaves_the_missing_group_null(spark):
     assert got.columns == ["MoodysIndustry", "Date", "AvgPrice", "Ord"]
     values = {(g, o): v for g, v, o in rows_of(got, "MoodysIndustry", "AvgPrice", "Ord")}
     assert values == {(None, 1): 100, ("", 1): 100, ("E", 1): 100, ("All Industries", 0): 100}
-    pivot = pivot_by_date(got, ["MoodysIndustry"], "AvgPrice")
+    pivot = pivot_by_date(got, ["MoodysIndustry"], "AvgPrice", pivot_dates(got, WINDOW))
     assert [r[0] for r in rows_of(pivot)] == ["All Industries", None, "", "E"]
 
 
@@ -190,7 +190,7 @@ def test_bid_offer_volume_merges_missing_and_blank_groups(spark):
     described = info(spark, (1, "E", None), (2, None, None), (3, "", None))
     got = bid_offer_volume(table(spark, "security_stats", rows), described, WINDOW)
     assert got.columns == ["MoodysIndustry", "Date", "Side", "QuoteCount", "Ord"]
-    pivot = pivot_by_date(got, ["MoodysIndustry", "Side"], "QuoteCount")
+    pivot = pivot_by_date(got, ["MoodysIndustry", "Side"], "QuoteCount", pivot_dates(got, WINDOW))
     assert pivot.columns == ["MoodysIndustry", "Side", "01/12/24", "01/22/24", "01/26/24"]
     assert rows_of(pivot) == [
         ("All Industries", "BID", 7, 19, 1),
@@ -204,7 +204,7 @@ def test_bid_offer_volume_merges_missing_and_blank_groups(spark):
 
 def test_pivot_over_no_rows_gives_the_key_columns(spark):
     empty = bid_offer_spread(corp_eod(spark, []), info(spark, (1, "E", None)), CORP)
-    pivot = pivot_by_date(empty, ["MoodysIndustry"], "AvgSpread")
+    pivot = pivot_by_date(empty, ["MoodysIndustry"], "AvgSpread", pivot_dates(empty, WINDOW))
     assert pivot.columns == ["MoodysIndustry"] and pivot.count() == 0
 
 
@@ -214,7 +214,8 @@ def test_raw_data_wide(spark):
         corp_row(2, 1, at("2024-01-22"), 100, None, counts=(4, 5, 6)),
         corp_row(3, 2, at("2024-01-22"), 50, 51),
     ]
-    got = raw_data_wide(corp_eod(spark, rows), info(spark, (1, "E", None), (3, "F", None)))
+    eod = corp_eod(spark, rows)
+    got = raw_data_wide(eod, info(spark, (1, "E", None), (3, "F", None)), pivot_dates(eod, WINDOW))
     days = ["01/12/24", "01/22/24"]
     assert got.columns == "SecurityId Identifier SecurityName MoodysIndustry Coupon Rating".split() + [
         f"{p}{d}" for p in ("B_CMP_", "O_CMP_", "DL_CT_", "B_CT_", "O_CT_") for d in days
@@ -222,7 +223,7 @@ def test_raw_data_wide(spark):
     first, third = sorted(tuple(r) for r in got.collect())
     assert first[6:] == (90, 100, 91, None, 1.0, 4.0, 2.0, 5.0, 3.0, 6.0)
     assert third[0] == 3 and set(third[6:]) == {None}
-    empty = raw_data_wide(corp_eod(spark, []), info(spark, (1, "E", None)))
+    empty = raw_data_wide(corp_eod(spark, []), info(spark, (1, "E", None)), [])
     assert empty.columns == got.columns[:6] and empty.count() == 1
 
 
@@ -231,3 +232,12 @@ def test_pivot_by_given_days(spark, days):
     frame = spark.createDataFrame([("a", DAY, 1.0, 1), ("a", date(2024, 1, 23), 2.0, 1)], "g string, Date date, v double, Ord int")
     got = pivot_by_date(frame, ["g"], "v", days)
     assert rows_of(got) == ([("a", 1.0)] if days else [("a",)])
+
+
+def test_volume_takes_a_boolean_flag(spark):
+    stats = spark.createDataFrame(
+        [(1, date(2024, 1, 22), "CORP", True, 2, 3), (1, date(2024, 1, 22), "CORP", False, 7, 7)],
+        "SecurityId long, Date date, SectorType string, IsAggregate boolean, BidCountByMessage long, OfferCountByMessage long",
+    )
+    got = bid_offer_volume(stats, info(spark, (1, "E", None)), WINDOW)
+    assert sorted(rows_of(got.where("Ord = 0"), "Side", "QuoteCount")) == [("BID", 2), ("OFFER", 3)]

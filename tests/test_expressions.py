@@ -117,6 +117,20 @@ def test_decimal_ratio_cuts_the_last_digit(spark):
     assert got == [Decimal("0.6666666666"), None, Decimal("0E-10"), Decimal("0.1250000000")]
 
 
+def test_decimal_ratio_keeps_the_decimals_of_the_divisor(spark):
+    rows = [(Decimal(6), Decimal("3.00004")), (Decimal(1), Decimal(2 * 10**14)), (Decimal(-2), Decimal(3))]
+    got = values(spark, rows, "p decimal(20,5), w decimal(20,5)", ex.decimal_ratio(F.col("p"), F.col("w")))
+    assert got == [Decimal("1.9999733336"), Decimal("0E-10"), Decimal("-0.6666666666")]
+
+
+def test_text_that_looks_like_a_container_stays(spark):
+    texts = ['{"BdOfSprMsg":"[wide] 2pt"}', '{"BdOfSprMsg":{"a":1}}', '{"BdOfSprMsg":[1]}', '{"BdOfSprMsg":"{x"}', "{"]
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string")
+    field = next(f for f in MUNI.json_fields if f.path == "BdOfSprMsg")
+    got = dict(ex.with_json_fields(frame, "t", [field]).select("n", field.column).collect())
+    assert got == {0: "[wide] 2pt", 1: None, 2: None, 3: "{x", 4: None}
+
+
 def test_percent_increase(spark):
     rows = [(15.0, 11.0), (5.0, 0.0), (5.0, None), (5.0, -1.0), (1.0, 3.0)]
     got = values(spark, rows, "n double, b double", ex.percent_increase(F.col("n"), F.col("b")))

@@ -44,19 +44,23 @@ CASES = {
 EXPECTED = {1: 105.0, 2: 100.0, 3: None, 4: 110.0, 6: 50.0, 7: 110.0, 10: 101.5}
 
 
-def corp_prices(spark, **options):
+def corp_prices(spark):
     eod = eod_snapshot(
         table(spark, "corp_composite", [corp_row(n, n, at("2024-01-25")) for n in [*CASES, 11]]), WINDOW, CORP
     )
     payload = debug(spark, [*CASES.items(), (99, [quote("1", "1")])])
-    return observed_prices(eod, securities(spark, *CASES, 1), CORP, payload, **options)
+    return observed_prices(eod, securities(spark, *CASES, 1), CORP, payload)
 
 
-@pytest.mark.parametrize("limit", [None, 10, 10**9])
-def test_corporate_prices_with_and_without_broadcast(spark, limit):
-    got = corp_prices(spark, max_securities=limit)
-    assert got.columns == ["SecurityId", "Date", "Period", "WeightedPrice"]
-    assert dict(rows_of(got, "SecurityId", "WeightedPrice")) == EXPECTED
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_corporate_prices_with_and_without_broadcast(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = corp_prices(spark)
+        assert got.columns == ["SecurityId", "Date", "Period", "WeightedPrice"]
+        assert dict(rows_of(got, "SecurityId", "WeightedPrice")) == EXPECTED
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_only_wanted_securities_and_periods(spark):
@@ -80,7 +84,7 @@ def test_muni_prices_from_the_row_or_a_payload(spark):
     composites = table(spark, "muni_composite", rows)
     eod = eod_snapshot(composites, WINDOW, MUNI)
     own = observed_prices(eod, securities(spark, 1, 2), MUNI)
-    joined = observed_prices(eod.drop("JsonDetail"), securities(spark, 1, 2), MUNI, composites, max_securities=2)
+    joined = observed_prices(eod.drop("JsonDetail"), securities(spark, 1, 2), MUNI, composites)
     assert rows_of(own, "SecurityId", "WeightedPrice") == rows_of(joined, "SecurityId", "WeightedPrice") == [(1, 103.0)]
 
 

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from bondscope.operators.relational import detail_and_total, latest_per, lookup_join, running_max, top_ranked
+from bondscope.operators.relational import assert_unique, detail_and_total, latest_per, lookup_join, running_max, top_ranked
 from bondscope.sources.tables import literal_table, sample_rows, to_long
 from tests.golden import rows_of
 
@@ -21,7 +21,7 @@ def test_lookup_join_keeps_every_row_once(spark):
     for broadcast in ("10MB", "-1"):  # with and without Spark's own broadcast
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
         try:
-            got = lookup_join(frame, lookup, [("k", "code")], spread_by=["id"])
+            got = lookup_join(frame, lookup, [("k", "code")])
             rows = rows_of(got)
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -33,7 +33,7 @@ def test_lookup_join_keeps_every_row_once(spark):
 def test_lookup_join_on_two_keys_and_repeated_lookup_rows(spark):
     frame = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, None, 1)], "id int, s string, n int")
     lookup = spark.createDataFrame([("a", 1, 10), ("a", 1, 11), ("b", 1, 12)], "ls string, ln int, v int")
-    got = lookup_join(frame, lookup, [("s", "ls"), ("n", "ln")], spread_by=["id"])
+    got = lookup_join(frame, lookup, [("s", "ls"), ("n", "ln")])
     assert sorted(rows_of(got, "id", "v"), key=str) == [(1, 10), (1, 11), (2, None), (3, None)]
 
 
@@ -45,7 +45,7 @@ def test_top_ranked(spark):
 
 def test_detail_and_total_tells_a_null_group_from_the_total(spark):
     frame = spark.createDataFrame([(1, None, 2.0), (1, "x", 4.0), (2, None, 8.0)], "Date int, g string, v double")
-    got = detail_and_total(frame, "g", {"s": F.sum("v")}, "All")
+    got = detail_and_total(frame, "g", {"s": F.sum("v")}, {"s": F.col("s")}, "All")
     assert sorted(rows_of(got, "Ord", "Date", "g", "s"), key=str) == [
         (0, 1, "All", 6.0),
         (0, 2, "All", 8.0),
@@ -58,7 +58,7 @@ def test_detail_and_total_tells_a_null_group_from_the_total(spark):
 def test_running_max_of_a_short_sequence(spark):
     rows = list(enumerate([9, 41, 12, 3, 74, 15]))
     frame = literal_table(spark, rows, "n int, v int")
-    got = running_max(frame, "v", ["n"], F.floor(F.col("n") / 2))
+    got = running_max(frame, "v", ["n"])
     assert rows_of(got.orderBy("n"), "RunningMax") == [(9,), (41,), (41,), (41,), (74,), (74,)]
 
 
@@ -71,7 +71,7 @@ def test_running_max_agrees_with_a_loop(spark, keys):
         for i in range(400)
     ]
     frame = spark.createDataFrame(rows, "id int, k string, t timestamp_ntz, v int")
-    got = running_max(frame, "v", ["t", "id"], F.date_trunc("hour", F.col("t")), keys)
+    got = running_max(frame, "v", ["t", "id"], keys)
     expected = {}
     ordered = sorted(rows, key=lambda r: ((r[1] is not None, r[1] or "") if keys else 0, r[2], r[0]))
     for _, group in itertools.groupby(ordered, key=lambda r: r[1] if keys else 0):
@@ -82,6 +82,25 @@ def test_running_max_agrees_with_a_loop(spark, keys):
     assert dict(rows_of(got, "id", "RunningMax")) == expected
 
 
+def test_running_max_splits_a_hot_hour(spark):
+    frame = spark.range(20_000).selectExpr("id", "timestamp_ntz '2024-01-01 10:00:00' as t", "id % 977 as v")
+    got = running_max(frame, "v", ["t", "id"])
+    rows = dict(rows_of(got, "id", "RunningMax"))
+    assert rows[0] == 0 and rows[500] == 500 and rows[19_999] == 976
+    blocks = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_at" in blocks
+    cuts = [r[0] for r in got.select("id").collect()]
+    assert len(cuts) == 20_000
+
+
+def test_repeated_keys_fail(spark):
+    lookup = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k int, v string")
+    assert assert_unique(lookup, ["k"], "title").count() == 2
+    twice = lookup.unionByName(lookup.limit(1))
+    with pytest.raises(Exception, match="repeated title: 1"):
+        assert_unique(twice, ["k"], "title").collect()
+
+
 def test_to_long_keeps_missing_values(spark):
     frame = spark.createDataFrame([("d", 4, None), ("e", 1, 2)], "id string, A int, B int")
     assert sorted(rows_of(to_long(frame, ["id"], ["A", "B"])), key=str) == [

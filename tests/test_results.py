@@ -58,6 +58,17 @@ def test_archive_copies_one_run(spark, tmp_path):
     assert read_result(spark, "spread", archive).first()["01/1/24"] == 1.0
 
 
+def test_sectors_of_one_date_keep_their_own_columns(spark, tmp_path):
+    path, archive = str(tmp_path / "now"), str(tmp_path / "old")
+    publish(sections(spark, 1), path, report_date=FIRST, sector="HY")
+    publish(sections(spark, 2), path, report_date=FIRST, sector="IG")
+    both = archive_run(spark, path, archive, ["spread"], FIRST)["spread"]
+    assert {"01/1/24", "01/2/24"} <= set(both.columns)
+    assert sorted(rows_of(both, "sector", "01/1/24", "01/2/24")) == [("HY", 1.0, None), ("IG", None, 2.0)]
+    one = read_result(spark, "spread", archive, report_date=FIRST, sector="IG")
+    assert "01/1/24" not in one.columns and rows_of(one, "01/2/24") == [(2.0,)]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_bundle_round_trip(spark, tmp_path, fmt):
     path = str(tmp_path)
