@@ -24,11 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bondscope.llm.common import map_batches, stage
+from bondscope.llm.common import count_ascii_words, map_batches, stage
 from bondscope.llm.language import ngram_sets
 from bondscope.llm.linear import SetClassifier, softmax, train_sets
 
@@ -176,7 +175,7 @@ def apply_rates(docs: DataFrame, model: DomainModel, fit: RateFit, key: str = "d
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         posterior = model.posteriors(batch.column("text"))
         best = [model.domains[k] for k in posterior.argmax(axis=1)] if model.domains else [None] * batch.num_rows
-        arrays = [*batch.columns, pa.array(best, pa.string()), pa.array(count_words(batch.column("text")))]
+        arrays = [*batch.columns, pa.array(best, pa.string()), pa.array(count_ascii_words(batch.column("text")))]
         arrays += [pa.array(posterior.tolist(), pa.list_(pa.float64())), pa.array(fit.rates(posterior))]
         return pa.RecordBatch.from_arrays(arrays, names=[*names, "domain", "tokens", "posterior", "rate"])
 
@@ -188,7 +187,7 @@ def apply_rates(docs: DataFrame, model: DomainModel, fit: RateFit, key: str = "d
 
 def _judge(batch: pa.RecordBatch, model: DomainModel) -> pa.RecordBatch:
     posterior = model.posteriors(batch.column("text"))
-    arrays = [pa.array(count_words(batch.column("text"))), pa.array(posterior.tolist(), pa.list_(pa.float64()))]
+    arrays = [pa.array(count_ascii_words(batch.column("text"))), pa.array(posterior.tolist(), pa.list_(pa.float64()))]
     return pa.RecordBatch.from_arrays(arrays, names=["tokens", "posterior"])
 
 
@@ -210,21 +209,3 @@ def _added(judged: DataFrame, numbers, size: int) -> np.ndarray:
     parts = judged.select("tokens", "posterior").mapInArrow(run, "sums array<double>")
     row = parts.agg(*[F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(size)]).first()
     return np.array([x or 0.0 for x in row])
-
-
-def count_words(texts: pa.Array) -> np.ndarray:
-    """White-space words of each text."""
-    texts = pc.fill_null(texts, "").cast(pa.large_binary())
-    _, offsets, data = texts.buffers()
-    bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    if len(texts) == 0 or bounds[-1] == bounds[0]:
-        return np.zeros(len(texts), np.int64)
-    points = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
-    solid = ~((points == 32) | ((points >= 9) & (points <= 13)))
-    begins = solid.copy()
-    begins[1:] &= ~solid[:-1]
-    bounds = bounds - bounds[0]
-    heads = bounds[:-1][np.diff(bounds) > 0]
-    begins[heads] = solid[heads]
-    so_far = np.concatenate([[0], np.cumsum(begins)])
-    return (so_far[bounds[1:]] - so_far[bounds[:-1]]).astype(np.int64)

@@ -121,7 +121,9 @@ def fit_quality(
     found = found.sort_by([("doc_id", "ascending"), ("cells", "ascending")])
     good = found.column("good").to_numpy()
     sets = [np.frombuffer(c, np.int32) for c in found.column("cells").to_pylist()]
-    dense = np.array(found.column("dense").to_pylist(), float).reshape(len(sets), -1)
+    if not sets:
+        return QualityModel(0.5)
+    dense = np.array(found.column("dense").to_pylist(), float)
     return co_train(sets, dense[:, :2], dense[:, 2:], good)
 
 
