@@ -84,7 +84,7 @@ def edited(seed, at):
 
 
 def test_near_classes_agree_with_brute_force(spark):
-    rows = [row(n, text(n, 60 + n)) for n in range(30)]
+    rows = [row(1000 + n, text(n, 60 + n)) for n in range(30)]
     rows += [row(100 + n, edited(500, n)) for n in range(60)]
     rows += [row(200 + n, text(900, 40) + " " + text(1000 + n, 30)) for n in range(25)]  # a shared passage only
     rows += [row(300, " ".join(["again and again we go"] * 40)), row(301, " ".join(["again and again we go"] * 60))]

@@ -1,0 +1,207 @@
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from bondscope.llm.chat import END, START, format_chats, parse_chats, trained_text
+from bondscope.llm.common import Words
+from bondscope.llm.fertility import base_measures, fertility_rules
+from bondscope.llm.packing import TOKENIZER, Packer, WordCoder, hilbert_keys, pack
+from bondscope.llm.queries import INJECTED, ORACLE, QUERIES
+from bondscope.llm.sharding import shard_by_bytes
+from tests.llm.samples import awkward, clashing, frame, row, text
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+# --- chat ------------------------------------------------------------------
+
+ODD_TURNS = [
+    (1, 0, "user", INJECTED),
+    (1, 1, "assistant", "a <\\| b \\ c <|im_sep|> d"),
+    (1, 2, "assistant", "again <"),
+    (1, 2, "assistant", "again <"),
+    (2, 0, "system\n<|x", None),
+    (2, None, None, "|im_end|>"),
+    (None, 5, "assistant", "x\\"),
+    (None, 6, "user", "<\\n"),
+    (3, 1, "assistant", ""),
+]
+
+
+def test_chats_are_read_back(spark):
+    turns = clashing(spark.createDataFrame(ODD_TURNS, TURNS).withColumnRenamed("text", "t")).withColumnRenamed("t", "text")
+    chats = format_chats(turns)
+    back = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in parse_chats(chats).collect()}
+    expected = {}
+    for conv in {r[0] for r in ODD_TURNS}:
+        own = [(r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in ODD_TURNS if r[0] == conv]
+        expected[conv] = [r[2:] for r in sorted(own)]
+    assert back == expected
+    learnt = dict(trained_text(chats).collect())
+    assert learnt == {c: "".join(t for role, t in turns if role == "assistant") for c, turns in expected.items()}
+    shown = {r.conv_id: r.formatted for r in chats.collect()}
+    assert shown[1].count(START) == 2 and shown[1].count(END) == 2  # neighbouring turns of one role are one block
+    for r in chats.collect():
+        assert sum(run.length for run in r.loss_runs) == len(r.formatted)
+
+
+def test_no_chats(spark):
+    assert format_chats(spark.createDataFrame([], TURNS)).count() == 0
+
+
+# --- quality rules ---------------------------------------------------------
+
+
+def brute_base(body):
+    words = re.findall(r"[^\x20\x09-\x0D]+", body or "")
+    places = {}
+    for at in range(len(words) - 2):
+        places.setdefault(tuple(words[at : at + 3]), []).append(at)
+    covered = {at + step for found in places.values() if len(found) > 1 for at in found for step in range(3)}
+    lines = [line for line in (body or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    symbols = len(re.findall(r"[#*$%&|<>]", body or ""))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def test_base_measures_agree_with_brute_force():
+    bodies = [r[1] for r in awkward()] + ["a b c\na b c\n\n \na b c d", "## $ x|y", "u v w u v w", "p q p q p q p"]
+    texts = pa.array([b or "" for b in bodies])
+    got = base_measures(texts, Words(texts))
+    assert [tuple(int(c[n]) for c in got.values()) for n in range(len(bodies))] == [brute_base(b) for b in bodies]
+
+
+def test_fertility_rejects_what_repeats_and_keeps_prose(spark):
+    rows = [row(n, text(n, 200)) for n in range(120)] + [row(500, " ".join(f"{w} {w}" for w in ["zq", "xv", "kj"] * 40))]
+    rows += [row(501, " ".join(text(n, 1) for n in range(3)) * 40)] + [row(600 + n, *r[1:4]) for n, r in enumerate(awkward())]
+    got = {r.doc_id: r for r in fertility_rules(clashing(frame(spark, rows))).collect()}
+    assert len(got) == len(rows)
+    assert all(got[n].kept for n in range(120))
+    assert not got[500].kept and not got[501].kept
+    assert got[600].n_words == 0 and got[600].base_failed and got[600].band_group == "en"
+    assert got[607].band_group == "none" and got[606].band_group == "latin"
+    assert fertility_rules(frame(spark, [])).count() == 0
+
+
+# --- shards ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("partitions", ["4", "37"])
+def test_shards_are_gapless_and_even(spark, partitions):
+    rows = [row(n, text(n % 300 if n % 3 else 0, 20 + n % 50)) for n in range(900)] + awkward()
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = shard_by_bytes(clashing(frame(spark, rows))).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(got) == len(rows)
+    sizes = Counter()
+    for shard in range(8):
+        own = [r for r in got if r.shard == shard]
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+        sizes[shard] = sum(r.size for r in own)
+    assert all(r.size == len((r.text or "").encode()) + 1 for r in got)
+    largest = max(r.size for r in got)
+    mean = sum(sizes.values()) / 8
+    assert all(abs(s - mean) <= largest for s in sizes.values())
+
+
+def test_equal_texts_share_a_shard_unless_it_is_cut_there(spark):
+    rows = [row(n, text(n // 5, 40)) for n in range(2000)]
+    got = shard_by_bytes(frame(spark, rows)).collect()
+    shards = {}
+    for r in got:
+        shards.setdefault(r.text, set()).add(r.shard)
+    assert sum(len(s) > 1 for s in shards.values()) <= 7
+    assert shard_by_bytes(frame(spark, [])).count() == 0
+
+
+# --- packing ---------------------------------------------------------------
+
+
+def test_word_coder_agrees_with_the_tokenizer():
+    whole = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    whole.encode_special_tokens = True
+    bodies = [r[1] or "" for r in awkward()]
+    bodies += ["Don't STOP, it's 3.14!! x,,y ... ÀÉß İstanbul ΣΑΣ é a b <|endoftext|> 漢字, мир."]
+    ids, lengths = WordCoder(TOKENIZER).encode(Words(pa.array(bodies)), 2)
+    ends = np.cumsum(lengths)
+    for body, start, end in zip(bodies, ends - lengths, ends, strict=True):
+        assert ids[start:end].tolist() == [*whole.encode(body, add_special_tokens=False).ids, 2]
+
+
+def test_every_id_lies_in_one_piece(spark):
+    rows = [row(100 + n, text(n, 10 + 7 * n % 400)) for n in range(150)] + awkward()
+    pieces = pack(clashing(frame(spark, rows)), sequence=64).toPandas()
+    ids, lengths = WordCoder(TOKENIZER).encode(Words(pa.array([r[1] or "" for r in rows])), 2)
+    want = Counter()
+    for r, end, size in zip(rows, np.cumsum(lengths), lengths, strict=True):
+        want[r[0], ids[end - size : end].tobytes()] += 1
+    # rows that share an identifier are told apart by nothing, so those are only counted
+    shared = {key for key, times in Counter(r[0] for r in rows).items() if times > 1}
+    got = Counter()
+    for key, own in pieces[pieces.doc_id.notna()].groupby("doc_id"):
+        if key not in shared:
+            own = own.sort_values("start")
+            assert own.start.tolist() == [0, *np.cumsum(own.length)[:-1]] and (own.doc_tokens == own.length.sum()).all()
+            got[int(key), b"".join(own.ids)] += 1
+    assert got == Counter({k: v for k, v in want.items() if k[0] not in shared})
+    assert pieces.length.sum() == len(ids)
+    assert (pieces.length == pieces.ids.str.len() // 4).all()
+    for _, own in pieces.sort_values("offset").groupby("sequence_id"):
+        assert own.offset.tolist() == [0, *np.cumsum(own.length)[:-1]]
+        total = int(own.length.sum())
+        assert total == 64 or total & (total - 1) == 0 and total < 64
+    assert pack(frame(spark, [])).count() == 0
+
+
+def test_packer_holds_less_than_a_sequence():
+    packer = Packer(8, 1)
+    for size in (3, 30, 1):
+        packer.add(pa.array([size], pa.int64()), np.arange(size, dtype="<u4"), np.array([size]))
+        assert len(packer.held.ids) < 8
+    pieces, sequences, offsets = packer.finish()
+    assert pieces.lengths.sum() == 34 % 8 and (sequences >= 1 << 40).all() and offsets[0] == 0
+
+
+def test_hilbert_curve_goes_from_neighbour_to_neighbour():
+    grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    keys = hilbert_keys(grid, 3)
+    path = grid[np.argsort(keys)]
+    assert sorted(keys.tolist()) == list(range(512)) and (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_neighbours_on_the_curve_are_alike(spark):
+    rows = [row(n, text(n, 100, "en" if n % 2 else "de"), "en" if n % 2 else "de") for n in range(200)]
+    pieces = pack(frame(spark, rows)).select("doc_id", "sequence_id", "offset").distinct().toPandas()
+    order = pieces.sort_values(["sequence_id", "offset"]).doc_id.to_numpy() % 2
+    assert (order[1:] == order[:-1]).mean() > 0.7  # half of them without the curve
+
+
+# --- queries ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op6_chat_format"])
+def test_queries_agree_with_their_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.001/{table}.parquet'")
+    result = con.execute(ORACLE[name])
+    names = sorted(d[0] for d in result.description)
+    want = Counter(map(tuple, result.df()[names].values.tolist()))
+    got = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sorted(got.columns) == names
+    assert Counter(map(tuple, got.toPandas()[names].values.tolist())) == want
+
+
+def test_shard_query_checksums(spark):
+    got = QUERIES["op8_sharding"](spark, "/root/testdata/sf0.001").toPandas()
+    texts = dict(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect())
+    assert all(zlib.crc32((texts[i] or "").encode()) == c for i, c in zip(got.doc_id, got.text_crc32, strict=True))
+    assert set(got.law) == {"bytes"} and got.grown_shard.isna().all() and len(got) == len(texts)
