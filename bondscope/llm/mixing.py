@@ -9,7 +9,7 @@ past errors, and no state is kept between passes.
 
 The rate becomes copies: its whole part, and one more with the chance of the rest, by a hash of the
 identifier. With the default bound of 1 a document appears once or not at all, and the budget is
-the largest that needs no more.
+nearly the largest that needs no more.
 
 Nulls: a null text has no tokens and keeps rate and copies from its posterior like an empty one; a null
 identifier hashes like a value of its own. Rows with a null domain or text are not learnt from. Domains without a target keep their share of
@@ -33,7 +33,11 @@ from bondscope.llm.linear import SetClassifier, softmax, train_sets
 
 #: Bound of the sample of labelled rows; a row is at most one number for each n-gram cell.
 MAX_LABELLED = 2_400
-MAX_PASSES, CLOSE = 60, 1e-3
+#: Passes at most; the largest error, as a share of a target, that is good enough; passes without a change
+#: after which the targets are taken to be out of reach.
+MAX_PASSES, CLOSE, STALLED = 60, 1e-3, 6
+#: The part of the largest budget that soft memberships can fill.
+ROOM = 0.95
 GRAIN = 1 << 30
 
 
@@ -125,8 +129,10 @@ class RateFit:
     def rates(self, posterior: np.ndarray, ahead: bool = False) -> np.ndarray:
         """The rates after all passes so far, or the point ahead of them where the next error is taken."""
         rate = np.full(len(posterior), min(1.0, self.bound))
-        point, speed = rate, 1.0
+        point, speed, last = rate, 1.0, np.inf
         for error in self.errors:
+            off = float((error * error / self.weights).sum())
+            speed, last = (1.0 if off > last else speed), off  # momentum that overshoots begins anew
             new = np.clip(point - self.step * (posterior @ (error / self.weights)), 0, self.bound)
             faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
             point, rate, speed = new + (speed - 1) / faster * (new - rate), new, faster
@@ -152,7 +158,7 @@ def fit_rates(
     wanted = np.where(held > 0, wanted, 0.0)
     wanted = wanted / wanted.sum() if wanted.sum() > 0 else held / total
     some = wanted > 0
-    budget = bound * float((held[some] / wanted[some]).min()) if budget is None else budget
+    budget = ROOM * bound * float((held[some] / wanted[some]).min()) if budget is None else budget
     aim = wanted * budget / total
     weights = np.maximum(aim, 1e-3)
     scaled = spread / total / np.sqrt(np.outer(weights, weights))
@@ -164,7 +170,8 @@ def fit_rates(
 
         error = _added(judged, expected, n) / total - aim
         fit = RateFit(weights, bound, fit.step, [*fit.errors, error])
-        if np.abs(error / weights).max() < CLOSE:
+        off = np.abs(np.stack(fit.errors[-STALLED:]) / weights)
+        if off[-1].max() < CLOSE or len(off) == STALLED and np.ptp(off, axis=0).max() < CLOSE / 10:
             break
     return fit
 
