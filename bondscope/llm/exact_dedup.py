@@ -75,7 +75,7 @@ def drop_exact_copies(docs: DataFrame, text: str = "text", key: str = "doc_id")
     hashed = docs.withColumn("_row", _row_hash(text))
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_row") == F.col("_kept_row"))
     once = Window.partitionBy(key, "_row").orderBy(F.lit(0))
-    left = hashed.join(kept, same, "left_semi").withColumn("_once", F.row_number().over(once))
+    left = hashed.join(kept.hint("merge"), same, "left_semi").withColumn("_once", F.row_number().over(once))
     return left.where("_once = 1").select(docs.columns)
 
 

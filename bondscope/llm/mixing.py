@@ -23,9 +23,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bondscope.llm.common import count_ascii_words, map_batches, stage
 from bondscope.llm.language import ngram_sets
@@ -97,18 +99,25 @@ def mix_to_targets(
     bound: float = 1.0,
     budget: float | None = None,
     key: str = "doc_id",
+    keep_text: bool = True,
 ) -> DataFrame:
     """All rows with ``domain``, ``tokens``, ``posterior``, ``rate`` and ``copies``.
 
-    ``budget`` is the number of tokens to mix, by default the most that the bound on rates allows.
+    ``budget`` is the number of tokens to mix, by default nearly the most that the bound on rates allows.
+    Documents are judged once and written with their posteriors; passes read those alone.
     """
     added = ("domain", "tokens", "posterior", "rate", "copies")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
-    judged = stage(map_batches(
-        docs.select("text"), lambda b: _judge(b, model), "tokens long, posterior array<double>"
-    ))
+    judged = stage(judge_domains(docs, model, keep_text))
     fit = fit_rates(judged, model.domains, targets, bound, budget)
-    return apply_rates(docs, model, fit, key)
+
+    @F.pandas_udf("double")
+    def rate(posterior: pd.Series) -> pd.Series:
+        return pd.Series(fit.rates(np.stack(posterior.to_list())) if len(posterior) else [], dtype=float)
+
+    chance = F.pmod(F.xxhash64(F.lit("mix"), F.col(key)), F.lit(GRAIN)) / GRAIN
+    rated = judged.withColumn("rate", rate("posterior"))
+    return rated.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
 
 
 def repeat_copies(rated: DataFrame) -> DataFrame:
@@ -176,26 +185,19 @@ def fit_rates(
     return fit
 
 
-def apply_rates(docs: DataFrame, model: DomainModel, fit: RateFit, key: str = "doc_id") -> DataFrame:
-    names = docs.columns
+def judge_domains(docs: DataFrame, model: DomainModel, keep_text: bool = True) -> DataFrame:
+    """All rows with their likeliest ``domain``, ``tokens`` and ``posterior``."""
+    kept = [f for f in docs.schema.fields if keep_text or f.name != "text"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         posterior = model.posteriors(batch.column("text"))
         best = [model.domains[k] for k in posterior.argmax(axis=1)] if model.domains else [None] * batch.num_rows
-        arrays = [*batch.columns, pa.array(best, pa.string()), pa.array(count_ascii_words(batch.column("text")))]
-        arrays += [pa.array(posterior.tolist(), pa.list_(pa.float64())), pa.array(fit.rates(posterior))]
-        return pa.RecordBatch.from_arrays(arrays, names=[*names, "domain", "tokens", "posterior", "rate"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    rated = map_batches(docs, work, f"{kinds}, domain string, tokens long, posterior array<double>, rate double")
-    chance = F.pmod(F.xxhash64(F.lit("mix"), F.col(key)), F.lit(GRAIN)) / GRAIN
-    return rated.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
-
+        arrays = [*(batch.column(f.name) for f in kept), pa.array(best, pa.string())]
+        arrays += [pa.array(count_ascii_words(batch.column("text"))), pa.array(posterior.tolist(), pa.list_(pa.float64()))]
+        return pa.RecordBatch.from_arrays(arrays, names=[*(f.name for f in kept), "domain", "tokens", "posterior"])
 
-def _judge(batch: pa.RecordBatch, model: DomainModel) -> pa.RecordBatch:
-    posterior = model.posteriors(batch.column("text"))
-    arrays = [pa.array(count_ascii_words(batch.column("text"))), pa.array(posterior.tolist(), pa.list_(pa.float64()))]
-    return pa.RecordBatch.from_arrays(arrays, names=["tokens", "posterior"])
+    added = T.StructType().add("domain", "string").add("tokens", "long").add("posterior", T.ArrayType(T.DoubleType()))
+    return map_batches(docs, work, T.StructType([*kept, *added.fields]))
 
 
 def _numbers(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -89,7 +89,7 @@ def near_classes(
 def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of the smallest identifier of each class, one for each identifier, and those without one."""
     kept = near_classes(docs.where(F.col(key).isNotNull()), text, key).where("kept").select(F.col(key).alias("_key"))
-    left = docs.join(kept, F.col(key) == F.col("_key"), "left_semi")
+    left = docs.join(kept.hint("merge"), F.col(key) == F.col("_key"), "left_semi")
     once = Window.partitionBy(key).orderBy(F.xxhash64(text))
     left = left.withColumn("_once", F.row_number().over(once)).where("_once = 1").select(docs.columns)
     return left.unionByName(docs.where(F.col(key).isNull()))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bondscope.llm.chat import format_chats, parse_chats, trained_text
-from bondscope.llm.common import held_out, read_table, stage, text_or_empty
+from bondscope.llm.common import hashed_sample, held_out, read_table, stage, text_or_empty
 from bondscope.llm.exact_dedup import exact_groups
 from bondscope.llm.fertility import fertility_rules
 from bondscope.llm.language import fit_languages, predict_languages
@@ -180,10 +180,16 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 TARGETS = {"en": 0.6, "de": 0.14, "fr": 0.14, "es": 0.1, "low": 0.02}
 
 
+#: Labelled rows that the domain classifier may choose its sample from.
+MAX_DOMAIN_LABELS = 9_600
+
+
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents with their domain: the language of good ones, or ``low``."""
-    marked = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_good"))
-    told = docs.select("doc_id", "text", "lang").join(marked, "doc_id")
+    """Labelled documents with their domain: the language of good ones, or ``low``. A bounded, hashed sample."""
+    marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
+    marked = marked.agg(F.min("quality").alias("_good"))
+    chosen = hashed_sample(marked, "doc_id", MAX_DOMAIN_LABELS, marked.count())
+    told = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
     return told.select("doc_id", "text", F.when(F.col("_good") == 1, F.col("lang")).otherwise("low").alias("domain"))
 
 
@@ -192,4 +198,4 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rate and copies of every document for the target weights."""
     docs = read_table(spark, sf_dir, "documents")
     model = fit_domains(labelled_domains(docs, read_table(spark, sf_dir, "labels")))
-    return mix_to_targets(docs.select("doc_id", "text"), model, TARGETS).drop("text")
+    return mix_to_targets(docs.select("doc_id", "text"), model, TARGETS, keep_text=False)
