@@ -27,11 +27,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def tidy(frame: DataFrame, digits: int = 6) -> DataFrame:
-    """Types both engines print alike: rounded doubles, longs, dates and text."""
+    """Types both engines print alike: rounded doubles, decimals and times as text, longs and dates."""
     shown = []
     for field in frame.schema.fields:
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        if isinstance(field.dataType, T.DecimalType):
+            column = column.cast("string")  # all digits of its own scale
+        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             column = F.round(column.cast("double"), digits)
         elif isinstance(field.dataType, T.IntegralType):
             column = column.cast("long")
