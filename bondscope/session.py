@@ -30,14 +30,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Folders of local sessions that name none, by application.
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def configured_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a local session without one gets a folder of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = configured_folder(spark)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="bondscope-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_FOLDERS:
+            _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="bondscope-")
+        folder = _OWN_FOLDERS[app]
     return folder.rstrip("/")
 
 

@@ -79,12 +79,12 @@ def test_sections_of_the_other_reports(spark):
 
 
 @needs_data
-def test_reports_are_the_same_without_a_staging_folder(spark):
+def test_reports_are_the_same_without_a_staging_folder(spark, monkeypatch):
     tables = adapter.tables(spark, SF)
     found = []
-    for folder in (spark.conf.get("spark.checkpoint.dir"), None):
-        if folder is None:
-            spark.conf.set("spark.checkpoint.dir", "")
+    for named in (True, False):
+        if not named:
+            monkeypatch.setattr("bondscope.session.configured_folder", lambda spark: None)
         with muni_report(tables, DAY) as report:
             publish(report)
             found.append({name: sorted(map(str, frame.collect())) for name, frame in report.items()})
