@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 SLICE_BYTES = 4 << 20
 
 
+#: Folders of local sessions that name none, by application.
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; only local sessions without one get their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -23,9 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="bondscope-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="bondscope-llm-")
+    return _OWN_FOLDERS[app]
 
 
 def stage(frame: DataFrame) -> DataFrame:

@@ -168,3 +168,17 @@ def test_a_sample_is_the_same_again(spark, rows):
     ids = spark.range(10_000).withColumnRenamed("id", "doc_id")
     one, two = (sorted(r[0] for r in hashed_sample(ids, "doc_id", rows, 10_000).collect()) for _ in range(2))
     assert one == two and len(one) < 2 * rows
+
+
+def test_frames_are_staged_in_the_shared_folder(spark, monkeypatch):
+    from bondscope.llm import common
+
+    assert common.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert common.stage(spark.range(5)).inputFiles()[0].removeprefix("file://").startswith(common.shared_folder(spark))
+
+    class Unset:
+        conf = {}
+        sparkContext = spark.sparkContext
+
+    own = common.shared_folder(Unset)
+    assert own == common.shared_folder(Unset) != spark.conf.get("spark.checkpoint.dir")
