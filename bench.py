@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 from datetime import date
 
@@ -61,7 +60,6 @@ def main() -> None:
     settings = {
         "spark__sql__shuffle__partitions": cpus,
         "spark__driver__memory": "16g",
-        "spark__checkpoint__dir": tempfile.mkdtemp(prefix="bench-"),
     }
     spark = build_session("bench", f"local[{cpus}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")

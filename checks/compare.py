@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import time
 
 import duckdb
@@ -55,7 +54,6 @@ def main(argv: list[str]) -> int:
         f"local[{os.cpu_count()}]",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
-        spark__checkpoint__dir=tempfile.mkdtemp(prefix="/tmp/run-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
