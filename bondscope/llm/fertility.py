@@ -32,7 +32,7 @@ REACH = 2.5
 WIDTH = {"chars_per_token": 0.35, "byte_share": 0.05, "entropy_share": 0.04}
 #: Tokens beyond which a text is not expected to spread over more of the vocabulary.
 SPREAD = 512
-SLICE = 12 << 20
+SLICE = 6 << 20
 
 #: First code points of blocks and the script of their letters, up to the next block.
 SCRIPTS = (

@@ -43,6 +43,7 @@ BAND_ROWS, BANDS = 5, 30
 SKETCH_SLOTS, BLOCK = 512, 512
 #: Texts compared with one text in one task.
 COMPARED = 1_000
+SLICE = 2 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 FACTOR = np.uint64(0x100000001B3)
 
@@ -55,7 +56,7 @@ def near_classes(
     """One row per document: ``key``, ``class_id`` (the smallest identifier), ``class_size``, ``kept``."""
     rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
     known = rows.where("_id is not null")
-    features = stage(map_batches(known, signatures, FEATURES, "_text"))
+    features = stage(map_batches(known, signatures, FEATURES, "_text", SLICE))
     texts = features.groupBy("_words").agg(
         F.min("_id").alias("_text_id"), F.first("_bands").alias("_bands")
     )
@@ -229,7 +230,7 @@ def verify(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead, bag = None, None
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 hashed, rows, words, _ = shingles(part.column("_text"))
                 bounds = np.searchsorted(rows, np.arange(part.num_rows + 1))
                 found = []
@@ -284,7 +285,7 @@ def contested(
     split = split.where("_low < _high").select("_bucket", F.ceil(F.col("_size") / BLOCK).alias("_blocks"))
     left = stage(placed.join(split, "_bucket"))
     wanted = known.join(left.select("_id").distinct().hint("merge"), "_id", "left_semi")
-    drawn = stage(map_batches(wanted, sketches, "_id long, _sketch binary, _weight long", "_text"))
+    drawn = stage(map_batches(wanted, sketches, "_id long, _sketch binary, _weight long", "_text", SLICE))
     bands = texts.select(F.col("_text_id").alias("_id"), "_bands")
     signed = left.join(drawn.dropDuplicates(["_id"]).join(bands.hint("merge"), "_id").hint("merge"), "_id")
     block = F.pmod(F.xxhash64("_id"), F.col("_blocks"))

@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from bondscope.llm.common import Words, gather_runs, hash_words, hashed_sample, map_batches, mix
 
 #: Bounds of the training sample: rows and bytes of text.
-MAX_LABELLED = 12_000
-MAX_BYTES = 48 << 20
+MAX_LABELLED = 8_000
+MAX_BYTES = 28 << 20
 BUCKETS = 1 << 17
 HALF = 8
 BEGINNINGS = (3, 4, 5, 6)
@@ -37,7 +37,7 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 EPOCHS = 2
 DOCS_A_STEP = 48
-SLICE = 12 << 20
+SLICE = 4 << 20
 
 
 @dataclass
