@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from bondscope.llm.common import Words, gather_runs, hash_words, hashed_sample, map_batches, mix
 
 #: Bounds of the training sample: rows and bytes of text.
-MAX_LABELLED = 8_000
-MAX_BYTES = 28 << 20
+MAX_LABELLED = 5_000
+MAX_BYTES = 16 << 20
 BUCKETS = 1 << 17
 HALF = 8
 BEGINNINGS = (3, 4, 5, 6)
