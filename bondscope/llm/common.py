@@ -183,9 +183,16 @@ def held_out(column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(inside, F.lit(True))
 
 
+GRAIN = 1 << 30
+
+
+def sample_place(key: str) -> Column:
+    """A place below ``GRAIN`` for every key, the same in every run."""
+    return F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(GRAIN))
+
+
 def hashed_sample(frame: DataFrame, key: str, rows: int, total: int) -> DataFrame:
     """About ``rows`` of ``total`` rows, chosen by a hash of the key so that a rerun finds the same."""
     if rows >= total:
         return frame
-    cells = 1 << 30
-    return frame.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(cells)) < int(cells * rows / total))
+    return frame.where(sample_place(key) < int(GRAIN * rows / total))

@@ -4,9 +4,10 @@ A word's embedding is the sum of hashed parts (the word and its beginnings of th
 each looked up in two tables by two independent hashes. Filters of several widths slide over the
 words of the whole text, each keeps its largest answer, and a logistic layer on the maxima gives the
 score. Only text is an input. The model is trained on a bounded, hashed sample of the labelled rows and
-broadcast; its size does not depend on the corpus. A part of the sample is kept from training: on it the
-score is calibrated, and a rejection threshold is chosen for every language. Thresholds decide, scores
-do not depend on the language.
+broadcast; its size does not depend on the corpus. All labelled rows outside that sample, a quarter of them
+at least, are scored where they lie and counted in fine cells of the score by language and label: on these
+counts the score is calibrated, and a rejection threshold is chosen for every language. Thresholds decide,
+scores do not depend on the language.
 
 Nulls: a null text is scored like an empty one, which has no words; a null label or identifier is not
 learnt from; a null or unseen language has the threshold of all languages together. Without labels of
@@ -21,15 +22,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bondscope.llm.common import Words, gather_runs, hash_words, hashed_sample, map_batches, mix
+from bondscope.llm.common import GRAIN, Words, gather_runs, hash_words, map_batches, mix, sample_place
 
 #: Bounds of the training sample: rows and bytes of text.
 MAX_LABELLED = 5_000
 MAX_BYTES = 16 << 20
+#: Cells to a unit of the uncalibrated log odds, and cells on either side of zero; the outermost are open.
+FINE, REACH = 256, 8192
 BUCKETS = 1 << 17
 HALF = 8
 BEGINNINGS = (3, 4, 5, 6)
@@ -237,27 +240,32 @@ def train(texts: Texts, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7)
     return net
 
 
-def calibrate(net: Cnn, logits: np.ndarray, labels: np.ndarray) -> None:
-    """Fit slope and shift of the score on rows not trained on, with smoothed targets."""
-    yes, no = labels.sum(), (1 - labels).sum()
-    target = np.where(labels == 1, (yes + 1) / (yes + 2), 1 / (no + 2))
+def calibrate(net: Cnn, logits: np.ndarray, toxic: np.ndarray, others: np.ndarray) -> None:
+    """Fit slope and shift of the score on counts of rows not trained on, with smoothed targets."""
+    yes, no = toxic.sum(), others.sum()
+    rows, target = toxic + others, toxic * (yes + 1) / (yes + 2) + others / (no + 2)
     at, x = np.array([1.0, 0.0]), np.stack([logits, np.ones_like(logits)], axis=1).astype(float)
     for _ in range(50):
         p = 1 / (1 + np.exp(-x @ at))
-        spread = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        at -= np.clip(np.linalg.solve(spread, x.T @ (p - target) + 1e-3 * (at - [1, 0])), -2, 2)
+        spread = (x * (rows * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        at -= np.clip(np.linalg.solve(spread, x.T @ (rows * p - target) + 1e-3 * (at - [1, 0])), -2, 2)
     net.slope, net.shift = max(float(at[0]), 1e-3), float(at[1])
 
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     """The middle of the scores between which the F1 measure of rejecting is best."""
-    order = np.argsort(-scores, kind="stable")
-    ranked, hits = scores[order], np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
-    last = np.append(ranked[1:] != ranked[:-1], True)
+    return best_cut(scores, scores, labels, 1 - labels)
+
+
+def best_cut(low: np.ndarray, high: np.ndarray, toxic: np.ndarray, others: np.ndarray) -> float:
+    """The same for counted cells, each with its lowest and highest score."""
+    order = np.argsort(-high, kind="stable")
+    low, high, hits = low[order], high[order], np.cumsum(toxic[order])
+    f1 = 2 * hits / (np.cumsum((toxic + others)[order]) + toxic.sum())
+    last = np.append(high[1:] != high[:-1], True)
     best = int(np.argmax(np.where(last, f1, -1)))
-    below = ranked[best + 1] if best + 1 < len(ranked) else 0.0
-    return float(np.clip((ranked[best] + below) / 2, 0.3, 0.9))
+    below = high[best + 1] if best + 1 < len(high) else 0.0
+    return float(np.clip((low[best] + below) / 2, 0.3, 0.9))
 
 
 @dataclass
@@ -283,38 +291,71 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learn from documents whose ``doc_id`` has a ``toxic`` label.
 
-    At most ``max_rows`` of them are read, and at most ``max_bytes`` of text: a bounded sample by a hash
-    of the identifier. A quarter of it calibrates. A language has its own threshold where the
-    calibration rows hold ``least`` toxic and ``least`` other documents.
+    At most about three quarters of ``max_rows`` of them are read to train, and at most ``max_bytes`` of
+    text: a bounded sample by a hash of the identifier. All others calibrate. A language has its own
+    threshold where the calibration rows hold ``least`` toxic and ``least`` other documents.
     """
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     total = marked.count()
-    chosen = hashed_sample(marked, "doc_id", max_rows, total)
-    # as many rows as the documented bound: 16 bytes each
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    read = known.join(F.broadcast(chosen), "doc_id")
-    size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    below = int(GRAIN * 3 / 4 * min(1, max_rows / max(total, 1)))
+
+    def taught() -> DataFrame:
+        inside = sample_place("doc_id") < below
+        # as many rows as the documented bound: 16 bytes each
+        return known.where(inside).join(F.broadcast(marked.where(inside)), "doc_id")
+
+    size = taught().agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > max_bytes:
-        read = hashed_sample(read, "doc_id", int(max_rows * max_bytes / size), max_rows)
-    rows = read.toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        below = min(below, int(GRAIN * max_bytes / size))
+    rows = taught().toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     toxic = rows.column("_toxic").to_numpy().astype(np.float32)
-    if len(toxic) < 8 or toxic.min() == toxic.max():
-        return ToxicityModel(None, float(toxic.mean()) if len(toxic) else 0.0, {None: 0.7})
-    texts = Texts.of(rows.column("text").combine_chunks())
-    apart = np.arange(len(toxic)) % 4 == 3
-    net = train(subset(texts, np.flatnonzero(~apart)), toxic[~apart])
-    logits = net.logits(subset(texts, np.flatnonzero(apart)))
-    calibrate(net, logits, toxic[apart])
-    scores = 1 / (1 + np.exp(-(net.slope * logits + net.shift)))
-    langs = np.array([x or "" for x in rows.column("lang").to_pylist()])[apart]
-    thresholds: dict[str | None, float] = {None: best_threshold(scores, toxic[apart])}
-    for lang in sorted(set(langs) - {""}):
-        own = langs == lang
-        if min(toxic[apart][own].sum(), (1 - toxic[apart][own]).sum()) >= least:
-            thresholds[lang] = best_threshold(scores[own], toxic[apart][own])
+    if len(toxic) < 6 or toxic.min() == toxic.max():
+        share = known.select("doc_id").join(marked, "doc_id").agg(F.avg("_toxic")).first()[0]
+        return ToxicityModel(None, float(share or 0), {None: 0.7})
+    net = train(Texts.of(rows.column("text").combine_chunks()), toxic)
+    cells = count_cells(known.where(sample_place("doc_id") >= below), marked, net, least)
+    thresholds: dict[str | None, float] = {None: 0.7}
+    if cells.num_rows:
+        sums = [("low", "min"), ("high", "max"), ("toxic", "sum"), ("others", "sum")]
+        whole = cells.group_by("cell").aggregate(sums).sort_by("cell")
+        low, high, yes, no = (whole.column("_".join(c)).to_numpy() for c in sums)
+        calibrate(net, (low + high) / 2, yes, no)
+        score = lambda odds: 1 / (1 + np.exp(-(net.slope * odds + net.shift)))
+        thresholds[None] = best_cut(score(low), score(high), yes, no)
+        for lang in pc.unique(cells.column("lang").drop_null()).to_pylist():
+            own = cells.filter(pc.equal(cells.column("lang"), lang))
+            low, high, yes, no = (own.column(c).to_numpy() for c, _ in sums)
+            thresholds[lang] = best_cut(score(low), score(high), yes, no)
     return ToxicityModel(net, float(toxic.mean()), thresholds)
 
 
+def count_cells(apart: DataFrame, marked: DataFrame, net: Cnn, least: int) -> pa.Table:
+    """Toxic and other documents in each cell of the log odds, and the lowest and highest log odds there.
+
+    Languages with ``least`` of both kinds are counted apart, all others together under null. Texts are scored
+    before labels are joined, so that no text is exchanged.
+    """
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        logits = net.logits(Texts.of(pc.fill_null(batch.column("text"), ""))).astype(float)
+        cells = np.clip(np.round(logits * FINE), -REACH, REACH).astype(np.int32)
+        arrays = [batch.column("doc_id"), batch.column("lang"), pa.array(cells), pa.array(logits)]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang", "cell", "odds"])
+
+    schema = T.StructType([apart.schema["doc_id"], apart.schema["lang"]]).add("cell", "integer").add("odds", "double")
+    judged = map_batches(apart.where("doc_id is not null"), work, schema, limit=SLICE).join(marked, "doc_id")
+    totals = [F.sum("toxic").alias("toxic"), F.sum("others").alias("others"), F.min("low").alias("low"), F.max("high").alias("high")]
+    bad = F.when(F.col("_toxic") > 0, 1).otherwise(0)
+    counted = judged.select("lang", "cell", bad.alias("toxic"), (1 - bad).alias("others"), F.col("odds").alias("low"), F.col("odds").alias("high"))
+    counted = counted.groupBy("lang", "cell").agg(*totals)
+    tongue = Window.partitionBy("lang")
+    enough = F.least(F.sum("toxic").over(tongue), F.sum("others").over(tongue)) >= least
+    own = F.when(enough & (F.col("lang") != ""), F.col("lang"))
+    counted = counted.select(own.alias("lang"), "cell", "toxic", "others", "low", "high").groupBy("lang", "cell").agg(*totals)
+    return counted.toArrow().sort_by([("lang", "ascending"), ("cell", "ascending")])
+
+
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """All documents with ``score``, the ``threshold`` of their language and whether it ``rejected`` them."""
     kept = [c for c in docs.columns if c not in ("score", "threshold", "rejected")]

@@ -7,6 +7,7 @@ from bondscope.llm.common import Words, count_ascii_words, hash_words, held_out
 from bondscope.llm.language import UNKNOWN, fit_languages, ngram_sets, predict_languages
 from bondscope.llm.mixing import fit_domains, fit_rates, mix_to_targets, repeat_copies
 from bondscope.llm.quality import fit_quality, score_quality
+from bondscope.llm import toxicity
 from bondscope.llm.toxicity import best_threshold, fit_toxicity, score_toxicity
 from tests.llm.samples import awkward, clashing, frame, row, text
 
@@ -36,6 +37,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert set(model.thresholds) >= {None}
 
 
+def test_thresholds_come_from_all_labels_outside_the_training_rows(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    seen, cells, train = [], [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, marks: seen.append(len(marks)) or train(texts, marks))
+    model = fit_toxicity(docs, labels, max_rows=64)
+    assert set(model.thresholds) == {None, "en", "de"} and 20 < seen[0] <= 64
+    count = toxicity.count_cells
+    monkeypatch.setattr(toxicity, "count_cells", lambda *given: cells.append(count(*given)) or cells[0])
+    again = fit_toxicity(docs, labels, max_rows=64, least=1000)
+    assert again.thresholds == {None: model.thresholds[None]}
+    assert sum(cells[0].column(c).to_numpy().sum() for c in ("toxic", "others")) == 480 - seen[0]
+
+
 def test_scores_do_not_depend_on_other_columns(spark):
     docs, labels = labelled(spark, 120)
     model = fit_toxicity(docs, labels)
