@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -300,21 +300,25 @@ def fit_toxicity(
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     below = int(GRAIN * 3 / 4 * min(1, max_rows / max(total, 1)))
 
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+
+    def teaches() -> Column:
+        # a text above the bound alone can only calibrate
+        return (sample_place("doc_id") < below) & (size <= max_bytes)
+
     def taught() -> DataFrame:
-        inside = sample_place("doc_id") < below
         # as many rows as the documented bound: 16 bytes each
-        return known.where(inside).join(F.broadcast(marked.where(inside)), "doc_id")
+        chosen = F.broadcast(marked.where(sample_place("doc_id") < below))
+        return known.where(teaches()).join(chosen, "doc_id")
 
-    size = taught().agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > max_bytes:
-        below = min(below, int(GRAIN * max_bytes / size))
+    below = place_within(taught().select(sample_place("doc_id").alias("place"), size.alias("size")), max_bytes, below)
     rows = taught().toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     toxic = rows.column("_toxic").to_numpy().astype(np.float32)
     if len(toxic) < 6 or toxic.min() == toxic.max():
         share = known.select("doc_id").join(marked, "doc_id").agg(F.avg("_toxic")).first()[0]
         return ToxicityModel(None, float(share or 0), {None: 0.7})
     net = train(Texts.of(rows.column("text").combine_chunks()), toxic)
-    cells = count_cells(known.where(sample_place("doc_id") >= below), marked, net, least)
+    cells = count_cells(known.where(~teaches()), marked, net, least)
     thresholds: dict[str | None, float] = {None: 0.7}
     if cells.num_rows:
         sums = [("low", "min"), ("high", "max"), ("toxic", "sum"), ("others", "sum")]
@@ -330,6 +334,13 @@ def fit_toxicity(
     return ToxicityModel(net, float(toxic.mean()), thresholds)
 
 
+def place_within(sample: DataFrame, max_bytes: int, below: int) -> int:
+    """The place below which the rows of a bounded sample hold at most ``max_bytes``; ``below`` where all fit."""
+    rows = sample.toArrow().sort_by("place")
+    over = np.flatnonzero(np.cumsum(rows.column("size").to_numpy().astype(np.int64)) > max_bytes)
+    return rows.column("place")[int(over[0])].as_py() if len(over) else below
+
+
 def count_cells(apart: DataFrame, marked: DataFrame, net: Cnn, least: int) -> pa.Table:
     """Toxic and other documents in each cell of the log odds, and the lowest and highest log odds there.
 

@@ -50,6 +50,17 @@ def test_thresholds_come_from_all_labels_outside_the_training_rows(spark, monkey
     assert sum(cells[0].column(c).to_numpy().sum() for c in ("toxic", "others")) == 480 - seen[0]
 
 
+@pytest.mark.parametrize("max_rows", [60, 1000])
+def test_training_texts_keep_to_the_bytes(spark, monkeypatch, max_rows):
+    docs, labels = labelled(spark, 240)
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == 1, F.repeat("text", 40)).otherwise(F.col("text")))
+    seen, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, marks: seen.append(len(marks)) or train(texts, marks))
+    least = docs.agg(F.min(F.octet_length("text"))).first()[0]
+    fit_toxicity(docs, labels, max_rows=max_rows, max_bytes=20 * least)
+    assert 8 <= seen[0] <= 20
+
+
 def test_scores_do_not_depend_on_other_columns(spark):
     docs, labels = labelled(spark, 120)
     model = fit_toxicity(docs, labels)
