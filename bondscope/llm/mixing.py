@@ -13,19 +13,20 @@ nearly the largest that needs no more.
 
 Nulls: a null text has no tokens and keeps rate and copies from its posterior like an empty one; a null
 identifier hashes like a value of its own. Rows with a null domain or text are not learnt from. Domains without a target keep their share of
-the tokens, targets of domains without any labelled row are left out, and the rest is scaled to one.
+the tokens, targets of domains without any labelled row are left out with a warning, and the rest is scaled to one.
 With fewer than two domains all rates are the bound, at most 1. Repeated rows are rated alike; an empty table gives no rows;
 other columns travel along.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,14 +61,11 @@ def fit_domains(labelled: DataFrame, max_rows: int = MAX_LABELLED, key: str = "d
     rows = labelled.where("domain is not null and text is not null").select(
         F.col(key).alias("_id"), "text", F.col("domain").cast("string").alias("domain")
     )
-    counts = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
+    counts = count_domains(rows)
     if len(counts) < 2:
         return DomainModel(sorted(counts), None)
     domains = sorted(counts)
-    portion = F.lit(0)
-    for domain, count in counts.items():
-        portion = F.when(F.col("domain") == domain, F.lit(min(GRAIN, GRAIN * max_rows // (len(counts) * count)))).otherwise(portion)
-    sampled = rows.where(F.pmod(F.xxhash64(F.lit("learn"), "_id"), F.lit(GRAIN)) < portion)
+    sampled = rows.where(drawn("_id", counts, max_rows))
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
         cells, starts = ngram_sets(batch.column("text"))
@@ -92,6 +90,21 @@ def fit_domains(labelled: DataFrame, max_rows: int = MAX_LABELLED, key: str = "d
     return model
 
 
+def count_domains(rows: DataFrame) -> dict[str, int]:
+    return {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
+
+
+def drawn(key: str, counts: dict[str, int], max_rows: int = MAX_LABELLED) -> Column:
+    """Whether a row is in the sample: about as many rows of each ``domain``, by a hash of the key.
+
+    Drawing from the sample again leaves it as it is.
+    """
+    portion = F.lit(0)
+    for domain, count in counts.items():
+        portion = F.when(F.col("domain") == domain, F.lit(min(GRAIN, GRAIN * max_rows // (len(counts) * count)))).otherwise(portion)
+    return F.pmod(F.xxhash64(F.lit("learn"), F.col(key)), F.lit(GRAIN)) < portion
+
+
 def mix_to_targets(
     docs: DataFrame,
     model: DomainModel,
@@ -108,6 +121,9 @@ def mix_to_targets(
     """
     added = ("domain", "tokens", "posterior", "rate", "copies")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
+    unlearnt = sorted(d for d, share in targets.items() if share > 0 and d not in model.domains)
+    if unlearnt:
+        warnings.warn(f"targets without a labelled row are left out: {', '.join(unlearnt)}", stacklevel=2)
     judged = stage(judge_domains(docs, model, keep_text))
     fit = fit_rates(judged, model.domains, targets, bound, budget)
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bondscope.llm.chat import format_chats, parse_chats, trained_text
-from bondscope.llm.common import hashed_sample, held_out, read_table, stage, text_or_empty
+from bondscope.llm.common import held_out, read_table, stage, text_or_empty
 from bondscope.llm.exact_dedup import exact_groups
 from bondscope.llm.fertility import fertility_rules
 from bondscope.llm.language import fit_languages, predict_languages
-from bondscope.llm.mixing import fit_domains, mix_to_targets
+from bondscope.llm.mixing import count_domains, drawn, fit_domains, mix_to_targets
 from bondscope.llm.near_dedup import near_classes
 from bondscope.llm.packing import pack
 from bondscope.llm.quality import fit_quality, score_quality
@@ -180,17 +180,22 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 TARGETS = {"en": 0.6, "de": 0.14, "fr": 0.14, "es": 0.1, "low": 0.02}
 
 
-#: Labelled rows that the domain classifier may choose its sample from.
-MAX_DOMAIN_LABELS = 9_600
-
-
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents with their domain: the language of good ones, or ``low``. A bounded, hashed sample."""
+    """Labelled documents with their domain: the language of good ones, or ``low``.
+
+    Domains are counted over all labelled documents, without their texts; about as many of each are drawn by
+    a hash, and only those are joined to the texts.
+    """
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
     marked = marked.agg(F.min("quality").alias("_good"))
-    chosen = hashed_sample(marked, "doc_id", MAX_DOMAIN_LABELS, marked.count())
-    told = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
-    return told.select("doc_id", "text", F.when(F.col("_good") == 1, F.col("lang")).otherwise("low").alias("domain"))
+    domain = F.when(F.col("_good") == 1, F.col("lang").cast("string")).otherwise("low")
+    known = docs.where("text is not null")
+    told = stage(known.select("doc_id", "lang").join(marked, "doc_id").select("doc_id", "_good", domain.alias("domain")))
+    told = told.where("domain is not null")
+    chosen = told.where(drawn("doc_id", count_domains(told))).distinct().withColumnRenamed("domain", "_domain")
+    # as many rows as the bound of the domain classifier's sample
+    found = known.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    return found.where(domain == F.col("_domain")).select("doc_id", "text", F.col("_domain").alias("domain"))
 
 
 @query

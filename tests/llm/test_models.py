@@ -3,11 +3,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from bondscope.llm import toxicity
 from bondscope.llm.common import Words, count_ascii_words, hash_words, held_out
 from bondscope.llm.language import UNKNOWN, fit_languages, ngram_sets, predict_languages
 from bondscope.llm.mixing import fit_domains, fit_rates, mix_to_targets, repeat_copies
 from bondscope.llm.quality import fit_quality, score_quality
-from bondscope.llm import toxicity
+from bondscope.llm.queries import labelled_domains
 from bondscope.llm.toxicity import best_threshold, fit_toxicity, score_toxicity
 from tests.llm.samples import awkward, clashing, frame, row, text
 
@@ -148,6 +149,21 @@ def test_rates_meet_the_targets(spark):
     assert repeat_copies(more).count() == more.agg(F.sum("copies")).first()[0]
 
 
+def test_rare_domains_are_found_among_many_labels(spark):
+    rare = set(range(0, 20_000, 1_000))
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("the text "), "id").alias("text"),
+        F.when(F.col("id").isin(rare), "fr").otherwise("en").alias("lang"),
+    )
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    found = labelled_domains(docs, labels).toPandas()
+    assert set(found[found.domain == "fr"].doc_id) == rare
+    assert 900 < (found.domain == "en").sum() < 1_500 and found.doc_id.is_unique
+    twice = labelled_domains(docs.unionByName(docs), labels).where("domain = 'fr'")
+    assert twice.count() == 2 * len(rare)
+
+
 def test_rates_agree_with_a_plain_descent(spark):
     rng = np.random.default_rng(2)
     posterior = rng.dirichlet([0.4] * 3, 300)
