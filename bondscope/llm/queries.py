@@ -16,8 +16,11 @@ from bondscope.llm.mixing import count_domains, drawn, fit_domains, mix_to_targe
 from bondscope.llm.near_dedup import near_classes
 from bondscope.llm.packing import pack
 from bondscope.llm.quality import fit_quality, score_quality
+from bondscope.llm.repeats import cut_repeats
+from bondscope.llm.resampling import resample
 from bondscope.llm.sharding import shard_by_bytes
 from bondscope.llm.toxicity import fit_toxicity, score_toxicity
+from bondscope.llm.whitening import fit_whitening, whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -204,3 +207,105 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = fit_domains(labelled_domains(docs, read_table(spark, sf_dir, "labels")))
     return mix_to_targets(docs.select("doc_id", "text"), model, TARGETS, keep_text=False)
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its weight and score towards ``benchmark``, and the rank of those drawn."""
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_importance_resampling"] = r"""
+WITH table_ AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS sums
+  FROM range(256) AS r(n)
+), texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), words AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), features AS (
+  SELECT side, id, unnest(w) AS feature FROM words
+  UNION ALL
+  SELECT side, id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+), held AS (
+  SELECT side, id, feature, count(*) AS many FROM features GROUP BY ALL
+), spelt AS (
+  SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM held)
+), bucketed AS (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(h) // 2), lambda i:
+           ((instr('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * i + 2]) - 1)::BIGINT)),
+           lambda c, x: xor(c >> 8, sums[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM spelt, table_
+), counted AS (
+  SELECT side, id, bucket, sum(many)::BIGINT AS many FROM held JOIN bucketed USING (feature) GROUP BY ALL
+), shares AS (
+  SELECT bucket, coalesce(sum(many) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(many) FILTER (side = 'b'), 0)::DOUBLE AS t FROM counted GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM shares
+), weighed AS (
+  SELECT id, sum(many)::BIGINT AS n_features, floor(sum(many * gain)::DOUBLE / sum(many))::BIGINT AS weight
+  FROM counted JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT w.id AS doc_id, len(w) >= 20 AS eligible, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || w.id)[:8])::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM words AS w LEFT JOIN weighed AS v ON v.id = w.id WHERE w.side = 'd'
+), ordered AS (
+  SELECT *, CASE WHEN eligible THEN row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id) END AS place,
+         25 * count(*) FILTER (eligible) OVER () // 100 AS drawn
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM ordered
+"""
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's whitened components."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    return whiten(rows, fit_whitening(rows))
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes removed as repeats, and a digest of what is kept."""
+    cut = cut_repeats(read_table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda held, span: held + span["length"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+ORACLE["op13_suffix_dedup"] = r"""
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS body, octet_length(encode(coalesce(text, ''))) AS n_bytes FROM documents
+), parts AS (
+  SELECT doc_id, begun, substr(body, 2 * begun + 1, 398) AS part
+  FROM (SELECT doc_id, body, unnest(range(0, n_bytes, 100)) AS begun FROM bytes)
+), windows AS (
+  SELECT doc_id, begun + place AS first, substr(part, 2 * place - 1, 200) AS string
+  FROM (SELECT *, unnest(range(1, length(part) // 2 - 98)) AS place FROM parts)
+), again AS (
+  SELECT doc_id, first FROM windows
+  QUALIFY row_number() OVER (PARTITION BY string ORDER BY doc_id, first) > 1
+), runs AS (
+  SELECT *, sum(CASE WHEN first <= ended THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY first) AS run FROM (
+    SELECT *, lag(first) OVER (PARTITION BY doc_id ORDER BY first) + 100 AS ended FROM again)
+), spans AS (
+  SELECT doc_id, run, min(first) AS begun, max(first) + 100 AS ended FROM runs GROUP BY doc_id, run
+), pieces AS (
+  SELECT s.doc_id, s.run, s.ended - s.begun AS gone,
+         substr(body, 2 * lag(s.ended, 1, 1) OVER places - 1, 2 * (s.begun - lag(s.ended, 1, 1) OVER places)) AS before,
+         CASE WHEN lead(s.run) OVER places IS NULL THEN substr(body, 2 * s.ended - 1) ELSE '' END AS after
+  FROM spans AS s JOIN bytes AS b ON b.doc_id = s.doc_id WINDOW places AS (PARTITION BY s.doc_id ORDER BY s.run)
+), left_over AS (
+  SELECT doc_id, sum(gone) AS n_removed, count(*) AS n_spans, string_agg(before || after, '' ORDER BY run) AS kept FROM pieces GROUP BY doc_id
+)
+SELECT b.doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, body))) AS kept_sha256
+FROM bytes AS b LEFT JOIN left_over AS l ON l.doc_id = b.doc_id
+"""
