@@ -565,7 +565,8 @@ def detail_and_total_lineitem(i):
     )
     price = F.col("l_extendedprice").cast("decimal(18,2)")  # sums of sums are exact
     totals = {"Price": F.sum(price), "Lines": F.count("*")}
-    measures = {"AvgPrice": F.col("Price") / F.col("Lines"), "Lines": F.col("Lines")}
+    average = (F.col("Price") / F.col("Lines")).cast("decimal(18,6)")
+    measures = {"AvgPrice": average, "Lines": F.col("Lines")}
     return relational.detail_and_total(lines, "Flag", totals, measures, "All flags")
 
 

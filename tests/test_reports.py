@@ -6,7 +6,8 @@ import pytest
 from bondscope import corp_report, movers_report, muni_report
 from bondscope.sources.results import cleanup, publish, read_result
 from checks import adapter
-from checks.compare import connect
+from checks.compare import compare, connect
+from checks.spark_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 DAY = date.fromisoformat(adapter.REPORT_DATE)
@@ -114,39 +115,14 @@ def test_the_composites_are_needed(spark):
         muni_report({}, DAY)
 
 
-# The whole list runs with ``python -m checks.compare``.
-QUICK = [
-    "report_calendar_month",
-    "business_snaps",
-    "json_scalars_corp",
-    "eod_snapshot_corp",
-    "period_summary_muni",
-    "worst_rating",
-    "security_info_corp",
-    "raw_data_muni",
-    "winners_muni",
-    "observed_prices_corp",
-    "sentiment_corp_hy",
-    "quote_volume_movers_corp",
-    "bid_offer_spread_by_date_muni",
-    "bid_offer_volume",
-    "archived_sectors",
-    "running_max_by_user",
-    "value_changes",
-]
-
-
 @needs_data
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_agree_with_their_sql(spark, name):
-    from checks.compare import compare
-
     ok, note = compare(spark, connect(SF), SF, name)
     assert ok, note
 
 
 def test_every_query_has_sql():
     from checks.oracle import ORACLE
-    from checks.spark_queries import QUERIES
 
     assert set(QUERIES) == set(ORACLE)
