@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 from collections.abc import Callable, Iterator
+from types import ModuleType
 from uuid import uuid4
 
 import numpy as np
@@ -70,10 +73,23 @@ def map_batches(
             for part in slices(batch, text, limit):
                 yield work(part)
                 pa.default_memory_pool().release_unused()
+        give_back()
 
     return frame.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker otherwise keeps the most that any stage before needed."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def worker_store() -> dict:
+    """What a worker process keeps from task to task. Code arrives anew with each task, so its modules cannot hold it."""
+    return sys.modules.setdefault("_bondscope_worker", ModuleType("_bondscope_worker")).__dict__
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part but a single long row holds at most ``limit`` bytes of text."""
     if batch.num_rows == 0:
@@ -132,23 +148,23 @@ def count_ascii_words(texts: pa.Array) -> np.ndarray:
 BASE = 0x9E3779B97F4A7C15
 
 
-def hash_words(words: pa.Array, at_once: int = 1 << 15) -> np.ndarray:
-    """64-bit polynomial hashes of all strings of an array, some thousands at once."""
-    parts = [_hash_some(words.slice(at, at_once)) for at in range(0, len(words), at_once)]
+def hash_words(words: pa.Array, base: int = BASE, at_once: int = 1 << 15) -> np.ndarray:
+    """64-bit polynomial hashes of all strings of an array, some thousands at once; ``base`` is odd."""
+    parts = [_hash_some(words.slice(at, at_once), base) for at in range(0, len(words), at_once)]
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def _hash_some(words: pa.Array) -> np.ndarray:
+def _hash_some(words: pa.Array, base: int) -> np.ndarray:
     """Running sums over the bytes of all strings; differences are taken back to each string's begin."""
     words = words.cast(pa.large_binary())
     _, offsets, data = words.buffers()
     bounds = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
     text = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
     bounds = bounds - bounds[0]
-    powers = np.full(len(text) + 1, BASE, np.uint64)
+    powers = np.full(len(text) + 1, base, np.uint64)
     powers[0] = 1
     np.multiply.accumulate(powers, out=powers)
-    inverse = np.full(len(text) + 1, pow(BASE, -1, 1 << 64), np.uint64)
+    inverse = np.full(len(text) + 1, pow(base, -1, 1 << 64), np.uint64)
     inverse[0] = 1
     np.multiply.accumulate(inverse, out=inverse)
     sums = np.zeros(len(text) + 1, np.uint64)

@@ -25,15 +25,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bondscope.llm.common import Words, gather_runs, hash_words, hashed_sample, map_batches, slices
+from bondscope.llm.common import Words, gather_runs, give_back, hash_words, hashed_sample, map_batches, slices, worker_store
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 SEQUENCE = 4096
 DIMENSIONS, BITS, HASH_BITS = 4, 11, 19
+OTHER_BASE = 0xA24BAED4963EE407
 FEATURES = 1 << 14
 SCALE = 6.0
 SAMPLED_KEYS_A_RANGE = 200
-SLICE = 6 << 20
+SLICE = 4 << 20
 
 PIECES = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -53,17 +54,19 @@ def pack(
     splitters = _quantiles(np.sort(keys.toArrow().column(0).to_numpy()), ranges)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordCoder(tokenizer)
+        coder = WordCoder.of_worker(tokenizer)
         for batch in batches:
             for part in slices(batch, "_text", SLICE):
                 words = Words(part.column("_text"))
                 ids, lengths = coder.encode(words, end_id)
                 curve = curve_keys(words, part.column("_salt"))
                 at = np.searchsorted(splitters, curve, side="right").astype(np.int32)
-                arrays = [part.column(key), _binary(ids.astype(coder.kind), lengths), pa.array(curve), pa.array(at)]
+                del words
+                arrays = [part.column(key), _binary(ids, lengths), pa.array(curve), pa.array(at)]
+                del ids
                 yield pa.RecordBatch.from_arrays(arrays, names=[key, "_ids", "_curve", "_range"])
-                del words, ids, arrays
-                pa.default_memory_pool().release_unused()
+                del arrays
+                give_back()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(sequence, TaskContext.get().partitionId())
@@ -73,6 +76,8 @@ def pack(
                 ids = np.frombuffer(b"".join(part.column("_ids").to_pylist()), kind).astype("<u4")
                 yield _rows(packer.add(part.column(key), ids, lengths), key)
         yield _rows(packer.finish(), key)
+        del packer
+        give_back()
 
     kind = id_kind(tokenizer)
     placed = salted.mapInArrow(place, f"{key} long, _ids binary, _curve long, _range int")
@@ -150,8 +155,49 @@ def id_kind(tokenizer: str) -> str:
     return "<u2" if Tokenizer.from_file(public_tokenizers.path(tokenizer)).get_vocab_size() <= 1 << 16 else "<u4"
 
 
+class WordNumbers:
+    """Numbers of words in the order they came, found by two 64-bit hashes in a table with open addresses."""
+
+    def __init__(self, places: int) -> None:
+        self.bits = max(places - 1, 1).bit_length()
+        self.hashes = np.zeros((0, 2), np.uint64)
+        self.table = np.full(1 << self.bits, -1, np.int32)
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes[:, 0] >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 for unknown ones."""
+        out, at, left = np.full(len(hashes), -1, np.int64), self._first(hashes), np.arange(len(hashes))
+        while len(left):
+            held = self.table[at[left]]
+            left, held = left[held >= 0], held[held >= 0]
+            same = (self.hashes[held] == hashes[left]).all(axis=1)
+            out[left[same]] = held[same]
+            left = left[~same]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number words that are unknown and all different."""
+        numbers = np.arange(len(self.hashes), len(self.hashes) + len(hashes), dtype=np.int32)
+        self.hashes = np.concatenate([self.hashes, hashes])
+        at, left = self._first(hashes), np.arange(len(hashes))
+        while len(left):
+            free = left[self.table[at[left]] < 0]
+            self.table[at[free]] = numbers[free]
+            left = left[self.table[at[left]] != numbers[left]]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def keep(self, numbers: np.ndarray) -> None:
+        """Forget all other words; those kept are numbered anew."""
+        hashes, self.hashes = self.hashes[numbers], np.zeros((0, 2), np.uint64)
+        self.table[:] = -1
+        self.add(hashes)
+
+
 class WordCoder:
-    """Token ids of texts, cut word by word: the tokenizer's pattern never joins across white space.
+    """Token ids of texts, cut word by word: the tokenizer's pattern never joins across white space, nor do its special tokens.
 
     A word of Latin letters is one match of that pattern, and so is a mark after it. Such words are
     lower-cased here and given to the tokenizer's model many at once, without its normaliser and pattern;
@@ -160,14 +206,14 @@ class WordCoder:
 
     MARKS = ".,;:!?"
     LATIN = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$"
-    HELD = 200_000
+    #: Words a worker keeps from slice to slice and task to task.
+    HELD = 600_000
     AT_ONCE = 2_000
 
     def __init__(self, name: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(public_tokenizers.path(name))
-        self.whole.encode_special_tokens = True
         self.plain = Tokenizer(self.whole.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -179,14 +225,23 @@ class WordCoder:
         #: Marks of one token; a word with another mark is encoded alone.
         self.marks = {mark: ids[0] for mark, ids in zip(self.MARKS, marks, strict=True) if len(ids) == 1}
         self.kind = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
+        #: Words met so far, the ids of all of them one after the other, and how many each has.
+        self.known, self.ids, self.sizes = WordNumbers(2 * self.HELD), np.zeros(0, self.kind), np.zeros(0, np.int64)
+
+    @classmethod
+    def of_worker(cls, name: str) -> WordCoder:
+        """The coder that this worker process keeps."""
+        held = worker_store().setdefault("coders", {})
+        if name not in held:
+            held[name] = cls(name)
+        return held[name]
 
     def encode(self, words: Words, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by ``end_id``, and how many every text has."""
         flat, sizes = self.words(words.dictionary)
         own = sizes[words.codes]
         lengths = np.bincount(words.rows, weights=own, minlength=len(words.counts)).astype(np.int64) + 1
-        out = np.full(int(lengths.sum()), end_id, "<u4")
+        out = np.full(int(lengths.sum()), end_id, self.kind)
         body = np.ones(len(out), bool)
         body[np.cumsum(lengths) - 1] = False
         out[body] = flat[gather_runs((np.cumsum(sizes) - sizes)[words.codes], own)]
@@ -199,48 +254,59 @@ class WordCoder:
         core = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
         latin = pc.match_substring_regex(core, self.LATIN)
         coded = pc.if_else(latin, pc.utf8_lower(core), words).dictionary_encode()
-        place = coded.indices.to_numpy(zero_copy_only=False)
-        self._learn(coded.dictionary)
-        held = [self.known[w] for w in coded.dictionary.to_pylist()]
-        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
-        ids, starts = np.frombuffer(b"".join(held), "<u4"), np.cumsum(sizes) - sizes
+        place = self._places(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        starts = np.cumsum(self.sizes) - self.sizes
         marked = pc.and_(marked, latin).to_numpy(zero_copy_only=False)
-        whole = sizes[place] + marked
-        flat = np.zeros(int(whole.sum()), "<u4")
+        whole = self.sizes[place] + marked
+        flat = np.zeros(int(whole.sum()), self.kind)
         at_mark = np.zeros(len(flat), bool)
         at_mark[(np.cumsum(whole) - 1)[marked]] = True
-        flat[~at_mark] = ids[gather_runs(starts[place], sizes[place])]
-        table = np.zeros(128, "<u4")
+        flat[~at_mark] = self.ids[gather_runs(starts[place], self.sizes[place])]
+        table = np.zeros(128, self.kind)
         for mark, token in self.marks.items():
             table[ord(mark)] = token
-        if len(self.known) > self.HELD:
-            self.known.clear()
         flat[at_mark] = table[np.frombuffer("".join(last.filter(pa.array(marked)).to_pylist()).encode(), np.uint8)]
         return flat, whole
 
-    def _learn(self, words: pa.Array) -> None:
-        new = pa.array([w for w in words.to_pylist() if w not in self.known], pa.string())
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where the words stand among the known ones; new ones are learnt, and all others go if there are too many."""
+        hashes = np.stack([hash_words(words), hash_words(words, OTHER_BASE)], axis=1)
+        found = self.known.find(hashes)
+        fresh = found < 0
+        if len(self.sizes) + fresh.sum() > self.HELD:
+            kept = found[~fresh]
+            starts = np.cumsum(self.sizes) - self.sizes
+            self.ids, self.sizes = self.ids[gather_runs(starts[kept], self.sizes[kept])], self.sizes[kept]
+            self.known.keep(kept)
+            found[~fresh] = np.arange(len(kept))
+        if not fresh.any():
+            return found
+        new = words.filter(pa.array(fresh))
         latin = pc.match_substring_regex(new, self.LATIN)
-        self._learn_letters(new.filter(latin).to_pylist())
-        self._learn_alone(new.filter(pc.invert(latin)).to_pylist())
-
-    def _learn_letters(self, words: list[str]) -> None:
+        order = np.argsort(~latin.to_numpy(zero_copy_only=False), kind="stable")
+        letters, others = new.filter(latin).to_pylist(), new.filter(pc.invert(latin)).to_pylist()
+        learnt = [(self.ids, self.sizes), *self._letters(letters), *self._alone(others)]
+        found[np.flatnonzero(fresh)[order]] = len(self.sizes) + np.arange(len(order))
+        self.known.add(hashes[fresh][order])
+        self.ids, self.sizes = (np.concatenate(c) for c in zip(*learnt, strict=True))
+        return found
+
+    def _letters(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for at in range(0, len(words), self.AT_ONCE):
             group = words[at : at + self.AT_ONCE]
             (code,) = self.plain.encode_batch_fast([" ".join(group)], add_special_tokens=False)
-            ids = np.array(code.ids, "<u4")
-            ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            if len(ends) != len(group):
-                self._learn_alone(group)
-                continue
-            data = ids.tobytes()
-            self.known.update(zip(group, (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
-
-    def _learn_alone(self, words: list[str]) -> None:
+            ids = np.array(code.ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(group):
+                yield ids, np.diff(ends, prepend=0)
+            else:
+                yield from self._alone(group)
+
+    def _alone(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for at in range(0, len(words), self.AT_ONCE):
-            group = words[at : at + self.AT_ONCE]
-            coded = self.whole.encode_batch_fast(group, add_special_tokens=False)
-            self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(group, coded, strict=True))
+            coded = self.whole.encode_batch_fast(words[at : at + self.AT_ONCE], add_special_tokens=False)
+            ids = [c.ids for c in coded]
+            yield np.array([i for one in ids for i in one], self.kind), np.array([len(one) for one in ids], np.int64)
 
 
 @dataclass

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from bondscope.llm.chat import END, START, format_chats, parse_chats, trained_text
 from bondscope.llm.common import Words
 from bondscope.llm.fertility import base_measures, fertility_rules
-from bondscope.llm.packing import TOKENIZER, Packer, WordCoder, hilbert_keys, pack
+from bondscope.llm.packing import TOKENIZER, Packer, WordCoder, WordNumbers, hilbert_keys, pack
 from bondscope.llm.queries import INJECTED, ORACLE, QUERIES
 from bondscope.llm.sharding import shard_by_bytes
 from tests.llm.samples import awkward, clashing, frame, row, text
@@ -127,22 +127,44 @@ def test_equal_texts_share_a_shard_unless_it_is_cut_there(spark):
 
 def test_word_coder_agrees_with_the_tokenizer():
     whole = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
-    whole.encode_special_tokens = True
     bodies = [r[1] or "" for r in awkward()]
     bodies += ["Don't STOP, it's 3.14!! x,,y ... ÀÉß İstanbul ΣΑΣ é a b <|endoftext|> 漢字, мир."]
-    ids, lengths = WordCoder(TOKENIZER).encode(Words(pa.array(bodies)), 2)
+    bodies += ["a<|endoftext|>b <|startoftext|><|endoftext|>. <|EndOfText|> <|endoftext|", "<|endoftext|>", "x <|endoftext|>\u00a0y"]
+    check_ids(WordCoder(TOKENIZER), whole, bodies)
+
+
+def check_ids(coder, whole, bodies):
+    ids, lengths = coder.encode(Words(pa.array(bodies)), 2)
     ends = np.cumsum(lengths)
     for body, start, end in zip(bodies, ends - lengths, ends, strict=True):
         assert ids[start:end].tolist() == [*whole.encode(body, add_special_tokens=False).ids, 2]
 
 
+def test_word_coder_forgets_words_and_learns_them_again(monkeypatch):
+    monkeypatch.setattr(WordCoder, "HELD", 60)
+    coder, whole = WordCoder(TOKENIZER), Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    for n in range(12):
+        check_ids(coder, whole, [text(n // 2, 45), text(n % 3, 10), f"x{n}, 3.14 {'é' * n}!"])
+        assert len(coder.known.hashes) == len(coder.sizes) and coder.sizes.sum() == len(coder.ids)
+
+
+def test_numbers_of_words_with_equal_places():
+    numbers = WordNumbers(64)
+    hashes = np.array([[n % 3, n] for n in range(40)], np.uint64)
+    numbers.add(hashes[:25])
+    assert numbers.find(hashes).tolist() == [*range(25), *[-1] * 15]
+    numbers.keep(np.array([7, 3, 20]))
+    numbers.add(hashes[30:])
+    assert numbers.find(hashes[[7, 3, 20, 30, 39, 1]]).tolist() == [0, 1, 2, 3, 12, -1]
+
+
 def test_every_id_lies_in_one_piece(spark):
     rows = [row(100 + n, text(n, 10 + 7 * n % 400)) for n in range(150)] + awkward()
     pieces = pack(clashing(frame(spark, rows)), sequence=64).toPandas()
     ids, lengths = WordCoder(TOKENIZER).encode(Words(pa.array([r[1] or "" for r in rows])), 2)
     want = Counter()
     for r, end, size in zip(rows, np.cumsum(lengths), lengths, strict=True):
-        want[r[0], ids[end - size : end].tobytes()] += 1
+        want[r[0], ids[end - size : end].astype('<u4').tobytes()] += 1
     # rows that share an identifier are told apart by nothing, so those are only counted
     shared = {key for key, times in Counter(r[0] for r in rows).items() if times > 1}
     got = Counter()
