@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bondscope.config import ReportConfig
 from bondscope.functions.expressions import quote_weights_schema, try_float
+from bondscope.session import Staging
 
 
 def mover_ids(*movers: DataFrame) -> DataFrame:
@@ -61,18 +62,45 @@ def weighted_price(quotes: DataFrame, keys: Sequence[str], value: str, weight: s
     )
 
 
-def payload_of(payload: DataFrame, eod: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """The payload rows whose composite id lies in the id range of a staged snapshot.
+#: Composites that are sent to every task at most, to be met by the payload where it is read: about 10 MB.
+MET_IN_PLACE = 250_000
 
-    The range is read first, so that it reaches the scan as a filter: ids grow with
-    time, and the files of other years hold none of them.
+
+def payload_of(payload: DataFrame, cfg: ReportConfig, first: int | None, last: int | None) -> DataFrame:
+    """The payload rows whose composite id lies in a range; none if it has no bounds.
+
+    The range reaches the scan as a filter: ids grow with time, and the files of other years hold none of them.
     """
-    first, last = eod.agg(F.min(cfg.id_column), F.max(cfg.id_column)).first()
     return payload.select(cfg.weights_id, cfg.weights_text).where(
         F.col(cfg.weights_id).between(F.lit(first), F.lit(last))
     )
 
 
+def wanted_composites(eod: DataFrame, securities: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """The composites of the two periods for the given securities."""
+    rows = eod.where("Period <= 2").join(securities.select("SecurityId").distinct(), "SecurityId", "left_semi")
+    return rows.select(cfg.id_column, "SecurityId", "Date", "Period")
+
+
+def payload_quotes(
+    staging: Staging, eod: DataFrame, securities: DataFrame, cfg: ReportConfig, payload: DataFrame
+) -> DataFrame:
+    """Quote weights of the two periods for the given securities, from a payload table.
+
+    The wanted composites are few beside a snapshot. They are staged, and the same job counts them and finds their id
+    range, which becomes a filter of the payload's scan. Up to ``MET_IN_PLACE`` of them are sent to the tasks that read
+    the payload, so its text is not exchanged; beyond that Spark joins by its own sizes.
+    """
+    name = f"wanted_{len(staging.tables)}"
+    id_ = F.col(cfg.id_column)
+    wanted, told = staging.measured(
+        wanted_composites(eod, securities, cfg), name, rows=F.count("*"), first=F.min(id_), last=F.max(id_)
+    )
+    text = payload_of(payload, cfg, told["first"], told["last"]).withColumnRenamed(cfg.weights_id, "_composite")
+    few = F.broadcast(wanted) if told["rows"] <= MET_IN_PLACE else wanted
+    return quotes_of(text.join(few, F.col("_composite") == F.col(cfg.id_column)).drop("_composite"), cfg)
+
+
 def quoted_rows(
     eod: DataFrame, securities: DataFrame, cfg: ReportConfig, payload: DataFrame | None = None
 ) -> DataFrame:
@@ -81,13 +109,20 @@ def quoted_rows(
     ``payload`` holds the composite id and the JSON text; without it the text is taken
     from the snapshot. Spark joins the snapshot rows to the payload by their sizes.
     """
-    keys = [cfg.id_column, "SecurityId", "Date", "Period"]
-    rows = eod.where("Period <= 2").join(securities.select("SecurityId").distinct(), "SecurityId", "left_semi")
     if payload is None:
-        return quotes_of(rows.select(*keys, cfg.weights_text), cfg)
+        rows = eod.where("Period <= 2").join(securities.select("SecurityId").distinct(), "SecurityId", "left_semi")
+        return quotes_of(rows.select(cfg.id_column, "SecurityId", "Date", "Period", cfg.weights_text), cfg)
     text = payload.select(F.col(cfg.weights_id).alias("_composite"), cfg.weights_text)
-    joined = text.join(rows.select(*keys), F.col("_composite") == F.col(cfg.id_column)).drop("_composite")
-    return quotes_of(joined, cfg)
+    wanted = wanted_composites(eod, securities, cfg)
+    return quotes_of(text.join(wanted, F.col("_composite") == F.col(cfg.id_column)).drop("_composite"), cfg)
+
+
+def staged_prices(
+    staging: Staging, eod: DataFrame, securities: DataFrame, cfg: ReportConfig, payload: DataFrame
+) -> DataFrame:
+    """Weighted observed price by security, date and period, with the payload met where it is read."""
+    quotes = payload_quotes(staging, eod, securities, cfg, payload)
+    return weighted_price(quotes, ["SecurityId", "Date", "Period"], "Value", "Weight")
 
 
 def observed_prices(

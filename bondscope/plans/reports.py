@@ -12,7 +12,7 @@ from bondscope.config import CORP, MUNI, ReportConfig
 from bondscope.functions.calendar import ReportWindow, report_window
 from bondscope.operators.groups import avg_price_by_group, bid_offer_spread
 from bondscope.operators.movers import top_movers, with_price_only_change
-from bondscope.operators.observed import mover_ids, observed_prices, payload_of
+from bondscope.operators.observed import mover_ids, staged_prices
 from bondscope.operators.relational import pivot_by_date, pivot_dates
 from bondscope.operators.security import (
     raw_data,
@@ -73,10 +73,7 @@ def _moves(
     """Ranked movers both ways, their observed prices and the price-only change."""
     rising = report.staging.keep(top_movers(summary, info, cfg, n))
     falling = report.staging.keep(top_movers(summary, info, cfg, n, ascending=True))
-    quoted = payload_of(payload, eod, cfg)
-    observed = report.staging.keep(
-        observed_prices(eod, mover_ids(rising, falling), cfg, quoted)
-    )
+    observed = report.staging.keep(staged_prices(report.staging, eod, mover_ids(rising, falling), cfg, payload))
     return {
         "observed_prices": observed,
         "winners": with_price_only_change(rising, observed, cfg),

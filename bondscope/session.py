@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import time
+from datetime import timedelta
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+from bondscope import files
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -51,16 +55,75 @@ def staging_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Leases of this application, by the place they stand for.
+_LEASES: dict[str, str] = {}
+
+
+def take_lease(spark: SparkSession, place: str) -> None:
+    """Note in the shared folder that this application uses ``place``, so that a later one can sweep it."""
+    record = f"{staging_folder(spark)}/leases/{uuid4().hex}.json"
+    told = {"application": spark.sparkContext.applicationId, "place": place, "time": time.time()}
+    files.write_record(spark, record, told)
+    _LEASES[place] = record
+
+
+def end_lease(spark: SparkSession, place: str) -> None:
+    """Remove a place and its lease; the place goes first, so that nothing is left without a lease."""
+    files.remove(spark, place)
+    record = _LEASES.pop(place, None)
+    if record is not None:
+        files.remove(spark, record)
+
+
+def renew_leases(spark: SparkSession) -> None:
+    """Note anew that this application is at work, before the age at which others sweep."""
+    for place, record in list(_LEASES.items()):
+        take_lease(spark, place)
+        files.remove(spark, record)
+
+
+def sweep(spark: SparkSession, older: timedelta = timedelta(days=7)) -> list[str]:
+    """Remove what applications that ended without cleaning up left in the shared folder; returns the places.
+
+    Only places whose lease is ``older`` and not of this application go; an application that runs longer than that
+    calls ``renew_leases``.
+    """
+    folder, swept = f"{staging_folder(spark)}/leases", []
+    for name in files.names_in(spark, folder):
+        if not name.endswith(".json") or name.startswith("."):
+            continue
+        lease = files.read_record(spark, f"{folder}/{name}")
+        if lease["application"] == spark.sparkContext.applicationId or lease["time"] > time.time() - older.total_seconds():
+            continue
+        files.remove(spark, lease["place"])
+        files.remove(spark, f"{folder}/{name}")
+        swept.append(lease["place"])
+    return swept
+
+
 def own_database(spark: SparkSession) -> str:
-    """A new database in the shared folder; its files go with the session at the latest."""
+    """A new database in the shared folder; its files go with the session at the latest, or with a later ``sweep``."""
     name = f"bondscope_{uuid4().hex}"
     place = f"{staging_folder(spark)}/{name}"
+    take_lease(spark, place)
     spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
-    path = spark._jvm.org.apache.hadoop.fs.Path(place)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    files.remove_at_end(spark, place)
     return name
 
 
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new place in the shared folder; it goes with the session at the latest, or with a later ``sweep``."""
+    place = f"{staging_folder(spark)}/{kind}-{uuid4().hex}"
+    take_lease(spark, place)
+    files.remove_at_end(spark, place)
+    return place
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    end_lease(spark, f"{staging_folder(spark)}/{name}")
+
+
 class Staging:
     """Frames several sections read, computed once and kept where lost executors do no harm.
 
@@ -86,6 +149,16 @@ class Staging:
         self.tables.append(full)
         return self.spark.table(full)
 
+    def measured(self, frame: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+        """Stage a frame and measure it in the same job."""
+        if self.database is None:
+            self.database = own_database(self.spark)
+        full = f"{self.database}.{name}"
+        told = Observation()
+        frame.observe(told, *[value.alias(key) for key, value in measures.items()]).write.format("parquet").saveAsTable(full)
+        self.tables.append(full)
+        return self.spark.table(full), told.get
+
     def keep(self, frame: DataFrame) -> DataFrame:
         """Persist a small frame."""
         self.kept.append(frame.persist())
@@ -101,6 +174,6 @@ class Staging:
         """Let persisted frames go and remove the written tables."""
         self.forget()
         if self.database is not None:
-            self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+            drop_database(self.spark, self.database)
             self.database = None
             self.tables.clear()

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bondscope.functions.calendar import ReportWindow, ntz
 
@@ -72,15 +73,51 @@ def columns_of(name: str) -> list[str]:
 def load(spark: SparkSession, name: str, root: str | None = None, keep: Iterable[str] = ()) -> DataFrame:
     """Input table ``name``: parquet below ``root``, or the catalog table or view of that name.
 
-    Only the columns the reports read come back, and those in ``keep`` (a column the
-    table is stored by, for one); a missing one raises ValueError.
+    Only the columns the reports read come back, in the types of ``SCHEMAS``, and those in ``keep`` (a column the
+    table is stored by, for one) as they are. A missing column and a type that would lose values raise ValueError.
     """
-    wanted = [*columns_of(name), *keep]
+    wanted, kept = columns_of(name), list(keep)
     frame = spark.read.parquet(f"{root.rstrip('/')}/{name}") if root else spark.table(name)
-    missing = [c for c in wanted if c not in frame.columns]
+    missing = [c for c in [*wanted, *kept] if c not in frame.columns]
     if missing:
         raise ValueError(f"table {name!r} lacks {missing}")
-    return frame.select(*wanted)
+    found, known = {f.name: f.dataType for f in frame.schema.fields}, T.StructType.fromDDL(SCHEMAS[name])
+    return frame.select(*[reconciled(name, f.name, found[f.name], f.dataType).alias(f.name) for f in known.fields], *kept)
+
+
+#: Whole-number types and how many decimal digits each can have.
+DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def reconciled(table: str, name: str, found: T.DataType, wanted: T.DataType) -> Column:
+    """A column in the wanted type, if no value of its own type is lost.
+
+    Whole numbers and decimals become wider ones, whole numbers up to 32 bits and floats become doubles, flags become
+    0 and 1 and back, and times with a zone are taken in UTC, whatever the session's zone. Text stays text.
+    """
+    column, kind = F.col(f"`{name}`"), type(found)
+    if found == wanted:
+        return column
+    fits = False
+    if isinstance(wanted, T.DecimalType):
+        digits = DIGITS.get(kind, found.precision - found.scale if kind is T.DecimalType else 99)
+        fits = digits <= wanted.precision - wanted.scale and (kind is not T.DecimalType or found.scale <= wanted.scale)
+    elif type(wanted) in DIGITS:
+        narrower = kind in DIGITS and DIGITS[kind] <= DIGITS[type(wanted)]
+        whole = kind is T.DecimalType and found.scale == 0 and found.precision < DIGITS[type(wanted)]
+        fits = narrower or whole or kind is T.BooleanType
+    elif isinstance(wanted, T.DoubleType):
+        fits = kind is T.FloatType or DIGITS.get(kind, 99) <= 10
+    elif isinstance(wanted, T.BooleanType):
+        fits = kind in DIGITS
+    elif isinstance(wanted, T.TimestampNTZType) and kind is T.TimestampType:
+        micros = f"CAST(unix_micros(`{name}`) AS DECIMAL(20, 0))"
+        return F.expr(f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST({micros} / 1000000 AS DECIMAL(18, 6)))")
+    elif isinstance(wanted, T.StringType):
+        fits = kind in (T.VarcharType, T.CharType, T.StringType)
+    if not fits:
+        raise ValueError(f"column {name!r} of table {table!r} is {found.simpleString()}, not {wanted.simpleString()}")
+    return column.cast(wanted)
 
 
 def load_tables(spark: SparkSession, names: Iterable[str], root: str | None = None) -> dict[str, DataFrame]:

@@ -6,8 +6,9 @@ import weakref
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
-from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from bondscope.functions import calendar as cal
 from bondscope.functions import expressions as ex
 from bondscope.operators import groups, movers, observed, relational, security, snapshot, volume, wide
 from bondscope.operators.sentiment import sentiment, with_previous
-from bondscope.session import staging_folder
+from bondscope.session import Staging, own_folder
 from bondscope.sources import results, tables
 from checks import adapter
 
@@ -52,6 +53,7 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
         self.kept: dict[str, DataFrame] = {}
         self.reports: list[Report] = []
+        self.staging = Staging(spark)
 
     def read(self, name: str) -> DataFrame:
         """A driver table."""
@@ -113,7 +115,7 @@ class Inputs:
         payload = self.table(cfg.weights_table)
         if cfg is MUNI:
             payload = snapshot.loaded_days(payload, WINDOW, cfg)
-        return observed.observed_prices(self.shared_eod(cfg), ids, cfg, payload)
+        return observed.staged_prices(self.staging, self.shared_eod(cfg), ids, cfg, payload)
 
 
 def by_date(frame: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -585,6 +587,69 @@ def published_most_quoted(i):
     return results.read_result(i.spark, "most_quoted")
 
 
+def _bundled(i, fmt: str) -> DataFrame:
+    """Orders with awkward comments, written as a bundle of two sections and read back."""
+    number = F.col("o_orderkey") % 8
+    comment = (
+        F.when(number == 0, F.concat(F.lit(" lead\n"), "o_orderpriority"))
+        .when(number == 1, F.lit(""))
+        .when(number == 2, F.lit(None))
+        .when(number == 3, F.lit("\\N"))
+        .when(number == 4, F.concat(F.lit('"\\n'), "o_orderpriority", F.lit('", \\\r\n')))
+        .otherwise(F.col("o_orderpriority"))
+    )
+    orders = i.read("orders").select("o_orderkey", comment.alias("told"), "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    root = own_folder(i.spark, "bundle")
+    results.write_bundle(i.spark, {"orders": orders, "days": orders.groupBy("day").count()}, root, fmt)
+    found = results.read_bundle(i.spark, root, fmt)
+    shown = found["orders"].join(found["days"], "day")
+    return shown.select("o_orderkey", F.hex("told").alias("told"), F.length("told").alias("points"), "o_totalprice", "day", "count")
+
+
+@query
+def bundle_parquet(i):
+    return _bundled(i, "parquet")
+
+
+@query
+def bundle_csv(i):
+    return _bundled(i, "csv")
+
+
+@query
+def loaded_tables_sentiment(i):
+    """The adapter tables written with other types, loaded, and read by a section."""
+    root = own_folder(i.spark, "tables")
+    for name in tables.MUNI_TABLES:
+        frame = i.table(name)
+        kinds = dict(frame.dtypes)
+        other = {c: F.col(c).cast("int") for c, kind in kinds.items() if kind == "boolean"}
+        other |= {c: F.col(c).cast("timestamp") for c, kind in kinds.items() if kind == "timestamp_ntz"}
+        other |= {c: F.col(c).cast("decimal(18,0)") for c, kind in kinds.items() if c == "SecurityId"}
+        frame.withColumns(other).write.parquet(f"{root}/{name}")
+    loaded = tables.load_tables(i.spark, tables.MUNI_TABLES, root)
+    eod = snapshot.eod_snapshot(loaded["muni_composite"], WINDOW, MUNI)
+    return sentiment(eod, MUNI)
+
+
+@query
+def published_versions(i):
+    """A run published twice, with a broken publish between; readers see whole runs only."""
+    root = own_folder(i.spark, "published")
+    listed = most_quoted_corp(i)
+    results.publish({"most_quoted": listed.limit(1), "second": listed}, root, report_date=DAY, sector="HY")
+    broken = {"most_quoted": listed.limit(2), "second": listed.select(F.raise_error(F.lit("broken")).alias("x"))}
+    try:
+        results.publish(broken, root, report_date=DAY, sector="HY")
+    except (PySparkException, Py4JJavaError) as error:
+        if "broken" not in str(error):
+            raise
+    first = results.read_result(i.spark, "most_quoted", root, report_date=DAY, sector="HY").count()
+    results.publish({"most_quoted": listed}, root, report_date=DAY, sector="HY")
+    now = results.read_result(i.spark, "most_quoted", root, report_date=DAY, sector="HY")
+    return now.drop("report_date").withColumn("RowsBefore", F.lit(first).cast("long"))
+
+
 REPORTS = {
     "muni": (lambda i: i.report(muni_report, DAY), (
         "winners", "losers", "sentiment", "volume_movers", "most_quoted",
@@ -668,7 +733,7 @@ def movers_report_sample(i):
 @query
 def archived_sectors(i):
     """Two sectors whose pivots have other days, published, archived and read back."""
-    root = f"{staging_folder(i.spark)}/archived-{uuid4().hex}"
+    root = own_folder(i.spark, "archived")
     shown = {}
     for name in ("HY", "IG"):
         eod, _, info = i.sector(name)

@@ -114,11 +114,10 @@ def test_a_security_in_both_lists_counts_once(spark):
     assert sorted(rows_of(ids)) == [(1,), (2,), (3,)]
 
 
-def test_payload_is_cut_to_the_ids_of_the_snapshot(spark):
-    eod = spark.createDataFrame([(5,), (7,)], "CorpCompositeId long")
+def test_payload_is_cut_to_a_range_of_ids(spark):
     payload = debug(spark, [(n, "{}") for n in range(1, 10)])
-    assert sorted(rows_of(payload_of(payload, eod, CORP), "CorpCompositeID")) == [(5,), (6,), (7,)]
-    assert payload_of(payload, eod.limit(0), CORP).count() == 0
+    assert sorted(rows_of(payload_of(payload, CORP, 5, 7), "CorpCompositeID")) == [(5,), (6,), (7,)]
+    assert payload_of(payload, CORP, None, None).count() == 0
 
 
 def test_price_lies_between_the_quotes(spark):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from bondscope import CORP
 from bondscope.operators.movers import top_movers
-from bondscope.operators.observed import observed_prices, payload_of
+from bondscope.operators import observed
+from bondscope.operators.observed import observed_prices, staged_prices
 from bondscope.operators.relational import lookup_join
 from bondscope.operators.security import security_info_corp, worst_rating
 from bondscope.operators.sentiment import sentiment
@@ -96,19 +97,41 @@ def test_quote_payload_is_read_in_place_and_cut_by_id(spark, composites, tmp_pat
     debug = [(n, json.dumps({"BdWts": [quote("100", "1")]})) for n in range(2000)]
     spark.createDataFrame(debug, SCHEMAS["corp_composite_debug"]).write.parquet(str(tmp_path / "debug"))
     payload = spark.read.parquet(str(tmp_path / "debug"))
-    eod = eod_snapshot(composites, WINDOW, CORP)
     ids = spark.createDataFrame([(1,), (2,)], "SecurityId long")
-    frame = observed_prices(eod, ids, CORP, payload_of(payload, eod, CORP))
-    shown = plan(frame)
-    assert "GreaterThanOrEqual(CorpCompositeID,0)" in shown and "LessThanOrEqual(CorpCompositeID,439)" in shown
-    assert "BroadcastHashJoin [_composite" in shown
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    staging = Staging(spark)
+    # a threshold below any table: what is broadcast is what was measured
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
+        eod = staging.table(eod_snapshot(composites, WINDOW, CORP), "snapshot", "SecurityId", "Date")
+        frame = staged_prices(staging, eod, ids, CORP, payload)
+        shown = plan(frame)
+        assert "GreaterThanOrEqual(CorpCompositeID," in shown and "LessThanOrEqual(CorpCompositeID," in shown
+        assert "BroadcastHashJoin [_composite" in shown
+        # the one exchange is that of the sums; the text goes through none
+        assert nodes(frame, "Exchange") == 1 and nodes(frame, "SortMergeJoin") == 0
         wide = observed_prices(eod, ids, CORP, payload)
         assert "SortMergeJoin [_composite" in plan(wide)
-        assert sorted(rows_of(wide)) == sorted(rows_of(frame))
+        assert sorted(rows_of(wide)) == sorted(rows_of(frame)) != []
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        staging.release()
+
+
+def test_many_wanted_composites_are_joined_by_size(spark, composites, monkeypatch):
+    payload = spark.createDataFrame([(n, json.dumps({"BdWts": [quote("100", "1")]})) for n in range(500)], SCHEMAS["corp_composite_debug"])
+    ids = spark.createDataFrame([(1,), (2,)], "SecurityId long")
+    staging = Staging(spark)
+    eod = eod_snapshot(composites, WINDOW, CORP)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = sorted(rows_of(staged_prices(staging, eod, ids, CORP, payload)))
+        monkeypatch.setattr(observed, "MET_IN_PLACE", 1)
+        many = staged_prices(staging, eod, ids, CORP, payload)
+        assert nodes(many, "SortMergeJoin") == 1 and sorted(rows_of(many)) == few != []
+        assert staged_prices(staging, eod.limit(0), ids, CORP, payload).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        staging.release()
 
 
 # --- hot keys --------------------------------------------------------------
