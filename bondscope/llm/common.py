@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import sys
-import tempfile
 from collections.abc import Callable, Iterator
 from types import ModuleType
 from uuid import uuid4
@@ -16,40 +15,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 4 << 20
-
-
-#: Folders of local sessions that name none, by application.
-_OWN_FOLDERS: dict[str, str] = {}
+from bondscope.session import end_lease, own_folder
 
+SLICE_BYTES = 4 << 20
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only local sessions without one get their own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_FOLDERS:
-        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="bondscope-llm-")
-    return _OWN_FOLDERS[app]
+#: The folder of staged frames of each application.
+_STAGES: dict[str, str] = {}
 
 
 def stage(frame: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
-    Later plans start from the files, so lost executors cost no more than one task. The
-    files go when the session's JVM ends.
+    Later plans start from the files, so lost executors cost no more than one task. The files go with
+    ``release_stages``, when the session's JVM ends, or with a later session's ``bondscope.session.sweep``.
     """
     spark = frame.sparkSession
-    place = f"{shared_folder(spark)}/llm-{uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _STAGES:
+        _STAGES[app] = own_folder(spark, "llm")
+    place = f"{_STAGES[app]}/{uuid4().hex}"
     frame.write.parquet(place)
-    path = spark._jvm.org.apache.hadoop.fs.Path(place)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(frame.schema).parquet(place)
 
 
+def release_stages(spark: SparkSession) -> None:
+    """Remove all staged files of this application, once the last result that reads them is written."""
+    place = _STAGES.pop(spark.sparkContext.applicationId, None)
+    if place is not None:
+        end_lease(spark, place)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -20,8 +20,8 @@ with the defaults, or that an estimate falls more than four deviations short.
 
 Nulls: a null or empty text has no shingles, and all such are one class. A text of fewer than five words is
 one shingle. A row with a null identifier is a class of its own with null as its class, and is kept.
-Repeated rows are copies; rows that share an identifier count as one document. An empty table gives no rows;
-extra columns are not read. Words are told apart by white space and compared in lower case.
+Repeated rows are copies; rows that share an identifier are documents of their own, told apart by their texts, though
+their classes may then have the same ``class_id``. An empty table gives no rows; extra columns are not read. Words are told apart by white space and compared in lower case.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bondscope.llm.common import Words, hash_words, map_batches, mix, slices, stage
+from bondscope.llm.common import Words, give_back, hash_words, map_batches, mix, slices, stage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BAND_ROWS, BANDS = 5, 30
@@ -47,51 +47,65 @@ SLICE = 2 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 FACTOR = np.uint64(0x100000001B3)
 
-FEATURES = "_id long, _words binary, _bands array<long>"
+FEATURES = "_key long, _hash long, _words binary, _bands array<long>"
 
 
 def near_classes(
     docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY
 ) -> DataFrame:
     """One row per document: ``key``, ``class_id`` (the smallest identifier), ``class_size``, ``kept``."""
-    rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
-    known = rows.where("_id is not null")
-    features = stage(map_batches(known, signatures, FEATURES, "_text", SLICE))
-    texts = features.groupBy("_words").agg(
-        F.min("_id").alias("_text_id"), F.first("_bands").alias("_bands")
-    )
-    texts = stage(texts)
+    return _classes(docs, text, key, similarity).drop("_hash")
+
+
+def _classes(docs: DataFrame, text: str, key: str, similarity: float = SIMILARITY) -> DataFrame:
+    """The same with the hash of each row's text, which tells texts of one identifier apart."""
+    rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).cast("string").alias("_text"))
+    rows = rows.withColumn("_hash", F.xxhash64(F.coalesce("_text", F.lit(""))))
+    known = rows.where("_key is not null")
+    features = stage(map_batches(known, signatures, FEATURES, "_text", SLICE).withColumn("_row", F.monotonically_increasing_id()))
+    # a text is known by the first row that has its words, and numbered as it is written
+    first = F.min(F.struct("_key", "_hash", "_row")).alias("_first")
+    texts = features.groupBy("_words").agg(first, F.count("*").alias("_rows"), F.first("_bands").alias("_bands"))
+    texts = stage(texts.withColumn("_text_id", F.monotonically_increasing_id()))
     buckets = texts.select(F.explode("_bands").alias("_bucket"), F.col("_text_id").alias("_id"))
     shared = buckets.groupBy("_bucket").agg(F.count("*").alias("_members")).where("_members > 1")
     members = stage(led_buckets(stage(buckets.join(shared, "_bucket"))))
-    first = members.where("_id <> _lead").select("_lead", "_id").distinct()
+    first_pairs = members.where("_id <> _lead").select("_lead", "_id").distinct()
     # the texts that any comparison needs, by one exchange of all texts whatever their number
-    met = members.select(F.col("_id").alias("_met")).distinct().hint("merge")
-    known = stage(known.join(met, F.col("_id") == F.col("_met"), "left_semi"))
-    links = stage(verify(first, known, similarity))
+    met = texts.select(F.col("_text_id").alias("_id"), F.col("_first._key").alias("_its"), F.col("_first._hash").alias("_its_hash"))
+    met = met.join(members.select("_id").distinct(), "_id", "left_semi").hint("merge")
+    known = known.join(met, (F.col("_key") == F.col("_its")) & (F.col("_hash") == F.col("_its_hash")))
+    known = stage(known.select("_id", "_text"))
+    links = stage(verify(first_pairs, known, similarity))
     classes = stage(components(links.select("_lead", "_id")))
     rest = contested(members, classes, texts, known, similarity)
     more = stage(verify(rest, known, similarity))
     if not more.isEmpty():
         classes = stage(components(links.select("_lead", "_id").unionByName(more.select("_lead", "_id"))))
-    of_text = texts.select("_words", "_text_id").join(classes, F.col("_text_id") == F.col("_node"), "left")
-    of_text = of_text.select("_words", F.coalesce("_class", "_text_id").alias("class_id"))
-    placed = features.select("_id", "_words").join(of_text, "_words").select("_id", "class_id")
-    sizes = placed.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    whole = placed.join(sizes, "class_id").select(
-        F.col("_id").alias(key), "class_id", "class_size", (F.col("_id") == F.col("class_id")).alias("kept")
+    classed = texts.join(classes, F.col("_text_id") == F.col("_node"), "left")
+    classed = classed.select("_words", "_first", "_rows", F.coalesce("_class", "_text_id").alias("_class"))
+    heads = classed.groupBy("_class").agg(F.min("_first").alias("_head"), F.sum("_rows").alias("class_size"))
+    of_text = classed.select("_words", "_class").join(heads, "_class").select("_words", "_head", "class_size")
+    whole = features.select("_key", "_hash", "_row", "_words").join(of_text, "_words").select(
+        F.col("_key").alias(key),
+        F.col("_head._key").alias("class_id"),
+        "class_size",
+        (F.col("_row") == F.col("_head._row")).alias("kept"),
+        "_hash",
     )
-    nameless = rows.where("_id is null").select(
-        F.col("_id").alias(key), F.col("_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
+    nameless = rows.where("_key is null").select(
+        F.col("_key").alias(key), F.col("_key").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"), "_hash"
     )
     return whole.unionByName(nameless)
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of the smallest identifier of each class, one for each identifier, and those without one."""
-    kept = near_classes(docs.where(F.col(key).isNotNull()), text, key).where("kept").select(F.col(key).alias("_key"))
-    left = docs.join(kept.hint("merge"), F.col(key) == F.col("_key"), "left_semi")
-    once = Window.partitionBy(key).orderBy(F.xxhash64(text))
+    """One row of each class, the first of its smallest identifier, and the rows without an identifier."""
+    kept = _classes(docs.where(F.col(key).isNotNull()), text, key).where("kept")
+    kept = kept.select(F.col(key).alias("_its"), F.col("_hash").alias("_its_hash")).hint("merge")
+    own = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    left = docs.withColumn("_own_hash", own).join(kept, (F.col(key) == F.col("_its")) & (F.col("_own_hash") == F.col("_its_hash")), "left_semi")
+    once = Window.partitionBy(key, "_own_hash").orderBy(F.lit(0))
     left = left.withColumn("_once", F.row_number().over(once)).where("_once = 1").select(docs.columns)
     return left.unionByName(docs.where(F.col(key).isNull()))
 
@@ -146,11 +160,12 @@ def signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
     lists = [b if c else [] for b, c in zip(bands.tolist(), words.counts.tolist(), strict=True)]
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("_id"),
+            batch.column("_key"),
+            batch.column("_hash"),
             pa.array([r.tobytes() for r in identity], pa.binary()),
             pa.array(lists, pa.list_(pa.int64())),
         ],
-        names=["_id", "_words", "_bands"],
+        names=["_key", "_hash", "_words", "_bands"],
     )
 
 
@@ -245,6 +260,8 @@ def verify(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.float64())
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["_lead", "_id", "_overlap"])
+        del lead, bag
+        give_back()
 
     columns = met.select("_lead", "_id", "_role", "_text")
     return columns.mapInArrow(run, "_lead long, _id long, _overlap double").distinct()

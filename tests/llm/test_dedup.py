@@ -118,6 +118,18 @@ def test_near_copies_are_dropped(spark):
     assert ids[None] == 2 and ids[5] == 1 and ids[20] == 1 and ids[21] == 0 and ids[1] == 1 and ids[2] == 0
 
 
+def test_texts_of_one_identifier_are_told_apart(spark):
+    rows = [row(1, text("A", 90)), row(1, text("B", 90)), row(2, text("B", 90) + " x"), row(3, text("C", 90))]
+    rows += [row(4, text("D", 90)), row(4, text("D", 90)), row(4, text("E", 90)), row(5, text("E", 90) + " x")]
+    left = drop_near_copies(clashing(frame(spark, rows)))
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter((r[0], r[1]) for r in [*rows[:2], rows[3], *rows[4:7:2]])
+    got = near_classes(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.class_id, r.class_size, r.kept) for r in got) == [
+        (1, 1, 1, True), (1, 1, 2, True), (2, 1, 2, False), (3, 3, 1, True),
+        (4, 4, 2, False), (4, 4, 2, True), (4, 4, 2, True), (5, 4, 2, False),
+    ]
+
+
 @pytest.mark.parametrize("grow", [1, 3])
 def test_bag_min_hash_estimates_multiset_overlap(grow):
     rng = np.random.default_rng(grow)

@@ -1,8 +1,10 @@
+import os
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from bondscope.llm import common
 from bondscope.llm import toxicity
 from bondscope.llm.common import Words, count_ascii_words, hash_words, held_out
 from bondscope.llm.language import UNKNOWN, fit_languages, ngram_sets, predict_languages
@@ -211,15 +213,16 @@ def test_a_sample_is_the_same_again(spark, rows):
     assert one == two and len(one) < 2 * rows
 
 
-def test_frames_are_staged_in_the_shared_folder(spark, monkeypatch):
-    from bondscope.llm import common
+def test_frames_are_staged_in_the_shared_folder(spark):
+    place = common.stage(spark.range(5)).inputFiles()[0].removeprefix("file://")
+    assert place.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
 
-    assert common.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
-    assert common.stage(spark.range(5)).inputFiles()[0].removeprefix("file://").startswith(common.shared_folder(spark))
 
-    class Unset:
-        conf = {}
-        sparkContext = spark.sparkContext
-
-    own = common.shared_folder(Unset)
-    assert own == common.shared_folder(Unset) != spark.conf.get("spark.checkpoint.dir")
+def test_staged_files_go_when_released(spark):
+    first, second = common.stage(spark.range(5)), common.stage(spark.range(6))
+    assert os.path.exists(first.inputFiles()[0].removeprefix("file://")) and second.count() == 6
+    places = [f.inputFiles()[0].removeprefix("file://") for f in (first, second)]
+    common.release_stages(spark)
+    assert not any(map(os.path.exists, places))
+    common.release_stages(spark)
+    assert common.stage(spark.range(7)).count() == 7
