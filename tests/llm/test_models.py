@@ -1,11 +1,11 @@
 import os
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bondscope.llm import common
-from bondscope.llm import toxicity
+from bondscope.llm import common, toxicity
 from bondscope.llm.common import Words, count_ascii_words, hash_words, held_out
 from bondscope.llm.language import UNKNOWN, fit_languages, ngram_sets, predict_languages
 from bondscope.llm.mixing import fit_domains, fit_rates, mix_to_targets, repeat_copies
