@@ -5,7 +5,7 @@ from __future__ import annotations
 import weakref
 from collections.abc import Callable
 from datetime import date
-from functools import reduce
+from functools import partial, reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -730,6 +730,17 @@ def movers_report_sample(i):
     return i.report(movers_report, "HY", DAY)["sample"]
 
 
+@query
+def short_report_limits(i):
+    """The short report with limits that cut; of the sampled rows those are counted that are listed losers."""
+    report = i.report(partial(movers_report, movers=10, sample=5), "HY", DAY)
+    listed = [report[n].select(F.lit(n).alias("Section"), "Ord", "SecurityId") for n in ("winners", "losers")]
+    falling = report["losers"].select("SecurityId", F.lit(1).alias("_listed"))
+    met = report["sample"].join(falling, "SecurityId", "left")
+    sampled = met.agg(F.count("*").alias("Ord"), F.count("_listed").alias("SecurityId")).withColumn("Section", F.lit("sample"))
+    return reduce(DataFrame.unionByName, [*listed, sampled])
+
+
 @query
 def archived_sectors(i):
     """Two sectors whose pivots have other days, published, archived and read back."""
