@@ -1,8 +1,8 @@
 """Histogram sort: shards of nearly equal bytes, cut at exactly counted key boundaries.
 
-Rows are ordered by a 64-bit key whose upper 44 bits hash the text and whose lower 20 bits
-hash the identifier: equal texts stand together, yet a text that fills a third of the table
-can be cut. Probes divide the key range; one pass counts the exact bytes below every probe;
+Rows are staged with a number, and ordered by a 64-bit key whose upper 44 bits hash the text and whose lower
+20 bits hash the identifier and the number: equal texts stand together, yet a text that fills a third of the table
+can be cut, whether its rows share an identifier or not. Probes divide the key range; one pass counts the exact bytes below every probe;
 the range around each splitter is divided again until the splitter meets its tolerance. Then
 the rows are exchanged once.
 
@@ -39,8 +39,10 @@ def shard_by_bytes(
     spark = docs.sparkSession
     pieces = pieces or -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
     size = (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long")
-    order = _order_key(text, key)
-    keys = stage(docs.select(order.alias("_order"), size.alias("size")))
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("size", "shard", "slot")]
+    order = _order_key(text, key, F.monotonically_increasing_id())
+    placed = stage(docs.select(*own, size.alias("size"), order.alias("_order")))
+    keys = placed.select("_order", "size")
     cuts = splitters(keys, shards * pieces, pieces, tolerance)
     counted = keys.groupBy(_place(F.col("_order"), cuts).alias("piece")).agg(F.count("*").alias("rows"))
     rows = dict(counted.collect())
@@ -49,15 +51,14 @@ def shard_by_bytes(
         first = 0 if piece % pieces == 0 else first
         before.append(first)
         first += rows.get(piece, 0)
-    tie = F.xxhash64(F.lit("tie"), F.col(text))
-    placed = docs.withColumns({"_order": order, "_tie": tie, "size": size})
     placed = placed.withColumn("_piece", _place(F.col("_order"), cuts))
-    within = Window.partitionBy("_piece").orderBy("_order", key, "_tie")
+    placed = placed.repartitionById(shards * pieces, F.col("_piece"))
+    within = Window.partitionBy("_piece").orderBy("_order", key, F.xxhash64(F.lit("tie"), F.col(text)))
     return (
-        placed.withColumn("_row", F.row_number().over(within))
+        placed.withColumn("_number", F.row_number().over(within))
         .withColumn("shard", F.floor(F.col("_piece") / pieces).cast("int"))
-        .withColumn("slot", F.element_at(_numbers(before), F.col("_piece") + 1) + F.col("_row") - 1)
-        .drop("_order", "_tie", "_piece", "_row")
+        .withColumn("slot", F.element_at(_numbers(before), F.col("_piece") + 1) + F.col("_number") - 1)
+        .drop("_order", "_piece", "_number")
     )
 
 
@@ -95,9 +96,9 @@ def splitters(keys: DataFrame, parts: int, pieces: int, tolerance: float) -> lis
     return sorted(found.values())
 
 
-def _order_key(text: str, key: str) -> Column:
+def _order_key(text: str, key: str, row: Column) -> Column:
     by_text = F.shiftleft(F.shiftright(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 20), 20)
-    return by_text.bitwiseOR(F.xxhash64(F.coalesce(F.col(key).cast("long"), F.lit(0))).bitwiseAND(F.lit((1 << 20) - 1)))
+    return by_text.bitwiseOR(F.xxhash64(F.coalesce(F.col(key).cast("long"), F.lit(0)), row).bitwiseAND(F.lit((1 << 20) - 1)))
 
 
 def _numbers(values: list[int]) -> Column:

@@ -112,6 +112,20 @@ def test_shards_are_gapless_and_even(spark, partitions):
     assert all(abs(s - mean) <= largest for s in sizes.values())
 
 
+def test_repeated_rows_are_dealt_evenly(spark):
+    rows = [row(None, "y" * 100)] * 1000 + [row(5, "x" * 40)] * 500 + [row(10 + n, f"z{n} " * 25) for n in range(1000)]
+    placed = shard_by_bytes(frame(spark, rows))
+    assert "Exchange hashpartitioning" not in placed._jdf.queryExecution().executedPlan().toString()
+    got = placed.toPandas()
+    sizes = got.groupby("shard")["size"].sum()
+    mean = sum(len(r[1]) + 1 for r in rows) / 8
+    # boundaries lie within the tolerance or one row of their aims
+    assert len(sizes) == 8 and (sizes - mean).abs().max() <= 2 * (0.001 * mean + got["size"].max())
+    for _, own in got.groupby("shard"):
+        assert sorted(own.slot) == list(range(len(own)))
+    assert sorted(got["size"]) == sorted(len(r[1]) + 1 for r in rows)
+
+
 def test_equal_texts_share_a_shard_unless_it_is_cut_there(spark):
     rows = [row(n, text(n // 5, 40)) for n in range(2000)]
     got = shard_by_bytes(frame(spark, rows)).collect()
