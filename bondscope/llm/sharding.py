@@ -41,7 +41,8 @@ def shard_by_bytes(
     size = (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long")
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ("size", "shard", "slot")]
     order = _order_key(text, key, F.monotonically_increasing_id())
-    placed = stage(docs.select(*own, size.alias("size"), order.alias("_order")))
+    # a table's own columns travel as one, so that their names meet none of those added here
+    placed = stage(docs.select(F.struct(*own).alias("_doc"), size.alias("size"), order.alias("_order")))
     keys = placed.select("_order", "size")
     cuts = splitters(keys, shards * pieces, pieces, tolerance)
     counted = keys.groupBy(_place(F.col("_order"), cuts).alias("piece")).agg(F.count("*").alias("rows"))
@@ -53,13 +54,11 @@ def shard_by_bytes(
         first += rows.get(piece, 0)
     placed = placed.withColumn("_piece", _place(F.col("_order"), cuts))
     placed = placed.repartitionById(shards * pieces, F.col("_piece"))
-    within = Window.partitionBy("_piece").orderBy("_order", key, F.xxhash64(F.lit("tie"), F.col(text)))
-    return (
-        placed.withColumn("_number", F.row_number().over(within))
-        .withColumn("shard", F.floor(F.col("_piece") / pieces).cast("int"))
-        .withColumn("slot", F.element_at(_numbers(before), F.col("_piece") + 1) + F.col("_number") - 1)
-        .drop("_order", "_piece", "_number")
-    )
+    doc = F.col("_doc")
+    within = Window.partitionBy("_piece").orderBy("_order", doc[key], F.xxhash64(F.lit("tie"), doc[text]))
+    slot = F.element_at(_numbers(before), F.col("_piece") + 1) + F.row_number().over(within) - 1
+    shard = F.floor(F.col("_piece") / pieces).cast("int")
+    return placed.select("_doc", "size", shard.alias("shard"), slot.alias("slot")).select("_doc.*", "size", "shard", "slot")
 
 
 def splitters(keys: DataFrame, parts: int, pieces: int, tolerance: float) -> list[int]:
