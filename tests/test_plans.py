@@ -108,7 +108,7 @@ def test_quote_payload_is_read_in_place_and_cut_by_id(spark, composites, tmp_pat
         assert "GreaterThanOrEqual(CorpCompositeID," in shown and "LessThanOrEqual(CorpCompositeID," in shown
         assert "BroadcastHashJoin [_composite" in shown
         # the one exchange is that of the sums; the text goes through none
-        assert nodes(frame, "Exchange") == 1 and nodes(frame, "SortMergeJoin") == 0
+        assert shown.count(" Exchange hashpartitioning") == 1 and nodes(frame, "SortMergeJoin") == 0
         wide = observed_prices(eod, ids, CORP, payload)
         assert "SortMergeJoin [_composite" in plan(wide)
         assert sorted(rows_of(wide)) == sorted(rows_of(frame)) != []
