@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -98,10 +98,19 @@ def detail_and_total(
 
 def pivot_dates(frame: DataFrame, window: ReportWindow, column: str = "Date") -> list[date]:
     """The weekdays of a report's window that a frame has rows of, in order, to name pivot columns by."""
-    days = window.weekdays()
-    found = frame.select(F.to_date(column).alias("d")).where(F.col("d").isin(days)).distinct()
-    present = {row["d"] for row in found.collect()}  # days of the window at most
-    return [day for day in days if day in present]
+    return window_days(window, frame.agg(days_present(window, column)).first()[0])
+
+
+def days_present(window: ReportWindow, column: str = "Date") -> Column:
+    """The weekdays of the window in a column: a measure that can be taken while a frame is written."""
+    moment = F.to_date(column)
+    return F.collect_set(F.when(moment.isin(window.weekdays()), moment))  # days of the window at most
+
+
+def window_days(window: ReportWindow, present: Iterable[date]) -> list[date]:
+    """The days present, in order."""
+    found = set(present)
+    return [day for day in window.weekdays() if day in found]
 
 
 def short_dates(days: Sequence[date]) -> list[str]:
@@ -136,14 +145,18 @@ def running_max(
 
     The order is cut into ranges of about equal rows, by a sample of it. Ranges are scanned side by
     side, and each starts from the largest value of the ranges before it, so no task holds a whole key
-    or a whole hour.
+    or a whole hour. Rows that tie in ``order`` follow a hash of all their columns (but maps), so that a cut
+    can fall between them too; only rows that are equal throughout stay together.
     """
+    hashed = [f"`{f.name}`" for f in frame.schema.fields if "map<" not in f.dataType.simpleString()]
+    placed = frame.withColumn("_tie", F.xxhash64(*hashed))
+    order = [*order, "_tie"]
     place = F.struct(*order)
-    places = frame.select(place.alias("_place"))
+    places = placed.select(place.alias("_place"))
     cuts = _range_cuts(places, shuffle_partitions(frame.sparkSession))
     kind = places.schema["_place"].dataType
     # A struct is never NULL, so rows with NULL keys meet their range like all others.
-    blocked = frame.withColumn("_block", F.struct(*keys, _cuts_below(cuts, place, kind).alias("_at")))
+    blocked = placed.withColumn("_block", F.struct(*keys, _cuts_below(cuts, place, kind).alias("_at")))
     peaks = blocked.groupBy("_block").agg(F.max(value).alias("_peak"))
     earlier = Window.partitionBy(*[F.col(f"_block.{k}") for k in keys]).orderBy("_block._at")
     carried = peaks.select(
@@ -160,11 +173,13 @@ SAMPLED_PLACES = 50
 
 
 def _range_cuts(places: DataFrame, ranges: int) -> list[Row]:
-    """Places, as text, that cut the order into ranges of about equal rows, from a sample of bounded size."""
-    total, wanted = places.count(), ranges * SAMPLED_PLACES
-    sampled = places.sample(min(1.0, wanted / total), seed=1) if total > wanted else places
+    """Places, as text, that cut the order into ranges of about equal rows, from a sample of bounded size.
+
+    One pass: every task keeps the rows of its smallest random numbers, and the smallest of those are the sample.
+    """
+    lots = places.withColumn("_lot", F.rand(1)).orderBy("_lot").limit(ranges * SAMPLED_PLACES)
     shown = F.struct(*[F.col(f"_place.{f}").cast("string").alias(f) for f in places.schema["_place"].dataType.names])
-    ranked = [row[0] for row in sampled.orderBy("_place").select(shown).collect()]
+    ranked = [row[0] for row in lots.orderBy("_place").select(shown).collect()]
     picked = [ranked[len(ranked) * n // ranges] for n in range(1, ranges)] if ranked else []
     return [place for n, place in enumerate(picked) if n == 0 or place != picked[n - 1]]
 

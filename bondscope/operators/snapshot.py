@@ -75,19 +75,29 @@ def eod_snapshot(composites: DataFrame, window: ReportWindow, cfg: ReportConfig)
 
 
 def period_summary(eod: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """The last rows of the report and previous period side by side; both must exist."""
+    """The last rows of the report and previous period side by side; both must exist.
+
+    Numbers alone are grouped, in a hash aggregate. JSON text, where the snapshot carries it, is fetched
+    afterwards for the securities that pair, by the partitioning that the group left; rows without a
+    security, which meet as one, have no text.
+    """
     carried = ["BidComposite", "OfferComposite", "OfferCount", "BidCount", "ProviderCount"]
-    if cfg.carries_text and cfg.text_column in eod.columns:
-        carried.append(cfg.text_column)
     sources = {"MuniCompositeId": cfg.id_column, **{c: c for c in carried}}
+    last = eod.where("PeriodRecord = 1 and Period <= 2")
 
     def last_of(period: int, prefix: str):
-        last = (F.col("PeriodRecord") == 1) & (F.col("Period") == period)
-        return [F.max(F.when(last, F.col(src))).alias(f"{prefix}_{out}") for out, src in sources.items()]
-
-    return (
-        eod.where("PeriodRecord = 1 and Period <= 2")
-        .groupBy("SecurityId")
-        .agg(*last_of(1, "ReportPeriod"), *last_of(2, "PreviousPeriod"))
-        .where("ReportPeriod_MuniCompositeId is not null and PreviousPeriod_MuniCompositeId is not null")
+        return [F.max(F.when(F.col("Period") == period, F.col(src))).alias(f"{prefix}_{out}") for out, src in sources.items()]
+
+    periods = {"ReportPeriod": 1, "PreviousPeriod": 2}
+    paired = (
+        last.groupBy("SecurityId")
+        .agg(*[value for prefix, period in periods.items() for value in last_of(period, prefix)])
+        .where(" and ".join(f"{prefix}_MuniCompositeId is not null" for prefix in periods))
     )
+    if not cfg.carries_text or cfg.text_column not in eod.columns:
+        return paired
+    for prefix, period in periods.items():
+        text = F.col(cfg.text_column).alias(f"{prefix}_{cfg.text_column}")
+        paired = paired.join(last.where(F.col("Period") == period).select("SecurityId", text), "SecurityId", "left")
+    shown = [*sources, cfg.text_column]
+    return paired.select("SecurityId", *[f"{prefix}_{name}" for prefix in periods for name in shown])

@@ -13,7 +13,7 @@ from bondscope.functions.calendar import ReportWindow, report_window
 from bondscope.operators.groups import avg_price_by_group, bid_offer_spread
 from bondscope.operators.movers import top_movers, with_price_only_change
 from bondscope.operators.observed import mover_ids, staged_prices
-from bondscope.operators.relational import pivot_by_date, pivot_dates
+from bondscope.operators.relational import days_present, pivot_by_date, window_days
 from bondscope.operators.security import (
     raw_data,
     restrict_sector,
@@ -40,11 +40,18 @@ class Report(dict[str, DataFrame]):
     def __init__(self, spark: SparkSession, window: ReportWindow) -> None:
         super().__init__()
         self.window = window
+        #: The days that the sector's snapshot has quotes of.
+        self.quoted: list[date] = []
         self.staging = Staging(spark)
 
     def release(self) -> None:
         self.staging.release()
 
+    def with_days(self, frame: DataFrame, name: str) -> tuple[DataFrame, list[date]]:
+        """Stage a frame by date, and the days it has, told by the job that writes it."""
+        staged, told = self.staging.measured(frame, name, days=days_present(self.window))
+        return staged, window_days(self.window, told["days"])
+
     @contextmanager
     def building(self) -> Iterator[None]:
         """Let staged frames go if the report cannot be built."""
@@ -110,7 +117,7 @@ def muni_report(
         info = report.staging.table(security_info_muni(eod, security), "securities", "SecurityId")
         summary = period_summary(eod, cfg)
         moves = _moves(report, eod, summary, info, business_snaps(composites, window, cfg), cfg, movers)
-        spread = report.staging.keep(bid_offer_spread(eod, info, cfg))
+        spread, spread_days = report.with_days(bid_offer_spread(eod, info, cfg), "spread")
         report |= {
             "report_dates": report_dates(security.sparkSession, window),
             "winners": moves["winners"],
@@ -119,7 +126,7 @@ def muni_report(
             "volume_movers": quote_volume_movers(eod, info, window, cfg, listed),
             "most_quoted": most_quoted(summary, info, cfg, listed),
             "bid_offer_spread": spread.orderBy("Ord", cfg.group, "Date"),
-            "bid_offer_spread_by_date": pivot_by_date(spread, [cfg.group], "AvgSpread", pivot_dates(spread, window)),
+            "bid_offer_spread_by_date": pivot_by_date(spread, [cfg.group], "AvgSpread", spread_days),
             "raw_data": raw_data(eod, security, tables["security_muni"], tables["code"], tables["yield_curve"]),
         }
     return report
@@ -143,7 +150,8 @@ def _corp_base(
         )
         described = report.staging.table(described, "securities", "SecurityId")
         eod, summary, info = restrict_sector(every, period_summary(every, cfg), described, sector)
-        eod = report.staging.table(eod, "sector_snapshot", "SecurityId", "Date")
+        eod, told = report.staging.measured_table(eod, "sector_snapshot", "SecurityId", "Date", days=days_present(window))
+        report.quoted = window_days(window, told["days"])
     return report, eod, summary, info
 
 
@@ -170,20 +178,18 @@ def corp_report(
             "losers": moves["losers"],
         }
         if sector == "HY":
-            prices = report.staging.keep(avg_price_by_group(eod, info, cfg))
-            report["avg_price_by_date"] = pivot_by_date(prices, [cfg.group], "AvgPrice", pivot_dates(prices, window))
-        spread = report.staging.keep(bid_offer_spread(eod, info, cfg))
-        volume = report.staging.keep(bid_offer_volume(tables["security_stats"], info, window, cfg))
+            prices, price_days = report.with_days(avg_price_by_group(eod, info, cfg), "prices")
+            report["avg_price_by_date"] = pivot_by_date(prices, [cfg.group], "AvgPrice", price_days)
+        spread, spread_days = report.with_days(bid_offer_spread(eod, info, cfg), "spread")
+        volume, volume_days = report.with_days(bid_offer_volume(tables["security_stats"], info, window, cfg), "volume")
         report |= {
             "sentiment": sentiment(eod, cfg),
             "volume_movers": quote_volume_movers(eod, info, window, cfg, listed),
             "most_quoted": most_quoted(summary, info, cfg, listed),
-            "bid_offer_spread_by_date": pivot_by_date(spread, [cfg.group], "AvgSpread", pivot_dates(spread, window)),
+            "bid_offer_spread_by_date": pivot_by_date(spread, [cfg.group], "AvgSpread", spread_days),
             "bid_offer_volume": volume.orderBy("Ord", cfg.group, "Date", "Side"),
-            "bid_offer_volume_by_date": pivot_by_date(
-                volume, [cfg.group, "Side"], "QuoteCount", pivot_dates(volume, window)
-            ),
-            "raw_data": raw_data_wide(eod, info, pivot_dates(eod, window)),
+            "bid_offer_volume_by_date": pivot_by_date(volume, [cfg.group, "Side"], "QuoteCount", volume_days),
+            "raw_data": raw_data_wide(eod, info, report.quoted),
         }
     return report
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import time
+from collections.abc import Sequence
 from datetime import timedelta
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 
 from bondscope import files
 
@@ -124,6 +125,10 @@ def drop_database(spark: SparkSession, name: str) -> None:
     end_lease(spark, f"{staging_folder(spark)}/{name}")
 
 
+def _observed(frame: DataFrame, told: Observation, measures: dict[str, Column]) -> DataFrame:
+    return frame.observe(told, *[value.alias(key) for key, value in measures.items()])
+
+
 class Staging:
     """Frames several sections read, computed once and kept where lost executors do no harm.
 
@@ -141,23 +146,28 @@ class Staging:
 
     def table(self, frame: DataFrame, name: str, key: str, *then: str) -> DataFrame:
         """Stage a frame whose size grows with the input, partitioned by ``key``."""
-        if self.database is None:
-            self.database = own_database(self.spark)
-        full = f"{self.database}.{name}"
-        buckets = shuffle_partitions(self.spark)
-        frame.write.format("parquet").bucketBy(buckets, key).sortBy(key, *then).saveAsTable(full)
-        self.tables.append(full)
-        return self.spark.table(full)
+        return self._written(self._bucketed(frame, key, then), name)
+
+    def measured_table(self, frame: DataFrame, name: str, key: str, *then: str, **measures: Column) -> tuple[DataFrame, dict]:
+        """Like ``table``, and measure the frame in the same job."""
+        told = Observation()
+        return self._written(self._bucketed(_observed(frame, told, measures), key, then), name), told.get
 
     def measured(self, frame: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
         """Stage a frame and measure it in the same job."""
+        told = Observation()
+        return self._written(_observed(frame, told, measures).write, name), told.get
+
+    def _bucketed(self, frame: DataFrame, key: str, then: Sequence[str]) -> DataFrameWriter:
+        return frame.write.bucketBy(shuffle_partitions(self.spark), key).sortBy(key, *then)
+
+    def _written(self, writer: DataFrameWriter, name: str) -> DataFrame:
         if self.database is None:
             self.database = own_database(self.spark)
         full = f"{self.database}.{name}"
-        told = Observation()
-        frame.observe(told, *[value.alias(key) for key, value in measures.items()]).write.format("parquet").saveAsTable(full)
+        writer.format("parquet").saveAsTable(full)
         self.tables.append(full)
-        return self.spark.table(full), told.get
+        return self.spark.table(full)
 
     def keep(self, frame: DataFrame) -> DataFrame:
         """Persist a small frame."""

@@ -303,6 +303,22 @@ def period_summary_muni(i):
     return snapshot.period_summary(i.eod(MUNI), MUNI).drop("ReportPeriod_JsonDetail", "PreviousPeriod_JsonDetail")
 
 
+@query
+def period_summary_text_muni(i):
+    """What the JSON text of both last rows says."""
+    eod = i.staging.table(i.eod(MUNI), "muni_text", "SecurityId")
+    fields = {"Message": "$.BdOfSprMsg", "Bid": "$.OgBdCmp", "Quote": "$.OfWts[1].AggId"}
+    kinds = {"Message": "string", "Bid": "double", "Quote": "long"}
+    return snapshot.period_summary(eod, MUNI).select(
+        "SecurityId",
+        *[
+            F.get_json_object(f"{period}_JsonDetail", path).cast(kinds[name]).alias(f"{period}_{name}")
+            for period in ("ReportPeriod", "PreviousPeriod")
+            for name, path in fields.items()
+        ],
+    )
+
+
 MONTH = report_window(report_date=date(2024, 1, 31), period="MONTH")
 
 

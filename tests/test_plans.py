@@ -6,18 +6,19 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from bondscope import CORP
+from bondscope import CORP, MUNI
 from bondscope.operators.movers import top_movers
 from bondscope.operators import observed
 from bondscope.operators.observed import observed_prices, staged_prices
-from bondscope.operators.relational import lookup_join
+from bondscope.operators.relational import lookup_join, pivot_dates
 from bondscope.operators.security import security_info_corp, worst_rating
 from bondscope.operators.sentiment import sentiment
 from bondscope.operators.snapshot import business_snaps, eod_snapshot, period_summary
 from bondscope.operators.volume import bid_offer_volume, quote_totals
+from bondscope.plans.reports import Report
 from bondscope.session import Staging
 from bondscope.sources.tables import SCHEMAS, columns_of
-from tests.golden import WINDOW, at, corp_row, quote, rows_of, table
+from tests.golden import WINDOW, at, corp_row, muni_row, quote, rows_of, table
 
 DAYS = ["2024-01-12", "2024-01-18", "2024-01-19", "2024-01-22", "2024-01-25"]
 
@@ -76,6 +77,44 @@ def test_top_k_meets_in_one_partition_only_after_the_limit(spark, composites):
     assert shown.index("Window [row_number()") < shown.index("TakeOrderedAndProject(limit=300")
 
 
+def test_text_is_met_after_the_securities_pair(spark, tmp_path):
+    rows = [muni_row(10 * i + s, s, at(d), message=f"{s} {d}") for i, d in enumerate(DAYS) for s in range(9)]
+    rows += [muni_row(900 + i, None, at(d), message="no security") for i, d in enumerate(DAYS)]
+    staging = Staging(spark)
+    try:
+        eod = staging.table(eod_snapshot(table(spark, "muni_composite", rows), WINDOW, MUNI), "snapshot", "SecurityId", "Date")
+        summary = period_summary(eod, MUNI)
+        shown = plan(summary)
+        assert "HashAggregate" in shown and "SortAggregate" not in shown
+        assert "Exchange hashpartitioning" not in shown
+        got = {r.SecurityId: r for r in summary.collect()}
+        assert len(got) == 10 and got[None].ReportPeriod_JsonDetail is None
+        for sid in range(9):
+            assert json.loads(got[sid].ReportPeriod_JsonDetail)["BdOfSprMsg"] == f"{sid} 2024-01-25"
+            assert json.loads(got[sid].PreviousPeriod_JsonDetail)["BdOfSprMsg"] == f"{sid} 2024-01-19"
+        assert summary.columns[:2] == ["SecurityId", "ReportPeriod_MuniCompositeId"]
+        assert summary.columns[7:9] == ["ReportPeriod_JsonDetail", "PreviousPeriod_MuniCompositeId"]
+    finally:
+        staging.release()
+
+
+def test_days_of_a_pivot_come_with_the_writing_job(spark):
+    report = Report(spark, WINDOW)
+    days = [at(d) for d in (*DAYS, "2024-01-20", "2023-06-01")]  # a Saturday and a day before the window
+    try:
+        frame = spark.createDataFrame([(d, i) for i, d in enumerate(days)], "Date timestamp_ntz, v int")
+        spark.sparkContext.setJobGroup("days", "days")
+        staged, found = report.with_days(frame, "daily")
+        none, empty = report.with_days(frame.where("v < 0"), "none")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("days")) == 2
+        assert [str(d) for d in found] == DAYS and empty == []
+        assert staged.count() == len(days) and none.count() == 0
+        assert pivot_dates(staged, WINDOW) == found
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        report.release()
+
+
 def test_staged_snapshot_needs_no_more_shuffles(spark, composites):
     staging = Staging(spark)
     eod = staging.table(eod_snapshot(composites, WINDOW, CORP), "snapshot", "SecurityId", "Date")

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from bondscope.operators import relational
 from bondscope.operators.relational import assert_unique, detail_and_total, latest_per, lookup_join, running_max, top_ranked
 from bondscope.sources.tables import literal_table, sample_rows, to_long
 from tests.golden import rows_of
@@ -93,6 +94,23 @@ def test_running_max_splits_a_hot_hour(spark):
     assert len(cuts) == 20_000
 
 
+def test_running_max_parts_rows_of_one_time(spark, monkeypatch):
+    hot = "timestamp_ntz '2024-01-01 10:00:00'"
+    frame = spark.range(12_000).selectExpr("id", f"if(id % 3 = 0, {hot}, timestampadd(second, id, {hot})) as t", "id % 977 as v")
+    seen, cut = [], relational._range_cuts
+    monkeypatch.setattr(relational, "_range_cuts", lambda *given: seen.append(cut(*given)) or seen[0])
+    got = running_max(frame, "v", ["t"]).cache()
+    assert got.columns == ["id", "t", "v", "RunningMax"] and got.count() == 12_000
+    place = F.struct("t", F.xxhash64("id", "t", "v").alias("_tie"))
+    block = relational._cuts_below(seen[0], place, frame.select(place).schema[0].dataType)
+    sizes = [r["count"] for r in frame.groupBy(block.alias("block")).count().collect()]
+    assert len(sizes) == len(seen[0]) + 1 and max(sizes) < 2 * 12_000 / len(sizes)
+    at_hot = got.where(f"t = {hot}")
+    assert at_hot.where("RunningMax < v").count() == 0 and at_hot.agg(F.max("RunningMax")).first()[0] == 976
+    assert got.where(f"t > {hot} and RunningMax != 976").count() == 0
+    got.unpersist()
+
+
 def test_repeated_keys_fail(spark):
     lookup = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k int, v string")
     assert assert_unique(lookup, ["k"], "title").count() == 2
