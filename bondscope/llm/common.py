@@ -207,3 +207,13 @@ def hashed_sample(frame: DataFrame, key: str, rows: int, total: int) -> DataFram
     if rows >= total:
         return frame
     return frame.where(sample_place(key) < int(GRAIN * rows / total))
+
+
+def within_bytes(sample: DataFrame, size: Column, max_bytes: int, lot: str = "lot") -> DataFrame:
+    """The rows of a staged sample with the smallest lots, as many as hold at most ``max_bytes`` together.
+
+    Sizes are added up by lot, so rows that share one are taken or left as a whole.
+    """
+    sizes = sample.groupBy(F.col(lot).alias("lot")).agg(F.sum(size).alias("size")).toArrow().sort_by("lot")
+    over = np.flatnonzero(np.cumsum(sizes.column("size").to_numpy().astype(np.int64)) > max_bytes)
+    return sample.where(F.col(lot) < sizes.column("lot")[int(over[0])].as_py()) if len(over) else sample

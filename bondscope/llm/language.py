@@ -6,7 +6,9 @@ documents give Nystrom features, and kernel ridge regression fits one function f
 against the rest. As the last steps are linear, features and weights are multiplied into one matrix
 of n-gram by language, and a batch of documents is scored by one product with its presence rows.
 
-Learnt from: a bounded, hashed sample, evenly over the languages. Only text is an input of a prediction.
+Learnt from: a hashed sample, evenly over the languages, bounded in rows and in bytes. Landmarks are the rows of each
+language with the smallest hashes. How sharp scores are is chosen on a fifth of the sample, by functions fitted to the
+rest of it. Only text is an input of a prediction.
 
 Nulls: rows with a null language or text are not learnt from. A null text, an empty one and one without
 a letter are ``und`` with score 0; so is every text if there is nothing to learn from. With one language
@@ -24,10 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bondscope.llm.common import map_batches
+from bondscope.llm.common import GRAIN, map_batches, stage, within_bytes
 
-#: Bounds of the sample, in rows; a row is at most ``CELLS`` numbers.
-MAX_LEARNT = 2_400
+#: Bounds of the sample, in rows and in bytes of their cells (four a cell; a row has at most ``CELLS``).
+MAX_LEARNT, MAX_BYTES = 2_400, 96 << 20
 MAX_LANDMARKS = 320
 LENGTHS = (1, 2, 3)
 CELLS = 1 << 18
@@ -80,7 +82,7 @@ class LanguageModel:
 
 
 def learn(sets: list[np.ndarray], languages: list[str], landmarks: int = MAX_LANDMARKS) -> LanguageModel | None:
-    """Fit on cell sets; every so-many-th set of each language is a landmark."""
+    """Fit on cell sets in a random order; the first of each language are landmarks."""
     if not sets:
         return None
     names = sorted(set(languages))
@@ -94,50 +96,72 @@ def learn(sets: list[np.ndarray], languages: list[str], landmarks: int = MAX_LAN
     for column, m in enumerate(marks):
         base[row_of[sets[m]], column] = 1 / np.sqrt(max(len(sets[m]), 1))
     base[0] = 0
-    kernel = np.stack([base[row_of[s]].sum(axis=0) / np.sqrt(max(len(s), 1)) for s in sets]).astype(float)
+    kernel = np.stack([_common(base, row_of[s]) / np.sqrt(max(len(s), 1)) for s in sets])
     values, vectors = np.linalg.eigh(kernel[marks])
     kept = values > 1e-6 * values.max()
     root = vectors[:, kept] / np.sqrt(values[kept])
     features = kernel @ root
-    centre = features.mean(axis=0)
     target = np.where(label[:, None] == np.arange(len(names)), 1.0, -1.0)
-    middle = target.mean(axis=0)
-    spread = (features - centre).T @ (features - centre) + RIDGE * len(sets) * np.eye(features.shape[1])
-    fitted = np.linalg.solve(spread, (features - centre).T @ (target - middle))
-    model = LanguageModel(names, row_of, (base @ (root @ fitted)).astype(np.float32), middle - centre @ fitted, 1.0)
-    decided = features @ fitted + model.offset
-    own = np.arange(len(sets)), label
-    losses = {}
-    for model.sharpness in (1.0, 2.0, 4.0, 8.0):
-        losses[-np.log(np.maximum(model.shares(decided)[own], 1e-12)).mean()] = model.sharpness
-    model.sharpness = losses[min(losses)]
+    fitted, offset = ridge(features, target)
+    model = LanguageModel(names, row_of, (base @ (root @ fitted)).astype(np.float32), offset, 1.0)
+    apart = np.arange(len(sets)) % 5 == 4
+    if apart.any():
+        weights, shift = ridge(features[~apart], target[~apart])
+        decided, own = features[apart] @ weights + shift, (np.arange(apart.sum()), label[apart])
+        losses = {}
+        for model.sharpness in (1.0, 2.0, 4.0, 8.0):
+            losses[-np.log(np.maximum(model.shares(decided)[own], 1e-12)).mean()] = model.sharpness
+        model.sharpness = losses[min(losses)]
     return model
 
 
-def fit_languages(docs: DataFrame, learnable: Column, max_rows: int = MAX_LEARNT) -> LanguageModel | None:
-    """Learn from the rows for which ``learnable`` holds, about as many of each language."""
+def _common(base: np.ndarray, rows: np.ndarray, at_once: int = 1 << 13) -> np.ndarray:
+    """Sums of rows of ``base``, some thousands at once, so that a very long text takes no more memory."""
+    parts = [base[rows[at : at + at_once]].sum(axis=0, dtype=float) for at in range(0, len(rows), at_once)]
+    return np.sum(parts, axis=0) if parts else np.zeros(base.shape[1])
+
+
+def ridge(features: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and offset of a ridge regression whose offset is not penalised."""
+    centre, middle = features.mean(axis=0), target.mean(axis=0)
+    spread = (features - centre).T @ (features - centre) + RIDGE * len(features) * np.eye(features.shape[1])
+    fitted = np.linalg.solve(spread, (features - centre).T @ (target - middle))
+    return fitted, middle - centre @ fitted
+
+
+def pack_sets(cells: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The cell set of each text as bytes."""
+    return pa.array([cells[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)], pa.binary())
+
+
+def fit_languages(
+    docs: DataFrame, learnable: Column, max_rows: int = MAX_LEARNT, max_bytes: int = MAX_BYTES
+) -> LanguageModel | None:
+    """Learn from the rows for which ``learnable`` holds, about as many of each language.
+
+    The sample is staged with its cells; of rows that do not fit in ``max_bytes`` as many stay of each language.
+    """
     rows = docs.where(learnable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
-    cells = 1 << 30
     portion = F.lit(0)
     for lang, count in sorted(counts.items()):
-        aim = min(cells, cells * max_rows // (len(counts) * count))
+        aim = min(GRAIN, GRAIN * max_rows // (len(counts) * count))
         portion = F.when(F.col("lang") == lang, F.lit(aim)).otherwise(portion)
-    sampled = rows.where(F.pmod(F.xxhash64(F.lit("learn"), "doc_id"), F.lit(cells)) < portion)
+    place = F.pmod(F.xxhash64(F.lit("learn"), "doc_id"), F.lit(GRAIN))
+    # the place within the portion of the language, so that a cut takes as much from each
+    lot = F.floor(place / portion * GRAIN).cast("long").alias("lot")
+    sampled = rows.where(place < portion).select(lot, "lang", "text")
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, starts = ngram_sets(batch.column("text"))
-        packed = [found[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("lang"), pa.array(packed, pa.binary())], names=["doc_id", "lang", "cells"]
-        )
+        arrays = [batch.column("lot"), batch.column("lang"), pack_sets(*ngram_sets(batch.column("text")))]
+        return pa.RecordBatch.from_arrays(arrays, names=["lot", "lang", "cells"])
 
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang string, cells binary"
-    found = map_batches(sampled, features, schema).toArrow()
-    found = found.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("cells", "ascending")])
+    found = stage(map_batches(sampled, features, "lot long, lang string, cells binary"))
+    found = within_bytes(found, F.length("cells"), max_bytes).toArrow()
+    found = found.sort_by([("lot", "ascending"), ("lang", "ascending"), ("cells", "ascending")])
     sets = [np.frombuffer(c, np.int32) for c in found.column("cells").to_pylist()]
     return learn(sets, found.column("lang").to_pylist())
 

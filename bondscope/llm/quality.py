@@ -3,10 +3,10 @@
 Two classifiers look at different sides of a document: one at its content (hashed character n-grams present in the
 text, and how many there are), one at the page's metadata and layout (source, language, sizes, lines, shares of upper case, digits, marks and
 symbols). Both start from the same labelled rows; in every round each gives its most confident labels
-for an unlabelled pool to the other. Log odds of both are calibrated and combined on labelled rows that were not trained
+for an unlabelled pool to the other, and learns from what the other told it alone. Log odds of both are calibrated and combined on labelled rows that were not trained
 on, and all documents are scored.
 
-Labelled rows and the pool are bounded, hashed samples. Nulls: a null text is empty, a null source or language is a
+Labelled rows and the pool are hashed samples, bounded in rows and in bytes. Nulls: a null text is empty, a null source or language is a
 value of its own, null labels and identifiers are not learnt from. Without labels of both kinds every
 score is the share of good labels (0.5 without labels). Repeated rows are scored alike; an empty table
 gives no rows; extra columns are not read.
@@ -23,12 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bondscope.llm.common import hashed_sample, map_batches
-from bondscope.llm.language import ngram_sets
+from bondscope.llm.common import GRAIN, map_batches, sample_place, stage, within_bytes
+from bondscope.llm.language import ngram_sets, pack_sets
 from bondscope.llm.linear import DenseClassifier, SetClassifier, newton, train_dense, train_sets
 
-#: Bounds of the samples, in rows; a row is at most one number for each n-gram cell.
-MAX_LABELLED, MAX_POOL = 2_400, 2_400
+#: Bounds of the samples in rows, and of both together in bytes of their n-gram cells.
+MAX_LABELLED, MAX_POOL, MAX_BYTES = 2_400, 2_400, 192 << 20
 ROUNDS = 3
 #: Pool rows a view labels in a round, at most this share of each class, and how sure it must be.
 SHARE, SURE = 0.1, 0.95
@@ -93,31 +93,40 @@ class QualityModel:
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED, max_pool: int = MAX_POOL
+    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED, max_pool: int = MAX_POOL, max_bytes: int = MAX_BYTES
 ) -> QualityModel:
     """Learn from documents with a ``quality`` label, and by co-training from some without.
 
-    At most about ``max_rows`` labelled and ``max_pool`` other documents are read.
+    At most about ``max_rows`` labelled and ``max_pool`` other documents are read. They are staged with their cells;
+    if those do not fit in ``max_bytes``, the same share of both samples stays.
     """
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
     marked = marked.agg(F.min("quality").cast("int").alias("_good"))
-    chosen = hashed_sample(marked, "doc_id", max_rows, marked.count())
+    place = sample_place("doc_id")
+
+    def drawn(frame: DataFrame, rows: int, total: int) -> DataFrame:
+        portion = GRAIN if rows >= total else int(GRAIN * rows / total)
+        # the place within the portion, so that a cut takes as much from both samples
+        return frame.where(place < portion).withColumn("_lot", F.floor(place / max(portion, 1) * GRAIN).cast("long"))
+
+    chosen = drawn(marked, max_rows, marked.count())
     # as many rows as the documented bounds
     labelled = docs.join(F.broadcast(chosen), "doc_id")
-    pool = hashed_sample(docs.where("doc_id is not null"), "doc_id", max_pool, docs.count())
-    pool = pool.join(F.broadcast(chosen), "doc_id", "left_anti").withColumn("_good", F.lit(-1))
-    columns = ["doc_id", "text", "source", "lang", "_good"]
+    pool = drawn(docs.where("doc_id is not null"), max_pool, docs.count())
+    pool = pool.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti").withColumn("_good", F.lit(-1))
+    columns = ["doc_id", "text", "source", "lang", "_good", "_lot"]
     both = labelled.select(*columns).unionByName(pool.select(*columns))
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
         cells, starts = ngram_sets(batch.column("text"))
-        packed = [cells[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
         dense = np.hstack([content_extras(cells, starts, batch.column("text")), page_columns(batch)])
-        arrays = [batch.column("doc_id").cast(pa.int64()), batch.column("_good"), pa.array(packed, pa.binary())]
-        arrays.append(pa.array(dense.tolist(), pa.list_(pa.float64())))
-        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "good", "cells", "dense"])
+        arrays = [batch.column("doc_id").cast(pa.int64()), batch.column("_lot"), batch.column("_good")]
+        arrays += [pack_sets(cells, starts), pa.array(dense.tolist(), pa.list_(pa.float64()))]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lot", "good", "cells", "dense"])
 
-    found = map_batches(both, features, "doc_id long, good int, cells binary, dense array<double>").toArrow()
+    schema = "doc_id long, lot long, good int, cells binary, dense array<double>"
+    found = stage(map_batches(both, features, schema))
+    found = within_bytes(found, F.length("cells"), max_bytes).toArrow()
     found = found.sort_by([("doc_id", "ascending"), ("cells", "ascending")])
     good = found.column("good").to_numpy()
     sets = [np.frombuffer(c, np.int32) for c in found.column("cells").to_pylist()]
@@ -130,33 +139,38 @@ def fit_quality(
 def co_train(
     sets: list[np.ndarray], extras: np.ndarray, page: np.ndarray, good: np.ndarray, rounds: int = ROUNDS
 ) -> QualityModel:
-    """Exchange confident labels between the views; ``good`` is 1, 0 or -1 for rows of the pool."""
+    """Exchange confident labels between the views; ``good`` is 1, 0 or -1 for rows of the pool.
+
+    Each view keeps labels of its own, so where both are sure of a row each learns what the other says.
+    """
     known = np.flatnonzero(good >= 0)
     share = float(good[known].mean()) if len(known) else 0.5
     apart, base = known[3::4], np.delete(known, np.s_[3::4])
     if len(known) < 8 or any(len(set(good[rows])) < 2 for rows in (apart, base)):
         return QualityModel(share)
     pool = np.flatnonzero(good < 0)
-    label = good.copy()
-    for_content, for_page = base, base
+    content_label, page_label, for_content, for_page = good, good, base, base
     for step in range(rounds + 1):
-        content = train_content(sets, extras, label, for_content)
-        side = train_dense(page[for_page], label[for_page])
+        content = train_content(sets, extras, content_label, for_content)
+        side = train_dense(page[for_page], page_label[for_page])
         if step == rounds or len(pool) == 0:
             break
-        told_page = _sure(content_odds(content, sets, extras, pool), pool, share)
-        told_content = _sure(side.odds(page[pool]), pool, share)
-        label_page, label_content = dict(told_page), dict(told_content)
-        for row, value in (label_content | label_page).items():
-            label[row] = value
-        for_page = np.union1d(base, np.array(sorted(label_page), int))
-        for_content = np.union1d(base, np.array(sorted(label_content), int))
+        page_label, for_page = told(good, base, _sure(content_odds(content, sets, extras, pool), pool, share))
+        content_label, for_content = told(good, base, _sure(side.odds(page[pool]), pool, share))
     odds = np.column_stack([content_odds(content, sets, extras, apart), side.odds(page[apart])])
     smooth = np.where(good[apart] == 1, 1 - 1 / (len(apart) + 2), 1 / (len(apart) + 2))
     weights = newton(np.column_stack([odds, np.ones(len(apart))]), smooth, 1e-3)
     return QualityModel(share, content, side, weights)
 
 
+def told(good: np.ndarray, base: np.ndarray, sure: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The labels one view learns from, and their rows: the given ones and what the other view is sure of."""
+    label = good.copy()
+    for row, value in sure:
+        label[row] = value
+    return label, np.union1d(base, np.array([row for row, _ in sure], int))
+
+
 def train_content(sets: list[np.ndarray], extras: np.ndarray, label: np.ndarray, rows: np.ndarray) -> ContentView:
     return ContentView(train_sets([sets[r] for r in rows], label[rows], 2), train_dense(extras[rows], label[rows], 0.1))
 

@@ -5,9 +5,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bondscope.llm import common, toxicity
+from bondscope.llm import common, language, quality, toxicity
 from bondscope.llm.common import Words, count_ascii_words, hash_words, held_out
-from bondscope.llm.language import UNKNOWN, fit_languages, ngram_sets, predict_languages
+from bondscope.llm.language import RIDGE, UNKNOWN, fit_languages, learn, ngram_sets, predict_languages
 from bondscope.llm.mixing import fit_domains, fit_rates, mix_to_targets, repeat_copies
 from bondscope.llm.quality import fit_quality, score_quality
 from bondscope.llm.queries import labelled_domains
@@ -116,6 +116,81 @@ def test_languages_on_held_out_rows(spark):
     assert (found.lang_pred == found.lang).mean() > 0.97 and found.score.between(0, 1).all()
 
 
+def test_languages_agree_with_a_plain_kernel_ridge_regression():
+    texts = [text(i, 12, "en" if i % 3 else "de") for i in range(48)]
+    names = ["en" if i % 3 else "de" for i in range(48)]
+    cells, starts = ngram_sets(pa.array(texts))
+    sets = [cells[a:b] for a, b in zip(starts[:-1], starts[1:])]
+    model = learn(sets[:40], names[:40], landmarks=200)  # all rows are landmarks, so the kernel is exact
+    kept = [set(s.tolist()) for s in sets]
+    kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in kept[:40]] for a in kept])
+    target = np.array([[1.0 if n == k else -1.0 for k in ("de", "en")] for n in names[:40]])
+    # centred dual solution, its offset free
+    own = kernel[:40]
+    mean = own.mean(axis=0)
+    centred = own - mean - own.mean(axis=1)[:, None] + own.mean()
+    dual = np.linalg.solve(centred + RIDGE * 40 * np.eye(40), target - target.mean(axis=0))
+    apart = kernel[40:] - mean - kernel[40:].mean(axis=1)[:, None] + own.mean()
+    seen = np.concatenate([sets[r] for r in range(40, 48)]), np.concatenate([[0], np.cumsum([len(s) for s in sets[40:]])])
+    assert np.allclose(model.decide(*seen), apart @ dual + target.mean(axis=0), atol=2e-3)
+
+
+def test_landmarks_and_sharpness_do_not_follow_the_identifiers(spark, monkeypatch):
+    docs, _ = labelled(spark, 240)
+    seen, real = [], language.learn
+    monkeypatch.setattr(language, "learn", lambda sets, langs: seen.append((sets, langs)) or real(sets, langs))
+    fit_languages(docs, F.lit(True))
+    cells, starts = ngram_sets(pa.array([r.text for r in docs.orderBy("doc_id").select("text").collect()]))
+    by_id = [cells[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])]
+    given = [s.tolist() for s in seen[0][0]]
+    assert given != by_id and sorted(given) == sorted(by_id)
+
+
+def test_samples_keep_to_the_bytes(spark, monkeypatch):
+    docs, labels = labelled(spark, 240)
+    seen, real = [], language.learn
+    monkeypatch.setattr(language, "learn", lambda sets, langs: seen.append((sets, langs)) or real(sets, langs))
+    fit_languages(docs, F.lit(True), max_bytes=60_000)
+    fit_languages(docs, F.lit(True))
+    few, all_ = ({lang: langs.count(lang) for lang in set(langs)} for _, langs in seen)
+    held = sum(4 * len(s) for s in seen[0][0])
+    assert 50_000 < held <= 60_000 < sum(4 * len(s) for s in seen[1][0])
+    # languages stay even
+    assert 0.5 < (few["de"] / all_["de"]) / (few["en"] / all_["en"]) < 2
+    taken, co_train = [], quality.co_train
+    monkeypatch.setattr(quality, "co_train", lambda sets, *rest: taken.append(sets) or co_train(sets, *rest))
+    fit_quality(docs, labels, max_rows=100, max_bytes=60_000)
+    assert 0 < sum(4 * len(s) for s in taken[0]) <= 60_000
+
+
+def test_a_view_learns_what_the_other_says():
+    good = np.array([1, 0, -1, -1, -1])
+    base = np.array([0, 1])
+    label, rows = quality.told(good, base, [(2, 0), (4, 1)])
+    assert label.tolist() == [1, 0, 0, -1, 1] and rows.tolist() == [0, 1, 2, 4]
+    assert good.tolist() == [1, 0, -1, -1, -1]
+
+
+def test_views_exchange_labels(monkeypatch):
+    draw = np.random.default_rng(3)
+    good = np.array([i // 3 % 2 for i in range(40)] + [-1] * 40)
+    sets = [np.unique(draw.integers(0, 9, 5) + 100 * int(g == 1)).astype(np.int32) for g in good]
+    page = draw.normal(size=(80, 2)) + 3.0 * good[:, None]
+    calls = {"content": [(50, 1), (51, 1)], "page": [(50, 0), (52, 0)]}
+    turns = iter(["content", "page"] * 3)
+    monkeypatch.setattr(quality, "_sure", lambda *given: calls[next(turns)])
+    seen = []
+    content, dense = quality.train_content, quality.train_dense
+    monkeypatch.setattr(
+        quality, "train_content", lambda s, e, label, rows: seen.append({r: label[r] for r in rows if r >= 40}) or content(s, e, label, rows)
+    )
+    pages = []
+    monkeypatch.setattr(quality, "train_dense", lambda x, y, *rest: pages.append(len(y)) or dense(x, y, *rest))
+    quality.co_train(sets, np.zeros((80, 2)), page, good)
+    assert seen[0] == {} and seen[1:] == [{50: 0, 52: 0}] * 3  # what the page view says, its own guess of row 51 not
+    assert set(pages) == {30, 32}
+
+
 def test_languages_of_awkward_rows(spark):
     docs, _ = labelled(spark, 60)
     odd = frame(spark, awkward() + [row(50, "12 34 !?")])
