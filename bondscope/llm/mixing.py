@@ -5,11 +5,12 @@ in a domain are its tokens times that posterior. Document rates between 0 and a
 expected totals of all domains come to the target weights of the token budget: least squares by projected gradient
 with momentum. The gradient of a document needs only its posterior and one error for each domain, so an
 iteration is one pass that adds up a few numbers; a document's rate is recomputed from the list of
-past errors, and no state is kept between passes.
+past errors, and no state is kept between passes. Tokens are white-space words. Targets that the last pass still misses by
+more than ``CLOSE`` are told in a warning, and ``RateFit.missed`` says by how much.
 
 The rate becomes copies: its whole part, and one more with the chance of the rest, by a hash of the
-identifier. With the default bound of 1 a document appears once or not at all, and the budget is
-nearly the largest that needs no more.
+identifier. With the default bound of 1 a document appears once or not at all. The default budget is ``ROOM`` of the
+largest that the scarcest domain allows, as soft memberships cannot fill all of it.
 
 Nulls: a null text has no tokens and keeps rate and copies from its posterior like an empty one; a null
 identifier hashes like a value of its own. Rows with a null domain or text are not learnt from. Domains without a target keep their share of
@@ -30,12 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bondscope.llm.common import count_ascii_words, map_batches, stage
-from bondscope.llm.language import ngram_sets
+from bondscope.llm.common import count_ascii_words, map_batches, stage, within_bytes
+from bondscope.llm.language import ngram_sets, pack_sets
 from bondscope.llm.linear import SetClassifier, softmax, train_sets
 
-#: Bound of the sample of labelled rows; a row is at most one number for each n-gram cell.
-MAX_LABELLED = 2_400
+#: Bounds of the sample of labelled rows, in rows and in bytes of their n-gram cells.
+MAX_LABELLED, MAX_BYTES = 2_400, 96 << 20
 #: Passes at most; the largest error, as a share of a target, that is good enough; passes without a change
 #: after which the targets are taken to be out of reach.
 MAX_PASSES, CLOSE, STALLED = 60, 1e-3, 6
@@ -56,8 +57,13 @@ class DomainModel:
         return softmax(self.sharpness * self.classifier.values(*ngram_sets(texts)).astype(float))
 
 
-def fit_domains(labelled: DataFrame, max_rows: int = MAX_LABELLED, key: str = "doc_id") -> DomainModel:
-    """Learn from a table of ``key``, ``text`` and ``domain``; about as many rows of each domain are read."""
+def fit_domains(
+    labelled: DataFrame, max_rows: int = MAX_LABELLED, key: str = "doc_id", max_bytes: int = MAX_BYTES
+) -> DomainModel:
+    """Learn from a table of ``key``, ``text`` and ``domain``; about as many rows of each domain are read.
+
+    The sample is staged with its cells; if they do not fit in ``max_bytes``, rows of other hashes go, of all domains alike.
+    """
     rows = labelled.where("domain is not null and text is not null").select(
         F.col(key).alias("_id"), "text", F.col("domain").cast("string").alias("domain")
     )
@@ -67,12 +73,14 @@ def fit_domains(labelled: DataFrame, max_rows: int = MAX_LABELLED, key: str = "d
     domains = sorted(counts)
     sampled = rows.where(drawn("_id", counts, max_rows))
 
+    lot = F.pmod(F.xxhash64(F.lit("bytes"), "_id"), F.lit(GRAIN)).alias("lot")
+
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cells, starts = ngram_sets(batch.column("text"))
-        packed = [cells[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column("domain"), pa.array(packed, pa.binary())], names=["domain", "cells"])
+        packed = pack_sets(*ngram_sets(batch.column("text")))
+        return pa.RecordBatch.from_arrays([batch.column("lot"), batch.column("domain"), packed], names=["lot", "domain", "cells"])
 
-    found = map_batches(sampled, features, "domain string, cells binary").toArrow()
+    found = stage(map_batches(sampled.select(lot, "domain", "text"), features, "lot long, domain string, cells binary"))
+    found = within_bytes(found, F.length("cells"), max_bytes).select("domain", "cells").toArrow()
     found = found.sort_by([("domain", "ascending"), ("cells", "ascending")])
     sets = [np.frombuffer(c, np.int32) for c in found.column("cells").to_pylist()]
     label = np.array([domains.index(d) for d in found.column("domain").to_pylist()])
@@ -126,6 +134,8 @@ def mix_to_targets(
         warnings.warn(f"targets without a labelled row are left out: {', '.join(unlearnt)}", stacklevel=2)
     judged = stage(judge_domains(docs, model, keep_text))
     fit = fit_rates(judged, model.domains, targets, bound, budget)
+    if fit.missed > CLOSE:
+        warnings.warn(f"targets are missed by up to {fit.missed:.2%} of a target", stacklevel=2)
 
     @F.pandas_udf("double")
     def rate(posterior: pd.Series) -> pd.Series:
@@ -151,6 +161,11 @@ class RateFit:
     step: float
     errors: list[np.ndarray]
 
+    @property
+    def missed(self) -> float:
+        """The largest error of the last pass, as a share of its target."""
+        return float(np.abs(self.errors[-1] / self.weights).max()) if self.errors else 0.0
+
     def rates(self, posterior: np.ndarray, ahead: bool = False) -> np.ndarray:
         """The rates after all passes so far, or the point ahead of them where the next error is taken."""
         rate = np.full(len(posterior), min(1.0, self.bound))

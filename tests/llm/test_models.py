@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bondscope.llm import common, language, quality, toxicity
+from bondscope.llm import common, language, mixing, quality, toxicity
 from bondscope.llm.common import Words, count_ascii_words, hash_words, held_out
 from bondscope.llm.language import RIDGE, UNKNOWN, fit_languages, learn, ngram_sets, predict_languages
 from bondscope.llm.mixing import fit_domains, fit_rates, mix_to_targets, repeat_copies
@@ -241,6 +241,25 @@ def test_rare_domains_are_found_among_many_labels(spark):
     assert twice.count() == 2 * len(rare)
 
 
+def test_domain_samples_keep_to_the_bytes(spark, monkeypatch):
+    docs, labels = labelled(spark, 240)
+    rows = docs.join(labels.where("doc_id is not null"), "doc_id").withColumn("domain", F.col("lang"))
+    rows = rows.withColumn("text", F.when(F.col("doc_id") == 7, F.repeat("text", 90)).otherwise(F.col("text")))
+    taken, train = [], mixing.train_sets
+    monkeypatch.setattr(mixing, "train_sets", lambda sets, marks, n: taken.append((sets, marks)) or train(sets, marks, n))
+    assert fit_domains(rows, max_bytes=60_000).domains == fit_domains(rows).domains == ["de", "en"]
+    (few, marks), (every, _) = taken
+    assert sum(4 * len(s) for s in few) <= 60_000 < sum(4 * len(s) for s in every)
+    assert set(marks.tolist()) == {0, 1}
+
+
+def test_targets_out_of_reach_are_told(spark):
+    rows = [([0.6, 0.4], 10), ([0.4, 0.6], 10)] * 20
+    judged = spark.createDataFrame(rows, "posterior array<double>, tokens long")
+    assert fit_rates(judged, ["a", "b"], {"a": 0.5, "b": 0.5}).missed <= mixing.CLOSE
+    assert fit_rates(judged, ["a", "b"], {"a": 0.95, "b": 0.05}, budget=300.0).missed > 0.05
+
+
 def test_rates_agree_with_a_plain_descent(spark):
     rng = np.random.default_rng(2)
     posterior = rng.dirichlet([0.4] * 3, 300)
