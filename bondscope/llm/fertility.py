@@ -1,10 +1,14 @@
 """Quality rules from tokeniser fertility.
 
-A public vocabulary with byte fallback (a parameter) cuts every distinct word; a document's tokens are
-those of its words. Measured over the whole text: characters per token, the share of byte-fallback tokens,
-and the entropy of the token distribution as a share of the most that so many tokens could have. Each
-language (or, where that is unknown, each script) has bands around its quartiles over all documents; a
-document outside a band is rejected, and so is one that fails the base rules.
+Two public vocabularies (parameters) cut every distinct word: pieces with byte fallback, and merges of bytes learnt on many
+languages; a document's tokens are those of its words. Measured over the whole text, with each vocabulary: characters
+per token, and the entropy of the token distribution as a share of what so many tokens are expected to reach; with
+the pieces also the share of byte-fallback tokens, which merges of bytes do not have. Each language (or, where that is
+unknown, each script) has bands around its quartiles over all documents; a document outside a band of either
+vocabulary is rejected, and so is one that fails the base rules.
+
+The expected entropy of ``n`` tokens is ``log2(1 + n * SPREAD / (n + SPREAD))``: it grows with a short text and levels off, as
+a text takes its tokens from its language's vocabulary however long it is.
 
 Nulls: a null text has no words, which fails the base rules; a null language is replaced by the script
 with most letters (``none`` without letters). A group of one document accepts it. Repeated rows are judged
@@ -13,7 +17,8 @@ alike; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import base64
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -22,15 +27,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bondscope.llm.common import Words, gather_runs, mix, slices, stage
+from bondscope.llm.common import Words, gather_runs, give_back, mix, slices, stage, worker_store
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
-PIECES = "piece_bpe_32k.model"
+PIECES, MERGES = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 #: Bands reach beyond the quartiles by this many distances of median and quartile, and at least by the width.
 REACH = 2.5
-WIDTH = {"chars_per_token": 0.35, "byte_share": 0.05, "entropy_share": 0.04}
-#: Tokens beyond which a text is not expected to spread over more of the vocabulary.
+WIDTH = {
+    "chars_per_token": 0.35, "byte_share": 0.05, "entropy_share": 0.04,
+    "merged_chars_per_token": 0.35, "merged_entropy_share": 0.04,
+}
+#: Tokens at which the expected entropy is that of half as many.
 SPREAD = 512
 SLICE = 6 << 20
 
@@ -43,14 +51,15 @@ SCRIPTS = (
 )
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-MEASURES = "n_tokens long, chars_per_token double, byte_share double, entropy_share double"
+MEASURES = "n_tokens long, chars_per_token double, entropy_share double, byte_share double"
+MERGED = "merged_tokens long, merged_chars_per_token double, merged_entropy_share double"
 
 
 def fertility_rules(
-    docs: DataFrame, key: str = "doc_id", pieces: str = PIECES, reach: float = REACH
+    docs: DataFrame, key: str = "doc_id", pieces: str = PIECES, merges: str = MERGES, reach: float = REACH
 ) -> DataFrame:
     """One row per document: base measures, fertility measures, ``band_group``, ``base_failed``, ``kept``."""
-    measured = stage(measure(docs, key, pieces))
+    measured = stage(measure(docs, key, pieces, merges))
     tokens = F.col("n_tokens") > 0
     names = list(WIDTH)
     quartiles = [
@@ -71,7 +80,7 @@ def fertility_rules(
         fits = F.lit(True)
         if name != "byte_share":
             fits = fits & (F.col(name) >= low - below)
-        if name != "entropy_share":
+        if not name.endswith("entropy_share"):
             fits = fits & (F.col(name) <= high + above)
         return F.coalesce(fits, F.lit(True))
 
@@ -84,26 +93,27 @@ def fertility_rules(
     )
 
 
-def measure(docs: DataFrame, key: str = "doc_id", pieces: str = PIECES) -> DataFrame:
+def measure(docs: DataFrame, key: str = "doc_id", pieces: str = PIECES, merges: str = MERGES) -> DataFrame:
     """The base and fertility measures of every document."""
     rows = docs.select(
         F.col(key), F.col("text").cast("string").alias("_text"), F.col("lang").cast("string").alias("_lang")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = None
         for batch in batches:
             for part in slices(batch, "_text", SLICE):
-                cutter = cutter or load_pieces(pieces)
                 texts = pc.fill_null(part.column("_text"), "")
                 words = Words(texts)
-                columns = base_measures(texts, words) | fertility(words, cutter)
+                columns = base_measures(texts, words) | fertility(words, *kept(load_pieces, pieces))
+                merged = fertility(words, *kept(load_merges, merges))
+                columns |= {"merged_" + name.removeprefix("n_"): values for name, values in merged.items()}
                 columns["band_group"] = groups(texts, part.column("_lang"))
                 arrays = [part.column(key), *[pa.array(c) for c in columns.values()]]
                 yield pa.RecordBatch.from_arrays(arrays, names=[key, *columns])
+        give_back()
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"{key} {kind}, {BASE}, {MEASURES}, band_group string")
+    return rows.mapInArrow(run, f"{key} {kind}, {BASE}, {MEASURES}, {MERGED}, band_group string")
 
 
 def base_measures(texts: pa.Array, words: Words) -> dict[str, np.ndarray]:
@@ -154,40 +164,60 @@ def repeated_words(words: Words) -> np.ndarray:
     return repeated
 
 
-def load_pieces(name: str):
+def kept(load: Callable, name: str) -> tuple:
+    """What ``load`` makes of a vocabulary; once for a worker process."""
+    store = worker_store()
+    if (load.__name__, name) not in store:
+        store[load.__name__, name] = load(name)
+    return store[load.__name__, name]
+
+
+def load_pieces(name: str) -> tuple[Callable, np.ndarray]:
+    """A function from words to their ids, and which ids are fallback bytes."""
     from sentencepiece import SentencePieceProcessor
 
-    return SentencePieceProcessor(model_file=public_tokenizers.path(name))
+    pieces = SentencePieceProcessor(model_file=public_tokenizers.path(name))
+    fallback = np.array([pieces.is_byte(i) for i in range(pieces.vocab_size())])
+    return lambda words: pieces.encode(words, num_threads=1), fallback
+
 
+def load_merges(name: str) -> tuple[Callable, None]:
+    """A function from words to their ids; no id is a fallback."""
+    from tiktoken import Encoding
 
-def fertility(words: Words, pieces) -> dict[str, np.ndarray]:
-    """Characters per token, byte-fallback share and token entropy from the tokens of the distinct words."""
+    with open(public_tokenizers.path(name), "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    merges = Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda words: list(map(merges.encode_ordinary, words)), None
+
+
+def fertility(words: Words, cut: Callable, fallback: np.ndarray | None) -> dict[str, np.ndarray]:
+    """Characters per token, token entropy and byte-fallback share from the tokens of the distinct words."""
     n = len(words.counts)
-    distinct = words.dictionary.to_pylist()
-    cut = pieces.encode(distinct, num_threads=1)
-    sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-    ids = np.fromiter((i for word in cut for i in word), np.int64, int(sizes.sum()))
-    fallback = np.array([pieces.is_byte(i) for i in range(pieces.vocab_size())])
+    found = cut(words.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    ids = np.fromiter((i for word in found for i in word), np.int64, int(sizes.sum()))
     starts = np.cumsum(sizes) - sizes
     chars = pc.utf8_length(words.dictionary).to_numpy(zero_copy_only=False)
     added = lambda values: np.bincount(words.rows, weights=values[words.codes], minlength=n)
     tokens = added(sizes)
     own = ids[gather_runs(starts[words.codes], sizes[words.codes])]
-    rows = np.repeat(words.rows, sizes[words.codes])
     ends = np.cumsum(tokens.astype(np.int64))
     entropy = np.zeros(n)
     for row, (start, end) in enumerate(zip((ends - tokens).astype(np.int64), ends, strict=True)):
         if end > start:
-            counts = np.bincount(own[start:end])
-            counts = counts[counts > 0]
+            counts = np.unique(own[start:end], return_counts=True)[1]
             entropy[row] = max(np.log2(end - start) - counts @ np.log2(counts) / (end - start), 0.0)
     some = np.maximum(tokens, 1)
-    return {
+    measures = {
         "n_tokens": tokens.astype(np.int64),
         "chars_per_token": added(chars) / some,
-        "byte_share": np.bincount(rows, weights=fallback[own], minlength=n) / some,
-        "entropy_share": entropy / np.log2(np.minimum(some, SPREAD) + 1),
+        "entropy_share": entropy / np.log2(1 + some * SPREAD / (some + SPREAD)),
     }
+    if fallback is not None:
+        rows = np.repeat(words.rows, sizes[words.codes])
+        measures["byte_share"] = np.bincount(rows, weights=fallback[own], minlength=n) / some
+    return measures
 
 
 def groups(texts: pa.Array, langs: pa.Array) -> list[str]:

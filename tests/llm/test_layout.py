@@ -1,3 +1,5 @@
+import base64
+import math
 import re
 import zlib
 from collections import Counter
@@ -7,11 +9,13 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tiktoken
+from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from bondscope.llm.chat import END, START, format_chats, parse_chats, trained_text
 from bondscope.llm.common import Words
-from bondscope.llm.fertility import base_measures, fertility_rules
+from bondscope.llm.fertility import MERGES, PIECES, SPREAD, WIDTH, base_measures, fertility_rules, measure
 from bondscope.llm.packing import TOKENIZER, Packer, WordCoder, WordNumbers, hilbert_keys, pack
 from bondscope.llm.queries import INJECTED, ORACLE, QUERIES
 from bondscope.llm.sharding import shard_by_bytes
@@ -77,6 +81,51 @@ def test_base_measures_agree_with_brute_force():
     assert [tuple(int(c[n]) for c in got.values()) for n in range(len(bodies))] == [brute_base(b) for b in bodies]
 
 
+def brute_fertility(body, cut, is_byte):
+    words = re.findall(r"[^\x20\x09-\x0D]+", body or "")
+    ids = [i for word in words for i in cut(word)]
+    if not ids:
+        return 0, 0.0, 0.0, 0.0
+    parts = [count / len(ids) for count in Counter(ids).values()]
+    entropy = -sum(p * math.log2(p) for p in parts)
+    expected = math.log2(1 + len(ids) * SPREAD / (len(ids) + SPREAD))
+    return len(ids), sum(map(len, words)) / len(ids), entropy / expected, sum(map(is_byte, ids)) / len(ids)
+
+
+def test_fertility_agrees_with_brute_force(spark):
+    pieces = SentencePieceProcessor(model_file=public_tokenizers.path(PIECES))
+    with open(public_tokenizers.path(MERGES), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    merges = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    odd = ["\U0001f9ff\U0001fae8 \u4e00\u9f98 ok", "don't  x=1;y=2\n12345", "\u1e9e\u0301 \ud7ff", "a" * 70_000 + " b"]
+    bodies = [r[1] for r in awkward()] + odd + [text(n, 90) for n in range(4)]
+    docs = frame(spark, [row(n, b) for n, b in enumerate(bodies)])
+    got = {r.doc_id: r for r in measure(docs).collect()}
+    for n, body in enumerate(bodies):
+        r = got[n]
+        own = (r.n_tokens, r.chars_per_token, r.entropy_share, r.byte_share)
+        assert own == pytest.approx(brute_fertility(body, pieces.encode, pieces.is_byte))
+        merged = (r.merged_tokens, r.merged_chars_per_token, r.merged_entropy_share, 0.0)
+        assert merged == pytest.approx(brute_fertility(body, merges.encode_ordinary, lambda i: False))
+
+
+def test_bands_follow_the_quartiles_of_their_language(spark):
+    rows = [row(n, text(n, 60 + n), "de" if n % 3 else "en") for n in range(90)]
+    rows += [row(200 + n, " ".join(f"{n}q{i}x\u4e8c" for i in range(70)), "de") for n in range(3)]
+    found = fertility_rules(frame(spark, rows), reach=1.0).toPandas()
+    for _, group in found.groupby("band_group"):
+        for name, width in WIDTH.items():
+            low, middle, high = np.quantile(group[name], [0.25, 0.5, 0.75], method="inverted_cdf")
+            fits = np.ones(len(group), bool)
+            if name != "byte_share":
+                fits &= (group[name] >= low - max(middle - low, width)).to_numpy()
+            if not name.endswith("entropy_share"):
+                fits &= (group[name] <= high + max(high - middle, width)).to_numpy()
+            assert fits.tolist() == group[f"{name}_fits"].tolist()
+    assert not found[found.doc_id >= 200].kept.any()
+    assert (found.kept == (~found.base_failed & found[[f"{n}_fits" for n in WIDTH]].all(axis=1))).all()
+
+
 def test_fertility_rejects_what_repeats_and_keeps_prose(spark):
     rows = [row(n, text(n, 200)) for n in range(120)] + [row(500, " ".join(f"{w} {w}" for w in ["zq", "xv", "kj"] * 40))]
     rows += [row(501, " ".join(text(n, 1) for n in range(3)) * 40)] + [row(600 + n, *r[1:4]) for n, r in enumerate(awkward())]
