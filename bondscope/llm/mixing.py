@@ -3,14 +3,19 @@
 A classifier trained on a labelled table gives every document a posterior over domains. Its expected tokens
 in a domain are its tokens times that posterior. Document rates between 0 and a bound are fitted so that the
 expected totals of all domains come to the target weights of the token budget: least squares by projected gradient
-with momentum. The gradient of a document needs only its posterior and one error for each domain, so an
+with momentum, errors weighed by the inverse second moments of the posteriors, so that domains which are told
+apart badly do not slow it down. The gradient of a document needs only its posterior and one error for each domain, so an
 iteration is one pass that adds up a few numbers; a document's rate is recomputed from the list of
 past errors, and no state is kept between passes. Tokens are white-space words. Targets that the last pass still misses by
 more than ``CLOSE`` are told in a warning, and ``RateFit.missed`` says by how much.
 
 The rate becomes copies: its whole part, and one more with the chance of the rest, by a hash of the
-identifier. With the default bound of 1 a document appears once or not at all. The default budget is ``ROOM`` of the
-largest that the scarcest domain allows, as soft memberships cannot fill all of it.
+identifier. With the default bound of 1 a document appears once or not at all. The default budget is found in the fit. It
+begins with what the scarcest domain allows. Soft memberships may allow less: for any weighting ``v`` of the domains, rates
+up to ``bound`` give at most ``bound * sum(tokens * max(posterior . v, 0))``, and a budget needs ``budget * targets . v``. Each pass
+tries the last error as ``v`` and lowers the budget to what it proves, less ``SLACK``, as rates that reach the
+largest budget exactly are met only slowly. Targets that no rates come near would ask for nothing at all, so the budget stays above the
+part ``least`` of what the scarcest domain allows, and the missed targets are told.
 
 Nulls: a null text has no tokens and keeps rate and copies from its posterior like an empty one; a null
 identifier hashes like a value of its own. Rows with a null domain or text are not learnt from. Domains without a target keep their share of
@@ -39,9 +44,9 @@ from bondscope.llm.linear import SetClassifier, softmax, train_sets
 MAX_LABELLED, MAX_BYTES = 2_400, 96 << 20
 #: Passes at most; the largest error, as a share of a target, that is good enough; passes without a change
 #: after which the targets are taken to be out of reach.
-MAX_PASSES, CLOSE, STALLED = 60, 1e-3, 6
-#: The part of the largest budget that soft memberships can fill.
-ROOM = 0.95
+MAX_PASSES, CLOSE, STALLED = 100, 1e-3, 6
+#: The part of the largest reachable budget that is left, and the least part of the scarcest domain's that is kept.
+SLACK, LEAST = 0.01, 0.25
 GRAIN = 1 << 30
 
 
@@ -121,10 +126,12 @@ def mix_to_targets(
     budget: float | None = None,
     key: str = "doc_id",
     keep_text: bool = True,
+    least: float = LEAST,
 ) -> DataFrame:
     """All rows with ``domain``, ``tokens``, ``posterior``, ``rate`` and ``copies``.
 
-    ``budget`` is the number of tokens to mix, by default nearly the most that the bound on rates allows.
+    ``budget`` is the number of tokens to mix, by default the most that rates reach, less ``SLACK``, and
+    at least the part ``least`` of what the scarcest domain allows.
     Documents are judged once and written with their posteriors; passes read those alone.
     """
     added = ("domain", "tokens", "posterior", "rate", "copies")
@@ -133,7 +140,7 @@ def mix_to_targets(
     if unlearnt:
         warnings.warn(f"targets without a labelled row are left out: {', '.join(unlearnt)}", stacklevel=2)
     judged = stage(judge_domains(docs, model, keep_text))
-    fit = fit_rates(judged, model.domains, targets, bound, budget)
+    fit = fit_rates(judged, model.domains, targets, bound, budget, least)
     if fit.missed > CLOSE:
         warnings.warn(f"targets are missed by up to {fit.missed:.2%} of a target", stacklevel=2)
 
@@ -154,11 +161,11 @@ def repeat_copies(rated: DataFrame) -> DataFrame:
 
 @dataclass
 class RateFit:
-    """The errors of all passes, relative to targets, and the step; rates follow from them."""
+    """The errors of all passes, as shares of all tokens, and the matrix that weighs them; rates follow from them."""
 
     weights: np.ndarray
     bound: float
-    step: float
+    metric: np.ndarray
     errors: list[np.ndarray]
 
     @property
@@ -171,18 +178,23 @@ class RateFit:
         rate = np.full(len(posterior), min(1.0, self.bound))
         point, speed, last = rate, 1.0, np.inf
         for error in self.errors:
-            off = float((error * error / self.weights).sum())
+            off = float(error @ self.metric @ error)
             speed, last = (1.0 if off > last else speed), off  # momentum that overshoots begins anew
-            new = np.clip(point - self.step * (posterior @ (error / self.weights)), 0, self.bound)
+            new = np.clip(point - posterior @ (self.metric @ error), 0, self.bound)
             faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
             point, rate, speed = new + (speed - 1) / faster * (new - rate), new, faster
         return point if ahead else rate
 
 
 def fit_rates(
-    judged: DataFrame, domains: list[str], targets: dict[str, float], bound: float = 1.0, budget: float | None = None
+    judged: DataFrame,
+    domains: list[str],
+    targets: dict[str, float],
+    bound: float = 1.0,
+    budget: float | None = None,
+    least: float = LEAST,
 ) -> RateFit:
-    """Fit on a table of ``tokens`` and ``posterior``."""
+    """Fit on a table of ``tokens`` and ``posterior``; ``weights`` are the totals aimed at, as shares of all tokens."""
     n = max(len(domains), 1)
 
     def moments(batch: pa.RecordBatch) -> np.ndarray:
@@ -193,29 +205,39 @@ def fit_rates(
     held, spread = first[:n], first[n:].reshape(n, n)
     total = held.sum()
     if total <= 0 or n < 2:
-        return RateFit(np.ones(n), bound, 0.0, [])
+        return RateFit(np.ones(n), bound, np.zeros((n, n)), [])
     wanted = np.array([float(targets.get(d, held[k] / total)) for k, d in enumerate(domains)])
     wanted = np.where(held > 0, wanted, 0.0)
     wanted = wanted / wanted.sum() if wanted.sum() > 0 else held / total
     some = wanted > 0
-    budget = ROOM * bound * float((held[some] / wanted[some]).min()) if budget is None else budget
-    aim = wanted * budget / total
-    weights = np.maximum(aim, 1e-3)
-    scaled = spread / total / np.sqrt(np.outer(weights, weights))
-    fit = RateFit(weights, bound, 1 / float(np.linalg.eigvalsh(scaled).max()), [])
+    scarce = bound * float((held[some] / wanted[some]).min())
+    free, budget = budget is None, (1 - SLACK) * scarce if budget is None else budget
+    spread = spread / total
+    metric = np.linalg.inv(spread + 1e-6 * np.trace(spread) / n * np.eye(n))
+    fit = RateFit(_weights(wanted * budget / total), bound, metric, [])
     for _ in range(MAX_PASSES):
-        def expected(batch: pa.RecordBatch, now: RateFit = fit) -> np.ndarray:
-            tokens, posterior = _numbers(batch, n)
-            return (tokens * now.rates(posterior, ahead=True)) @ posterior
+        proof = -metric @ fit.errors[-1] if fit.errors else np.zeros(n)
 
-        error = _added(judged, expected, n) / total - aim
-        fit = RateFit(weights, bound, fit.step, [*fit.errors, error])
-        off = np.abs(np.stack(fit.errors[-STALLED:]) / weights)
+        def expected(batch: pa.RecordBatch, now: RateFit = fit, proof: np.ndarray = proof) -> np.ndarray:
+            tokens, posterior = _numbers(batch, n)
+            most = bound * tokens @ np.maximum(posterior @ proof, 0)
+            return np.append((tokens * now.rates(posterior, ahead=True)) @ posterior, most)
+
+        *reached, most = _added(judged, expected, n + 1)
+        if free and proof @ wanted > 0:
+            budget = max(min(budget, (1 - SLACK) * most / float(proof @ wanted)), least * scarce)
+        aim = wanted * budget / total
+        fit = RateFit(_weights(aim), bound, metric, [*fit.errors, np.array(reached) / total - aim])
+        off = np.abs(np.stack(fit.errors[-STALLED:]) / fit.weights)
         if off[-1].max() < CLOSE or len(off) == STALLED and np.ptp(off, axis=0).max() < CLOSE / 10:
             break
     return fit
 
 
+def _weights(aim: np.ndarray) -> np.ndarray:
+    return np.maximum(aim, 1e-3)
+
+
 def judge_domains(docs: DataFrame, model: DomainModel, keep_text: bool = True) -> DataFrame:
     """All rows with their likeliest ``domain``, ``tokens`` and ``posterior``."""
     kept = [f for f in docs.schema.fields if keep_text or f.name != "text"]

@@ -270,11 +270,46 @@ def test_rates_agree_with_a_plain_descent(spark):
     rate, weights = np.ones(300), fit.weights
     for _ in range(4000):
         error = (tokens * rate) @ posterior / tokens.sum() - weights
-        rate = np.clip(rate - fit.step * posterior @ (error / weights), 0, 1)
+        rate = np.clip(rate - weights.min() * posterior @ (error / weights), 0, 1)
     both = [(tokens * r) @ posterior / tokens.sum() for r in (rate, fit.rates(posterior))]
     assert np.allclose(both[0], both[1], atol=2e-3)
 
 
+def largest_budget(tokens, posterior, targets):
+    """The least bound over weightings of three domains, by finer and finer grids around the best."""
+    bound = lambda v: tokens @ np.maximum(posterior @ v, 0) / (v @ targets)
+    best, width = np.eye(3)[(tokens @ posterior / targets).argmin()], 2.0
+    while width > 1e-5:
+        around = [best + width * np.array(d) for d in np.ndindex(9, 9, 9)]
+        around = [v - 4 * width for v in around]
+        found = min([v / (v @ targets) for v in around if v @ targets > 0.05] + [best / (best @ targets)], key=bound)
+        best, width = found, width / 3
+    return bound(best)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_the_budget_is_the_largest_that_rates_reach(spark, seed):
+    rng = np.random.default_rng(seed)
+    posterior, tokens, wanted = rng.dirichlet([0.4] * 3, 600), rng.integers(1, 50, 600), rng.dirichlet([3] * 3)
+    rows = [(int(t), p.tolist()) for t, p in zip(tokens, posterior, strict=True)]
+    judged = spark.createDataFrame(rows, "tokens long, posterior array<double>").repartition(2)
+    fit = fit_rates(judged, ["a", "b", "c"], dict(zip("abc", wanted.tolist(), strict=True)))
+    most = largest_budget(tokens, posterior, wanted) / tokens.sum()
+    scarce = (tokens @ posterior / wanted).min() / tokens.sum()
+    assert fit.missed < mixing.CLOSE
+    assert 0.97 * most < fit.weights.sum() < most < scarce + 1e-9
+    reached = (tokens * fit.rates(posterior)) @ posterior / tokens.sum()
+    assert np.allclose(reached / reached.sum(), wanted, atol=5e-3)
+
+
+def test_targets_that_nothing_comes_near_keep_a_part(spark):
+    judged = spark.createDataFrame([([0.5, 0.5], 10)] * 30, "posterior array<double>, tokens long")
+    with_least = fit_rates(judged, ["a", "b"], {"a": 0.9, "b": 0.1})
+    assert with_least.missed > 0.1
+    assert with_least.weights.sum() == pytest.approx(mixing.LEAST * 0.5 / 0.9, rel=0.01)
+    assert with_least.rates(np.array([[0.5, 0.5]]))[0] > 0.05
+
+
 def test_mixing_awkward_rows(spark):
     docs, labels = labelled(spark, 120)
     model = fit_domains(docs.join(labels, "doc_id").withColumn("domain", F.col("lang")))
