@@ -27,7 +27,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").selectExpr("*", "cast(get_json_object(props, '$.k') as int) as k")
+    """Events with ``k`` and ``moment``, which are reckoned once a row.
+
+    As plain columns they would be put into every comparison of the snapshot's filter, two for each
+    weekday of a report's window, and the JSON be parsed in each.
+    """
+    events = read(spark, sf_dir, "events").selectExpr(
+        "*", "inline(array(named_struct('k', cast(get_json_object(props, '$.k') as int))))"
+    )
+    return events.selectExpr("*", f"inline(array(named_struct('moment', {_MOMENT})))")
 
 
 def corp_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +45,7 @@ def corp_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).selectExpr(
         "event_id as CorpCompositeId",
         "user_id as SecurityId",
-        f"{_MOMENT} as Date",
+        "moment as Date",
         f"{_BID} as BidComposite",
         f"{_OFFER} as OfferComposite",
         *_FLAGS,
@@ -61,7 +69,7 @@ def muni_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).selectExpr(
         "event_id as MuniCompositeId",
         "user_id as SecurityId",
-        f"{_MOMENT} as Date",
+        "moment as Date",
         f"{_BID} as BidComposite",
         f"{_OFFER} as OfferComposite",
         "k as ProviderCount",

@@ -1,12 +1,13 @@
 """Plans the operators must keep, and results under hot keys."""
 
 import json
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from bondscope import CORP, MUNI
+from bondscope import CORP, MUNI, report_window
 from bondscope.operators.movers import top_movers
 from bondscope.operators import observed
 from bondscope.operators.observed import observed_prices, staged_prices
@@ -18,6 +19,7 @@ from bondscope.operators.volume import bid_offer_volume, quote_totals
 from bondscope.plans.reports import Report
 from bondscope.session import Staging
 from bondscope.sources.tables import SCHEMAS, columns_of
+from checks import adapter
 from tests.golden import WINDOW, at, corp_row, muni_row, quote, rows_of, table
 
 DAYS = ["2024-01-12", "2024-01-18", "2024-01-19", "2024-01-22", "2024-01-25"]
@@ -326,3 +328,22 @@ def test_decimal_prices_keep_their_type(composites):
     eod = eod_snapshot(composites, WINDOW, CORP)
     assert dict(eod.dtypes)["BidComposite"] == "decimal(12,5)"
     assert isinstance(eod.first().BidComposite, Decimal)
+
+
+@pytest.mark.parametrize("cfg", [CORP, MUNI], ids=["corp", "muni"])
+def test_derived_moments_are_reckoned_once_a_row(spark, tmp_path, cfg):
+    rows = [  # the second of the two clicks is not on the hour
+        (1, datetime(2024, 1, 24, 9), 7, "click", 100.0, '{"k": 5}'),
+        (2, datetime(2024, 1, 24, 9), 7, "click", 101.0, '{"k": 13}'),
+        (3, datetime(2024, 1, 25, 9), 7, "purchase", 90.0, '{"k": 2}'),
+        (4, datetime(2024, 1, 26, 9), 7, "purchase", 95.0, '{"k": 1}'),
+        (5, datetime(2024, 1, 26, 10), 7, "signup", 99.0, '{"k": 1}'),
+        (6, datetime(2024, 1, 26, 11), 7, "error", 99.0, '{"k": 1}'),
+    ]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    month = report_window(report_date=date(2024, 1, 31), period="MONTH")
+    shown = sentiment(eod_snapshot(adapter.TABLES[cfg.composites](spark, str(tmp_path)), month, cfg), cfg)
+    assert nodes(shown, "get_json_object(") == 1 and nodes(shown, "date_trunc(") == 1
+    got = [(r.Date, r.DeclinersCount, r.AdvancersCount, r.FlatsCount) for r in shown.collect()]
+    assert got == [(date(2024, 1, 25), 1, 0, 0), (date(2024, 1, 26), 0, 1, 0)]
