@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from bondscope.session import end_lease, own_folder
 
 SLICE_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: The folder of staged frames of each application.
 _STAGES: dict[str, str] = {}
@@ -54,6 +55,16 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold some megabytes, unless the session sets a bound of its own.
+
+    By rows alone a batch of texts is as large as a whole task's input, and is held several times over: in the
+    executor's buffers, which double as they grow, and in each of its Python workers.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(SLICE_BYTES))
+
+
 def map_batches(
     frame: DataFrame,
     work: Callable[[pa.RecordBatch], pa.RecordBatch],
@@ -65,11 +76,14 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            part = None
             for part in slices(batch, text, limit):
                 yield work(part)
                 pa.default_memory_pool().release_unused()
+            del part, batch  # else the text stays while the next batch is read, and at the task's end
         give_back()
 
+    bound_batches(frame.sparkSession)
     return frame.mapInArrow(run, schema)
 
 

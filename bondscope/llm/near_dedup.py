@@ -245,6 +245,7 @@ def verify(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead, bag = None, None
         for batch in batches:
+            part = hashed = rows = words = None
             for part in slices(batch, "_text", SLICE):
                 hashed, rows, words, _ = shingles(part.column("_text"))
                 bounds = np.searchsorted(rows, np.arange(part.num_rows + 1))
@@ -260,6 +261,7 @@ def verify(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.float64())
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["_lead", "_id", "_overlap"])
+            del part, hashed, rows, words, batch
         del lead, bag
         give_back()
 

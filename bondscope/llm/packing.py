@@ -34,7 +34,7 @@ OTHER_BASE = 0xA24BAED4963EE407
 FEATURES = 1 << 14
 SCALE = 6.0
 SAMPLED_KEYS_A_RANGE = 200
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 PIECES = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -56,6 +56,7 @@ def pack(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordCoder.of_worker(tokenizer)
         for batch in batches:
+            part = None
             for part in slices(batch, "_text", SLICE):
                 words = Words(part.column("_text"))
                 ids, lengths = coder.encode(words, end_id)
@@ -67,14 +68,19 @@ def pack(
                 yield pa.RecordBatch.from_arrays(arrays, names=[key, "_ids", "_curve", "_range"])
                 del arrays
                 give_back()
+            del part, batch
+        give_back()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store().pop("coders", None)  # all texts are coded by now
         packer = Packer(sequence, TaskContext.get().partitionId())
         for batch in batches:
+            part = ids = None
             for part in slices(batch, "_ids", SLICE):
                 lengths = pc.binary_length(part.column("_ids")).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
                 ids = np.frombuffer(b"".join(part.column("_ids").to_pylist()), kind).astype("<u4")
                 yield _rows(packer.add(part.column(key), ids, lengths), key)
+            del part, ids, batch
         yield _rows(packer.finish(), key)
         del packer
         give_back()

@@ -14,7 +14,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from bondscope.llm.chat import END, START, format_chats, parse_chats, trained_text
-from bondscope.llm.common import Words
+from bondscope.llm.common import BATCH_SETTING, SLICE_BYTES, Words, map_batches
 from bondscope.llm.fertility import MERGES, PIECES, SPREAD, WIDTH, base_measures, fertility_rules, measure
 from bondscope.llm.packing import TOKENIZER, Packer, WordCoder, WordNumbers, hilbert_keys, pack
 from bondscope.llm.queries import INJECTED, ORACLE, QUERIES
@@ -290,3 +290,19 @@ def test_shard_query_checksums(spark):
     texts = dict(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect())
     assert all(zlib.crc32((texts[i] or "").encode()) == c for i, c in zip(got.doc_id, got.text_crc32, strict=True))
     assert set(got.law) == {"bytes"} and got.grown_shard.isna().all() and len(got) == len(texts)
+
+
+def test_arrow_batches_are_bounded_in_bytes(spark):
+    texts = spark.range(4_000).selectExpr("id", "repeat(cast(id % 10 as string), 4000) as text").coalesce(1)
+
+    def sizes(batch):
+        return pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["bytes", "n"])
+
+    try:
+        told = map_batches(texts, sizes, "bytes long, n long", limit=1 << 40).collect()
+        assert sum(r.n for r in told) == 4_000 and max(r.bytes for r in told) < SLICE_BYTES + (1 << 18)
+        spark.conf.set(BATCH_SETTING, str(1 << 20))  # a bound of the session stays
+        told = map_batches(texts, sizes, "bytes long, n long", limit=1 << 40).collect()
+        assert sum(r.n for r in told) == 4_000 and max(r.bytes for r in told) < (1 << 20) + (1 << 18)
+    finally:
+        spark.conf.unset(BATCH_SETTING)
